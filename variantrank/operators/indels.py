@@ -60,7 +60,8 @@ def rescore_indels(df: DataFrame, prepared: DataFrame | None, profile: Profile)
     df = df.withColumn("rescored", matches(F.col("exonic_func"), profile.rescore_pattern) & ~exempt)
     if profile.indel_join == "key":
         new = prepared.select(variant_key().alias("_key"), *_new_scores())
-        on = df["key"] == new["_key"]
+        df = df.withColumn("_own", variant_key())
+        on = df["_own"] == new["_key"]
     else:
         new = prepared.select(*[F.col(c).alias(f"_{c}") for c in VARIANT], *_new_scores())
         on = (
@@ -71,7 +72,7 @@ def rescore_indels(df: DataFrame, prepared: DataFrame | None, profile: Profile)
         )
     joined = df.join(new, on & df["rescored"], "left")
     return joined.select(
-        *[c for c in df.columns if c not in ("raw_score", "phred")],
+        *[c for c in df.columns if c not in ("raw_score", "phred", "_own")],
         F.when(df["rescored"], F.col("_raw_score")).otherwise(df["raw_score"]).alias("raw_score"),
         F.when(df["rescored"], F.col("_phred")).otherwise(df["phred"]).alias("phred"),
     )

@@ -51,20 +51,23 @@ def vcf_samples(lines: DataFrame) -> DataFrame:
     )
 
 
+def _sample_fields(parts: str):
+    count = F.greatest(F.size(parts) - FIRST_SAMPLE, F.lit(0))
+    return F.slice(parts, F.lit(FIRST_SAMPLE + 1), count)
+
+
 def unpivot_genotypes(lines: DataFrame) -> DataFrame:
     """One row per site and carrier: the sample columns turned into rows.
 
     Non-carriers are removed inside the array, before it is exploded.
     """
-    names = lines.filter(F.col("value").startswith("#CHROM")).select(
-        "file", F.slice(F.split("value", "\t"), FIRST_SAMPLE + 1, 2147483647).alias("_names")
+    split = lines.withColumn("_all", F.split("value", "\t"))
+    names = split.filter(F.col("value").startswith("#CHROM")).select(
+        "file", _sample_fields("_all").alias("_names")
     )
-    body = lines.filter(~F.col("value").startswith("#")).withColumn("_all", F.split("value", "\t"))
+    body = split.filter(~F.col("value").startswith("#")).drop("value")
     named = lookup_join(body, names, ["file"], "inner", spread=["ord"])
-    genotypes = F.arrays_zip(
-        F.col("_names").alias("iid"),
-        F.slice("_all", FIRST_SAMPLE + 1, 2147483647).alias("gt"),
-    )
+    genotypes = F.arrays_zip(F.col("_names").alias("iid"), _sample_fields("_all").alias("gt"))
     carriers = F.filter(genotypes, lambda g: has_alternate(g["gt"]))
     return named.select(*_site_columns("_all"), "ord", F.explode(carriers).alias("_g")).select(
         "_g.iid", *SITE_FIELDS, "_g.gt", "ord"

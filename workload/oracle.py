@@ -138,12 +138,12 @@ def _full(profile):
     indels = "indel" if not strict else "indelraw"
     ctes = {
         "indelraw": CTES["indel"].replace("'chr'||chr AS chr", "chr"),
-        "both": f"""SELECT iid, key, chr, start, ref, alt, gene, fam_id, sex, status, eth, geno, filter, func, exonic_func, aa_change, gene_detail,
+        "allrows": f"""SELECT iid, key, chr, start, ref, alt, gene, fam_id, sex, status, eth, geno, filter, func, exonic_func, aa_change, gene_detail,
   af, af_afr, af_nfe, exac, kg, esp, raw_score, phred, clnsig, clndn, gt, false AS is_cnv, 0 AS tab, 0 AS ck, NULL AS c_alt, NULL AS c_tot FROM raw
   UNION ALL SELECT iid, key, chr, start, ref, alt, gene, fam_id, sex, status, eth, geno, filter, func, exonic_func, NULL, NULL,
   NULL, NULL, NULL, NULL, NULL, NULL, NULL, phred, NULL, NULL, NULL, true, tab, ck, alt_read, total_read FROM cnv""",
         "shown": """SELECT *, CASE WHEN is_cnv THEN c_alt ELSE nullif(split_part(split_part(gt,':',2),',',2),'') END AS alt_read,
-  CASE WHEN is_cnv THEN c_tot ELSE nullif(split_part(gt,':',3),'') END AS total_read FROM both""",
+  CASE WHEN is_cnv THEN c_tot ELSE nullif(split_part(gt,':',3),'') END AS total_read FROM allrows""",
         "why0": f"SELECT *, {REASON} {AF_REASON if strict else ''} || {'''CASE WHEN filter IN ('PASS','.') THEN '' ELSE ',filter' END''' if strict else "''"} AS why0, coalesce({pattern}, false) AS rescored FROM shown",
         "scored": f"""SELECT w.* REPLACE (CASE WHEN w.rescored THEN i.phred ELSE w.phred END AS phred), w.phred AS own FROM why0 w
   LEFT JOIN {indels} i ON w.rescored AND w.chr=i.chr AND w.start=i.start AND w.ref=i.ref AND w.alt=i.alt""",
