@@ -34,6 +34,12 @@ def cnv_sex_adjust(cnv: DataFrame) -> DataFrame:
     )
 
 
+def join_people(cnv: DataFrame, people: DataFrame, **join_options) -> DataFrame:
+    """Copy-number calls of the given people, with their family, sex, status and ancestry."""
+    spread = ["chr", "start", "cnv_ord"]
+    return lookup_join(cnv, people, ["iid"], "inner", spread=spread, **join_options)
+
+
 def prepare_cnv(
     dels: DataFrame | None, dups: DataFrame | None, people: DataFrame, xy_genes: DataFrame
 ) -> DataFrame | None:
@@ -41,8 +47,7 @@ def prepare_cnv(
     cnv = cnv_union(dels, dups)
     if cnv is None:
         return None
-    mine = lookup_join(cnv, people, ["iid"], "inner", spread=["chr", "start", "cnv_ord"])
-    return cnv_sex_adjust(flag_genes(mine, {"is_xy": xy_genes})).withColumn("is_cnv", F.lit(True))
+    return cnv_sex_adjust(flag_genes(join_people(cnv, people), {"is_xy": xy_genes}))
 
 
 def merge_cnv(raw: DataFrame, cnv: DataFrame | None) -> DataFrame:

@@ -27,20 +27,25 @@ def first_site(sites: DataFrame) -> DataFrame:
     )
 
 
-def flag_genes(df: DataFrame, lists: dict[str, DataFrame], **join_options) -> DataFrame:
-    """One boolean column per gene list of ``lists``: the row's gene is on it.
-
-    The lists are merged into one table of genes first, so there is one join.
-    """
+def merged_lists(lists: dict[str, DataFrame]) -> DataFrame:
+    """One row per gene with a boolean column per list."""
     flags = list(lists)
     marked = [
         genes.select("gene", *[F.lit(f == flag).alias(f) for f in flags])
         for flag, genes in lists.items()
     ]
     merged = reduce(DataFrame.unionByName, marked).filter("gene is not null")
-    listed = merged.groupBy("gene").agg(*[F.max(f).alias(f) for f in flags])
+    return merged.groupBy("gene").agg(*[F.max(f).alias(f) for f in flags])
+
+
+def flag_genes(df: DataFrame, lists: dict[str, DataFrame], **join_options) -> DataFrame:
+    """One boolean column per gene list of ``lists``: the row's gene is on it.
+
+    The lists are merged into one table of genes first, so there is one join.
+    """
+    listed = merged_lists(lists)
     joined = lookup_join(df, listed, ["gene"], "left", spread=VARIANT, **join_options)
-    return joined.withColumns({f: F.coalesce(f, F.lit(False)) for f in flags})
+    return joined.withColumns({f: F.coalesce(f, F.lit(False)) for f in lists})
 
 
 def keep_listed_genes(df: DataFrame, genes: DataFrame, **join_options) -> DataFrame:

@@ -45,10 +45,9 @@ def attach_nulls(variants: DataFrame, nulls: DataFrame, **join_options) -> DataF
         for m in MODELS
     ]
     by_gene = nulls.groupBy("gene").agg(*rows)
-    size = table_bytes(nulls)
-    joined = lookup_join(
-        variants, by_gene, ["gene"], "left", spread=VARIANT, small_bytes=size, **join_options
-    )
+    if join_options.get("small_bytes") is None:
+        join_options["small_bytes"] = table_bytes(nulls)
+    joined = lookup_join(variants, by_gene, ["gene"], "left", spread=VARIANT, **join_options)
     position = bin_index(F.col("score_norm"))
     cells = F.array(
         *[F.array(*[F.get(f"_{e}_{m}", F.col("_bin")) for m in MODELS]) for e in ANCESTRIES]

@@ -45,21 +45,28 @@ def site_drops(profile: Profile) -> Column:
 
 
 def flag_variants(
-    df: DataFrame, xy_genes: DataFrame, lookup_genes: DataFrame, profile: Profile
+    df: DataFrame,
+    xy_genes: DataFrame,
+    lookup_genes: DataFrame,
+    profile: Profile,
+    **join_options,
 ) -> DataFrame:
     """Add the key, the gene-list flags and the site-level drop reasons."""
     lists = {"is_xy": xy_genes, "in_lookup": lookup_genes}
     return (
-        flag_genes(df.withColumn("key", variant_key()), lists)
+        flag_genes(df.withColumn("key", variant_key()), lists, **join_options)
         .withColumn("is_splice", filters.is_splice(F.col("func")))
         .withColumn("site_drops", site_drops(profile))
     )
 
 
 def prepare_sites(
-    sites: DataFrame, xy_genes: DataFrame, lookup_genes: DataFrame, profile: Profile
+    sites: DataFrame,
+    xy_genes: DataFrame,
+    lookup_genes: DataFrame,
+    profile: Profile,
+    **join_options,
 ) -> DataFrame:
     """Annotated sites to one flagged row per (variant, gene)."""
-    return flag_variants(
-        first_site(split_fusion_genes(sites)).drop("ord"), xy_genes, lookup_genes, profile
-    )
+    rows = first_site(split_fusion_genes(sites)).drop("ord")
+    return flag_variants(rows, xy_genes, lookup_genes, profile, **join_options)

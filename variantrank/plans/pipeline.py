@@ -20,7 +20,8 @@ from variantrank.operators.calls import (
     usable_people,
 )
 from variantrank.operators.cleaning import joined_reasons
-from variantrank.operators.cnv import merge_cnv, prepare_cnv
+from variantrank.operators.cnv import cnv_sex_adjust, cnv_union, join_people, merge_cnv
+from variantrank.operators.genes import merged_lists
 from variantrank.operators.indels import (
     mark_scored,
     normalize_scores,
@@ -29,7 +30,7 @@ from variantrank.operators.indels import (
 )
 from variantrank.operators.joins import data_bytes, lookup_join
 from variantrank.operators.models import own_probabilities, rank_models
-from variantrank.operators.nulls import attach_nulls, own_cells
+from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
 from variantrank.operators.sites import flag_variants, prepare_sites
 from variantrank.profiles import CADD16, Profile
 
@@ -77,16 +78,34 @@ class Run:
     def __init__(self, cohort: Cohort, profile: Profile = CADD16, options: Options = Options()):
         self.cohort, self.profile, self.options = cohort, profile, options
         self.people = usable_people(cohort.pedigree)
-        self.sites = prepare_sites(cohort.sites, cohort.xy_genes, cohort.lookup_genes, profile)
+        lists = merged_lists({"is_xy": cohort.xy_genes, "in_lookup": cohort.lookup_genes})
+        self.list_bytes = data_bytes(lists)
+        self.sites = prepare_sites(
+            cohort.sites,
+            cohort.xy_genes,
+            cohort.lookup_genes,
+            profile,
+            small_bytes=self.list_bytes,
+        )
         self.indels = self._indels()
         self.cnv = self._cnv()
         ranked = {"iid", "key", *VARIANT, "total_read", "alt_read", "gene", "phred"}
         self.described = [c for c, _ in profile.variant_columns if c not in ranked]
 
+    # Each table that may be broadcast is measured once per run, when first needed.
+
     @cached_property
     def site_bytes(self) -> int:
         return data_bytes(self.sites)
 
+    @cached_property
+    def people_bytes(self) -> int:
+        return data_bytes(self.people)
+
+    @cached_property
+    def null_bytes(self) -> int:
+        return table_bytes(self.cohort.nulls)
+
     def _indels(self) -> DataFrame | None:
         c = self.cohort
         if c.indels is None:
@@ -99,19 +118,28 @@ class Run:
 
     def _cnv(self) -> DataFrame | None:
         c = self.cohort
-        cnv = prepare_cnv(c.cnv_dels, c.cnv_dups, self.people, c.xy_genes)
+        cnv = cnv_union(c.cnv_dels, c.cnv_dups)
         if cnv is None:
             return None
-        flagged = flag_variants(cnv.drop("is_xy"), c.xy_genes, c.lookup_genes, self.profile)
-        return flagged.withColumn("call_drops", F.lit("")).withColumn(
-            "rescore_exempt", F.lit(not self.options.rescore_cnv)
+        flagged = flag_variants(
+            cnv, c.xy_genes, c.lookup_genes, self.profile, small_bytes=self.list_bytes
+        )
+        mine = cnv_sex_adjust(join_people(flagged, self.people, small_bytes=self.people_bytes))
+        return mine.withColumns(
+            {
+                "is_cnv": F.lit(True),
+                "call_drops": F.lit(""),
+                "rescore_exempt": F.lit(not self.options.rescore_cnv),
+            }
         )
 
     def _clean_scored(self, rows: DataFrame) -> DataFrame:
         """Site-level survivors with their final score and null cells."""
         clean = rows.filter(F.col("site_drops") == "")
         rescored = rescore_indels(clean, self.indels, self.profile).filter("phred is not null")
-        return attach_nulls(normalize_scores(rescored), self.cohort.nulls)
+        return attach_nulls(
+            normalize_scores(rescored), self.cohort.nulls, small_bytes=self.null_bytes
+        )
 
     def scored_sites(self) -> DataFrame:
         """The site columns the ranking compares, for the sites that can be ranked."""
@@ -119,7 +147,7 @@ class Run:
 
     def _calls(self) -> DataFrame:
         calls = self.cohort.calls.select("iid", *VARIANT, "filter", "gt", "ord")
-        return join_pedigree(calls, self.people)
+        return join_pedigree(calls, self.people, small_bytes=self.people_bytes)
 
     def candidates(self) -> DataFrame:
         """Rows that take part in a model, with their own probabilities.
