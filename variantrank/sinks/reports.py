@@ -40,9 +40,8 @@ def write_tsv(
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(n) for c, n in columns],
     )
     part = F.pmod(F.xxhash64("Key"), F.lit(parts_per_person))
-    order = ["`Dz.Model` asc_nulls_last"] if kind == "ranked" else []
     sort = [F.col("report")]
-    if order:
+    if kind == "ranked":
         # Reports write a missing model as NA, which sorts after every label.
         sort.append(F.when(F.col("`Dz.Model`") != "NA", F.col("`Dz.Model`")).asc_nulls_last())
     sort.append(F.col(f"`{dict(columns)['gene']}`"))

@@ -238,7 +238,10 @@ def oracle_sql() -> dict[str, str]:
         "scan_indel_scores": sql(f"SELECT {V}, raw_score, phred FROM indel0"),
         "scan_cnv_del": sql(SCAN_CNV.format(v=V, t="DEL", n="del")),
         "scan_cnv_dup": sql(SCAN_CNV.format(v=V, t="DUP", n="dup")),
-        "missing_sources": "SELECT 'clinvar' AS source FROM part LIMIT 1",
+        "missing_sources": sql(
+            """SELECT source FROM (SELECT unnest(['1000g2015aug_all','cadd13','esp6500siv2_all','exac03','gene_model','gene_model_mrna','gnomad_exome','clinvar']) AS source,
+  unnest([count(kg), count(phred), count(esp), count(af), count(genes), count(aa_change), count(af), count(*) FILTER (clnsig='Pathogenic')]) AS n FROM site0) WHERE n=0"""
+        ),
         "samples_not_in_vcf": "SELECT 'N'||(c_custkey%40) AS iid, c_name AS fam_id FROM customer WHERE c_custkey%40 NOT IN (SELECT n_nationkey FROM nation)",
         "rejected_people": sql("SELECT iid, 'sex' AS reason FROM ped WHERE sex=0 UNION ALL SELECT DISTINCT iid, 'missing' FROM call WHERE iid NOT IN (SELECT iid FROM ped)"),
         "pending": sql("SELECT fam_id, iid FROM ped WHERE iid NOT IN (SELECT iid FROM call)"),

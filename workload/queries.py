@@ -144,20 +144,26 @@ def scan_cnv_dup(spark, d):
     return _scan_cnv(spark, d, "dup")
 
 
-def _sources_found(spark, d):
-    """A source counts as available if the annotated sites hold any value of it."""
-    held = {"1000g2015aug_all": "kg", "esp6500siv2_all": "esp", "gnomad_exome": "af", "exac03": "exac"}
-    held |= {"cadd13": "phred", "gene_model": "gene", "clinvar": "clnsig", "gene_model_mrna": "end"}
-    counts = c.sites(spark, d).agg(
-        *[F.count(F.when(F.col("ord") < 0, F.col(v)) if k == "clinvar" else F.col(v)).alias(k) for k, v in held.items()]
-    )
-    return counts.unpivot([], list(held), "source", "n").filter("n > 0")
+# Which annotated column shows that a source was used; clinical labels must name a pathogenic site.
+SOURCE_COLUMNS = {
+    "1000g2015aug_all": "kg",
+    "cadd13": "phred",
+    "esp6500siv2_all": "esp",
+    "exac03": "exac",
+    "gene_model": "gene",
+    "gene_model_mrna": "aa_change",
+    "gnomad_exome": "af",
+    "clinvar": "clnsig",
+}
 
 
 @query
 def missing_sources(spark, d):
-    wanted = c.sites(spark, d).select(F.explode(F.array(*[F.lit(s) for s in CADD13_V14.sources])).alias("source"))
-    return contracts.missing_sources(wanted, _sources_found(spark, d))
+    """Sources of the profile that the annotated sites show no value of."""
+    sites = c.sites(spark, d).withColumn("clnsig", F.when(F.col("clnsig") == "Pathogenic", "x"))
+    counts = sites.agg(*[F.count(SOURCE_COLUMNS[s]).alias(s) for s in CADD13_V14.sources])
+    long = counts.unpivot([], list(CADD13_V14.sources), "source", "n")
+    return contracts.missing_sources(long, long.filter("n > 0"))
 
 
 @query
