@@ -31,7 +31,7 @@ EXPECTED = [
 
 
 def ranked_rows(df):
-    rows = df.select("iid", "dz_model", "gene", "key", "geno", F.round("psap", 6).alias("p")).collect()
+    rows = df.select("iid", "dz_model", "gene", "key", "geno", F.round("prob", 6).alias("p")).collect()
     return sorted((tuple(r) for r in rows), key=str)
 
 
@@ -79,17 +79,17 @@ def test_report_all_contains_worst(spark, run):
     worst = run.ranked()
     assert worst.select(columns).exceptAll(every.select(columns)).isEmpty()
     pair = every.filter("iid = 'P1' and gene = 'G4' and geno = 'chet'").orderBy("phred").collect()
-    assert [round(r["psap"], 6) for r in pair] == [0.399714, 0.233762]
+    assert [round(r["prob"], 6) for r in pair] == [0.399714, 0.233762]
     assert every.filter("iid = 'P1' and gene = 'G1' and geno = 'chet'").count() == 3
     assert every.filter("iid = 'P1' and gene = 'G2' and geno = 'chet'").isEmpty()
 
 
 def test_separate_models_agree_with_the_joint_plan(spark):
     cohort = mini.cohort(spark)
-    rows = Run(cohort).candidates().drop("psap", "psap_chet", "zyg")
+    rows = Run(cohort).candidates().drop("prob", "prob_chet", "zyg")
     rows = rows.join(cohort.pedigree.select("iid", "eth"), "iid")
     for report_all in (False, True):
-        columns = ["iid", "dz_model", "gene", "key", "geno", "psap"]
+        columns = ["iid", "dz_model", "gene", "key", "geno", "prob"]
         parts = [
             f(rows, cohort.nulls, report_all).select(columns)
             for f in (models.model_het, models.model_hom, models.model_chet, models.model_hem)

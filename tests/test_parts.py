@@ -151,6 +151,25 @@ def test_plan_shape(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(iid", plan)) <= 3
 
 
+def test_generated_code_stays_compilable(spark):
+    """The JVM never compiles a method of more than 8000 bytes of byte code."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run = Run(mini.cohort(spark))
+        for frame in (run.ranked(), run.dropped()):
+            plan = frame._jdf.queryExecution().executedPlan()
+            stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+            for i in range(stages.size()):
+                largest = int(re.search(r"\((\d+)", stages.apply(i)._3().toString()).group(1))
+                assert largest < 8000
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+        spark.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_repeated_null_rows(spark):
     nulls = mini.nulls(spark, ["G1"])
     assert repeated_null_rows(nulls).isEmpty()

@@ -95,10 +95,10 @@ def worst_pair(df: DataFrame) -> DataFrame:
     return pairs.filter("_n = 2").drop("_n").withColumn("geno", compound_geno(F.col("geno")))
 
 
-def pair_psap(pairs: DataFrame) -> DataFrame:
+def pair_prob(pairs: DataFrame) -> DataFrame:
     """Give both members of a pair the second member's probability."""
-    second = F.max(F.when(F.col("rank") == 2, F.col("psap"))).over(Window.partitionBy(*GROUP))
-    return pairs.withColumn("psap", second)
+    second = F.max(F.when(F.col("rank") == 2, F.col("prob"))).over(Window.partitionBy(*GROUP))
+    return pairs.withColumn("prob", second)
 
 
 def _compound_rows(df: DataFrame) -> DataFrame:
@@ -128,18 +128,18 @@ def model_chet(df: DataFrame, nulls: DataFrame, report_all: bool = False) -> Dat
     """Compound-heterozygous pairs with the probability of the second member."""
     if report_all:
         return _labelled(null_lookup(_compound_rows(with_zygosity(df)), nulls, "chet")).drop("zyg")
-    pairs = pair_psap(null_lookup(worst_pair(df), nulls, "chet"))
+    pairs = pair_prob(null_lookup(worst_pair(df), nulls, "chet"))
     return _labelled(pairs).drop("zyg", "rank")
 
 
 def own_probabilities(df: DataFrame) -> DataFrame:
-    """``zyg``, and the row's ``psap`` and ``psap_chet`` out of its ``cells``."""
+    """``zyg``, and the row's ``prob`` and ``prob_chet`` out of its ``cells``."""
     places = {m: MODELS.index(m) for m in ("het", "hom", "hem")}
     chet = F.get("cells", F.lit(MODELS.index("chet")))
     return (
         df.withColumn("zyg", zygosity(F.col("geno")))
-        .withColumn("psap", F.get("cells", mapped(F.col("zyg"), places)))
-        .withColumn("psap_chet", F.when(F.col("zyg") == "het", chet))
+        .withColumn("prob", F.get("cells", mapped(F.col("zyg"), places)))
+        .withColumn("prob_chet", F.when(F.col("zyg") == "het", chet))
         .drop("cells")
     )
 
@@ -151,19 +151,19 @@ def rank_models(rows: DataFrame, report_all: bool = False) -> DataFrame:
     heterozygous rows, so one top-2 serves every model.
     """
     if report_all:
-        pairs = _compound_rows(rows).withColumn("psap", F.col("psap_chet"))
-        return _labelled(rows.unionByName(pairs)).drop("zyg", "psap_chet")
+        pairs = _compound_rows(rows).withColumn("prob", F.col("prob_chet"))
+        return _labelled(rows.unionByName(pairs)).drop("zyg", "prob_chet")
     group = Window.partitionBy(*GROUP)
     top = (
         _ranked(rows, 2)
         .withColumn("_n", F.max("rank").over(group))
-        .withColumn("_second", F.max(F.when(F.col("rank") == 2, F.col("psap_chet"))).over(group))
+        .withColumn("_second", F.max(F.when(F.col("rank") == 2, F.col("prob_chet"))).over(group))
     )
-    single = F.when(F.col("rank") == 1, F.struct(F.col("geno"), F.col("psap")))
+    single = F.when(F.col("rank") == 1, F.struct(F.col("geno"), F.col("prob")))
     paired = F.when(
         (F.col("zyg") == "het") & (F.col("_n") == 2),
-        F.struct(compound_geno(F.col("geno")).alias("geno"), F.col("_second").alias("psap")),
+        F.struct(compound_geno(F.col("geno")).alias("geno"), F.col("_second").alias("prob")),
     )
     roles = top.withColumn("_role", F.explode(F.array_compact(F.array(single, paired))))
-    rest = [c for c in rows.columns if c not in ("geno", "zyg", "psap", "psap_chet")]
-    return _labelled(roles.select(*rest, "_role.geno", "_role.psap"))
+    rest = [c for c in rows.columns if c not in ("geno", "zyg", "prob", "prob_chet")]
+    return _labelled(roles.select(*rest, "_role.geno", "_role.prob"))

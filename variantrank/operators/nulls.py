@@ -19,7 +19,7 @@ def table_bytes(nulls: DataFrame) -> int:
 
 
 def null_lookup(df: DataFrame, nulls: DataFrame, model: str, **join_options) -> DataFrame:
-    """Add ``psap``: the cell of (model, ancestry, gene, score bin); NULL for an unlisted gene."""
+    """Add ``prob``: the cell of (model, ancestry, gene, score bin); NULL for an unlisted gene."""
     table = nulls.filter(F.col("model") == model).select("eth", "gene", "p")
     spread = ["iid"] + VARIANT
     size = table_bytes(table)
@@ -27,7 +27,7 @@ def null_lookup(df: DataFrame, nulls: DataFrame, model: str, **join_options) ->
         lookup_join(
             df, table, ["eth", "gene"], "left", spread=spread, small_bytes=size, **join_options
         )
-        .withColumn("psap", F.get("p", bin_index(F.col("score_norm"))))
+        .withColumn("prob", F.get("p", bin_index(F.col("score_norm"))))
         .drop("p")
     )
 

@@ -47,7 +47,7 @@ def candidate_report(
     """
     status = pedigree.select("iid", "status")
     cases = lookup_join(
-        ranked.filter(F.col("psap") < max_p).select("iid", "key", "gene", "dz_model"),
+        ranked.filter(F.col("prob") < max_p).select("iid", "key", "gene", "dz_model"),
         status.filter("status = 2").select("iid"),
         ["iid"],
         "left_semi",

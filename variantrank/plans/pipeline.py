@@ -212,6 +212,7 @@ class Run:
         """
         site_kept = (F.col("site_drops") == "") & F.col("has_score")
         marked = mark_scored(self.sites, self.indels, self.profile)
+        # A variant has at most one row per gene here, so this window holds small groups.
         sites = marked.withColumn("_any", F.max(site_kept).over(Window.partitionBy(*VARIANT)))
         rows = attach_annotations(
             self._calls(), sites, self.options.unique_calls, small_bytes=self.site_bytes

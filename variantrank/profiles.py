@@ -112,7 +112,8 @@ class Profile:
 
     @property
     def ranked_columns(self) -> tuple:
-        return self.variant_columns + (("geno", "Geno"), ("dz_model", "Dz.Model"), ("psap", "PSAP"))
+        # The reported names of the three ranking columns.
+        return self.variant_columns + (("geno", "Geno"), ("dz_model", "Dz.Model"), ("prob", "PSAP"))
 
     @property
     def dropped_columns(self) -> tuple:

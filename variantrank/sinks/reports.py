@@ -9,6 +9,13 @@ from variantrank.profiles import Profile
 
 ROWS_PER_FILE = 2_000_000
 
+# Endings of the report names.
+ENDINGS = {
+    "ranked": "_PSAP.txt",
+    "ranked_all": "_PSAP_Force.txt",
+    "dropped": "_missing_data.txt",
+}
+
 
 def ranked_report(ranked: DataFrame, profile: Profile) -> DataFrame:
     """Ranked rows under their reported names."""
@@ -21,8 +28,8 @@ def dropped_report(dropped: DataFrame, profile: Profile) -> DataFrame:
 
 def report_name(kind: str, report_all: bool = False):
     """Name of a person's report."""
-    ending = {"ranked": "_PSAP_Force.txt" if report_all else "_PSAP.txt", "dropped": "_missing_data.txt"}
-    return F.concat("fam_id", F.lit("_"), "iid", F.lit(ending[kind]))
+    ending = ENDINGS["ranked_all" if kind == "ranked" and report_all else kind]
+    return F.concat("fam_id", F.lit("_"), "iid", F.lit(ending))
 
 
 def write_tsv(

@@ -98,7 +98,7 @@ CTES = {
   row_number() OVER (PARTITION BY iid, gene, left(geno,3) ORDER BY norm DESC, splice DESC, key) AS rk,
   count(*) OVER (PARTITION BY iid, gene, left(geno,3)) AS cnt FROM clean
   WHERE geno IN ('het','hom','hem','het_female','hom_female')""",
-    "priced": """SELECT r.*, CAST((1402-j)*w.weight*(1+n.n%7) AS DOUBLE)/CAST(29421000 AS DOUBLE) AS psap,
+    "priced": """SELECT r.*, CAST((1402-j)*w.weight*(1+n.n%7) AS DOUBLE)/CAST(29421000 AS DOUBLE) AS prob,
   CAST((1402-j)*x.weight*(1+n.n%7) AS DOUBLE)/CAST(29421000 AS DOUBLE) AS chet_p
   FROM ranked r JOIN bin b ON b.phred=r.phred JOIN weight w ON w.eth=r.eth AND w.model=r.zyg
   JOIN weight x ON x.eth=r.eth AND x.model='chet' LEFT JOIN nullgene n ON n.gene=r.gene""",
@@ -185,8 +185,8 @@ CALLED = "iid, key, gene"
 READS = "nullif(split_part(split_part(gt,':',2),',',2),'') AS alt_read, nullif(split_part(gt,':',3),'') AS total_read"
 CLAMPED = "CASE WHEN phred<0 THEN 0 WHEN phred>62 THEN 62 ELSE phred END AS phred"
 OUT = f"fam_id, iid, key, {V}, {READS}, gene, {DESCRIBED}, {CLAMPED}, geno, dz_model"
-WORST = f"""SELECT {OUT}, psap FROM single WHERE rk=1
-UNION ALL SELECT {OUT}, pair_p AS psap FROM pairs WHERE rk<=2"""
+WORST = f"""SELECT {OUT}, prob FROM single WHERE rk=1
+UNION ALL SELECT {OUT}, pair_p AS prob FROM pairs WHERE rk<=2"""
 SCAN_CNV = "SELECT iid, {v}, gene, func, phred, '{t}' AS type, alt_read, total_read, geno0 AS geno FROM {n}"
 GENE_COLUMNS = ", ".join(
     f"('{p}','{b}','Gene.wgEncodeGencodeBasicV{v}')"
@@ -205,9 +205,9 @@ def _full_ranked(profile, report_all=False):
     af = ", exac, kg, esp" if profile != "cadd16" else ""
     out = f"fam_id, iid, key, {V}, alt_read, total_read, gene, {DESCRIBED}{af}, {CLAMPED}, geno, dz_model"
     if report_all:
-        body = f"SELECT {out}, psap FROM fsingle UNION ALL SELECT {out}, chet_p AS psap FROM fpairs"
+        body = f"SELECT {out}, prob FROM fsingle UNION ALL SELECT {out}, chet_p AS prob FROM fpairs"
     else:
-        body = f"SELECT {out}, psap FROM fsingle WHERE rk=1 UNION ALL SELECT {out}, pair_p AS psap FROM fpairs WHERE rk<=2"
+        body = f"SELECT {out}, prob FROM fsingle WHERE rk=1 UNION ALL SELECT {out}, pair_p AS prob FROM fpairs WHERE rk<=2"
     return sql(body, _full(profile))
 
 
@@ -278,7 +278,7 @@ def oracle_sql() -> dict[str, str]:
         "join_pedigree": sql(f"SELECT iid, {V}, gt, fam_id, sex, status, eth FROM call JOIN ped USING (iid) WHERE sex IN (1,2)"),
         "rescore_indels": sql(rescored.format(p="exonic_func LIKE 'frameshift%'", t="indel")),
         "rescore_indels_v13": sql(rescored.format(p="exonic_func LIKE '%shift%'", t="indelraw"), _full("cadd13_v13")),
-        "null_cells": sql(f"SELECT {CALLED}, eth, {CLAMPED}, psap FROM priced WHERE zyg='het'"),
+        "null_cells": sql(f"SELECT {CALLED}, eth, {CLAMPED}, prob FROM priced WHERE zyg='het'"),
         "annotate_site_sources": sql("""SELECT chr, start, "end", ref, alt, af, af AS exac, esp, kg, clnsig, CASE WHEN clnsig IS NOT NULL THEN clndn END AS clndn FROM site0"""),
         "annotate_site_scores": sql(f"SELECT {V}, genes AS gene, CASE WHEN phred>=0 THEN phred/CAST(10 AS DOUBLE) END AS raw_score, CASE WHEN phred>=0 THEN phred END AS phred FROM site0"),
         "split_genes": sql(f"SELECT {A} FROM site"),
@@ -291,13 +291,13 @@ def oracle_sql() -> dict[str, str]:
   LEFT JOIN (SELECT iid, count(*) AS n_ranked FROM (SELECT iid FROM single WHERE rk=1 UNION ALL SELECT iid FROM pairs WHERE rk<=2) GROUP BY iid) b ON a.iid=b.iid"""),
         "worst_per_gene": sql(f"SELECT {CALLED}, geno, {CLAMPED} FROM ranked WHERE rk=1"),
         "worst_pair": sql(f"SELECT {CALLED}, replace(geno,'het','chet') AS geno, {CLAMPED}, CAST(rk AS INT) AS rank FROM ranked WHERE zyg='het' AND cnt>=2 AND rk<=2"),
-        "pair_psap": sql(f"SELECT {CALLED}, CAST(rk AS INT) AS rank, pair_p AS psap FROM pairs WHERE rk<=2"),
-        "model_het": sql(f"SELECT {model}, psap FROM single WHERE zyg='het' AND rk=1"),
-        "model_hom": sql(f"SELECT {model}, psap FROM single WHERE zyg='hom' AND rk=1"),
-        "model_chet": sql(f"SELECT {model}, pair_p AS psap FROM pairs WHERE rk<=2"),
-        "model_hem": sql(f"SELECT {model}, psap FROM single WHERE zyg='hem' AND rk=1"),
+        "pair_prob": sql(f"SELECT {CALLED}, CAST(rk AS INT) AS rank, pair_p AS prob FROM pairs WHERE rk<=2"),
+        "model_het": sql(f"SELECT {model}, prob FROM single WHERE zyg='het' AND rk=1"),
+        "model_hom": sql(f"SELECT {model}, prob FROM single WHERE zyg='hom' AND rk=1"),
+        "model_chet": sql(f"SELECT {model}, pair_p AS prob FROM pairs WHERE rk<=2"),
+        "model_hem": sql(f"SELECT {model}, prob FROM single WHERE zyg='hem' AND rk=1"),
         "rank_variants": sql(WORST),
-        "report_all": sql(f"SELECT {OUT}, psap FROM single UNION ALL SELECT {OUT}, chet_p AS psap FROM pairs"),
+        "report_all": sql(f"SELECT {OUT}, prob FROM single UNION ALL SELECT {OUT}, chet_p AS prob FROM pairs"),
         "rank_variants_full": _full_ranked("cadd16"),
         "rank_variants_cadd13_v14": _full_ranked("cadd13_v14"),
         "rank_variants_cadd13_v13": _full_ranked("cadd13_v13"),
@@ -308,11 +308,11 @@ def oracle_sql() -> dict[str, str]:
             _full("cadd13_v14"),
         ),
         "candidate_report": sql(f"""SELECT key, gene, dz_model, count(DISTINCT o.iid) AS n_cases FROM ({WORST}) o JOIN ped p ON p.iid=o.iid AND p.status=2
-  WHERE psap<0.05 AND (key, gene) NOT IN (SELECT key, gene FROM raw WHERE status=1 AND geno NOT IN ('ref','miss')) GROUP BY key, gene, dz_model HAVING count(DISTINCT o.iid)>=2"""),
+  WHERE prob<0.05 AND (key, gene) NOT IN (SELECT key, gene FROM raw WHERE status=1 AND geno NOT IN ('ref','miss')) GROUP BY key, gene, dz_model HAVING count(DISTINCT o.iid)>=2"""),
         "cnv_union": sql(f"SELECT iid, {V}, gene, exonic_func, filter, geno0 AS geno FROM cnv0"),
         "merge_cnv": sql(f"SELECT {CALLED}, exonic_func, geno, false AS is_cnv FROM raw UNION ALL SELECT {CALLED}, exonic_func, geno, true FROM cnv"),
         "ranked_report_rows": sql(f"""SELECT iid AS "ID", key AS "Key", chr AS "Chr", start AS "Start", ref AS "Ref", alt AS "Alt", total_read AS "Total_Read", alt_read AS "Alt_Read",
   gene AS "Gene_wgEncodeGencodeBasicV35", func AS "Func_wgEncodeGencodeBasicV35", exonic_func AS "ExonicFunc_wgEncodeGencodeBasicV35", aa_change AS "AAChange_wgEncodeGencodeBasicV35",
   gene_detail AS "GeneDetail_wgEncodeGencodeBasicV35", af AS "AF", af_afr AS "AF_afr", af_nfe AS "AF_nfe", phred AS "CADD16phred", clnsig AS "CLNSIG", clndn AS "CLNDN",
-  geno AS "Geno", dz_model AS "Dz_Model", psap AS "PSAP" FROM ({WORST})"""),
+  geno AS "Geno", dz_model AS "Dz_Model", prob AS "PSAP" FROM ({WORST})"""),
     }

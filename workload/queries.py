@@ -409,7 +409,7 @@ def rescore_indels_v13(spark, d):
 @query
 def null_cells(spark, d):
     rows = models.with_zygosity(_rankable(spark, d)).filter("zyg = 'het'")
-    return null_lookup(rows, c.nulls(spark, d), "het").select(*CALLED, "eth", "phred", "psap")
+    return null_lookup(rows, c.nulls(spark, d), "het").select(*CALLED, "eth", "phred", "prob")
 
 
 @query
@@ -477,13 +477,13 @@ def worst_pair(spark, d):
 
 
 @query
-def pair_psap(spark, d):
+def pair_prob(spark, d):
     pairs = null_lookup(models.worst_pair(_rankable(spark, d)), c.nulls(spark, d), "chet")
-    return models.pair_psap(pairs).select(*CALLED, "rank", "psap")
+    return models.pair_prob(pairs).select(*CALLED, "rank", "prob")
 
 
 def _model(f, spark, d):
-    return f(_rankable(spark, d), c.nulls(spark, d)).select(*CALLED, "geno", "phred", "dz_model", "psap")
+    return f(_rankable(spark, d), c.nulls(spark, d)).select(*CALLED, "geno", "phred", "dz_model", "prob")
 
 
 @query
