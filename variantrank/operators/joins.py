@@ -15,16 +15,16 @@ TRACKED_KEYS = 16384
 
 
 def _field_bytes(field: T.StructField) -> Column:
-    col = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
-    if isinstance(field.dataType, T.ArrayType):
-        if isinstance(field.dataType.elementType, T.StringType):
-            return F.coalesce(F.octet_length(F.array_join(col, " ")), F.lit(0)) + 8 * F.size(col).cast("long")
-        return 8 * F.coalesce(F.size(col), F.lit(0)).cast("long")
-    if isinstance(field.dataType, T.StructType):
-        return F.lit(16 * len(field.dataType.fields)).cast("long")
-    return F.lit(8).cast("long")
+    col, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType):
+        size = F.octet_length(col)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = 8 * F.size(col)
+    elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        size = F.octet_length(F.to_json(col))
+    else:
+        size = F.lit(0)
+    return 8 + F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)).cast("long")
 
 
 def data_bytes(df: DataFrame) -> int:

@@ -156,8 +156,9 @@ class Run:
         throws out every call at a site that cannot be ranked.
         """
         sites = self.scored_sites()
-        # Sites with re-scored rows may have grown; otherwise they are a part of the whole.
-        size = self.site_bytes if self.indels is None else None
+        # Without re-scoring these are some of the sites, each with less than 300 bytes of
+        # cells where a measured site row has over 150; re-scored rows may have multiplied.
+        size = 3 * self.site_bytes if self.indels is None else None
         rows = lookup_join(
             self._calls(), sites, VARIANT, "inner", spread=["iid", "ord"], small_bytes=size
         )

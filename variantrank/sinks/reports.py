@@ -33,27 +33,25 @@ def report_name(kind: str, report_all: bool = False):
 
 
 def write_tsv(
-    rows: DataFrame, path: str, profile: Profile, kind: str = "ranked", report_all: bool = False,
-    parts_per_person: int = 1,
+    rows: DataFrame, path: str, profile: Profile, kind: str = "ranked", report_all: bool = False
 ) -> None:
     """One folder per person, named like the report, of tab-separated text with a header.
 
-    Rows of a person are sorted by model and gene. A report too long for one
-    task (all rows of a huge person) is cut by ``parts_per_person``.
+    Rows of a person are sorted by model and gene. The rebalance hint gathers a
+    person in one task, yet lets adaptive execution split a very large one.
     """
     columns = profile.ranked_columns if kind == "ranked" else profile.dropped_columns
     named = rows.select(
         report_name(kind, report_all).alias("report"),
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(n) for c, n in columns],
     )
-    part = F.pmod(F.xxhash64("Key"), F.lit(parts_per_person))
     sort = [F.col("report")]
     if kind == "ranked":
         # Reports write a missing model as NA, which sorts after every label.
         sort.append(F.when(F.col("`Dz.Model`") != "NA", F.col("`Dz.Model`")).asc_nulls_last())
     sort.append(F.col(f"`{dict(columns)['gene']}`"))
     (
-        named.repartition("report", part)
+        named.hint("rebalance", F.col("report"))
         .sortWithinPartitions(*sort)
         .write.mode("overwrite")
         .partitionBy("report")
@@ -66,11 +64,10 @@ def write_tsv(
     )
 
 
-def write_parquet(rows: DataFrame, path: str, parts_per_person: int = 1) -> None:
+def write_parquet(rows: DataFrame, path: str) -> None:
     """Parquet by family and person; a second run replaces only the people it holds."""
-    part = F.pmod(F.xxhash64("key"), F.lit(parts_per_person))
     (
-        rows.repartition("fam_id", "iid", part)
+        rows.hint("rebalance", F.col("fam_id"), F.col("iid"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
