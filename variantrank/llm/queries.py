@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from variantrank.llm import weak_supervision
+from variantrank.llm import templates, weak_supervision
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds, also with other figures or names."""
+    return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
 }
