@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from variantrank.llm import templates, weak_supervision
+from variantrank.llm import language_id, templates, weak_supervision
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +21,30 @@ def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; the table's own lang column is the declared one and source is the host."""
+    docs = table(spark, sf_dir, "documents")
+    rows = language_id.evidence_of(docs, "doc_id", "text", F.col("lang"), host=F.col("source"))
+    return language_id.identify(rows).withColumnRenamed("id", "doc_id")
+
+
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language from its visible text, its markup's lang attribute, its address and its host."""
+    markup = F.regexp_extract("html", r"(?is)<html[^>]*?\blang\s*=\s*[\"']?([a-z-]+)", 1)
+    hidden = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
+    pages = table(spark, sf_dir, "pages").withColumn("visible", F.regexp_replace(hidden, r"<[^>]*>", " "))
+    rows = language_id.evidence_of(pages, "page_id", "visible", markup, address=F.col("url"))
+    return language_id.identify(rows).withColumnRenamed("id", "page_id")
+
+
 def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, also with other figures or names."""
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "language_of_pages": language_of_pages,
     "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
 }
