@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import language_id, templates, weak_supervision
+from variantrank.llm import harmonic, language_id, length_histogram, license_scan, templates, weak_supervision
+
+
+def vocabulary() -> str:
+    """The rank file of the 50k byte-level BPE; the same place on every machine that has the tokenizer files installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,14 +44,33 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(rows).withColumnRenamed("id", "page_id")
 
 
+def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 1024 tokens."""
+    return harmonic.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it holds, also with other figures or names."""
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every language and length that occurs, what cutting there or asking for longer documents would give."""
+    docs = table(spark, sf_dir, "documents")
+    return length_histogram.totals(length_histogram.histogram(docs, vocabulary(), "lang")).withColumnRenamed("group", "lang")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licences."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "language_of_pages": language_of_pages,
+    "op4_harmonic_packing": op4_harmonic_packing,
     "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
+    "op9_length_histogram": op9_length_histogram,
+    "op10_license_scan": op10_license_scan,
 }
