@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Words are runs without ASCII white space (Java and SQL regular expression of the gaps between them).
 GAP = r"[\x20\x09-\x0D]+"
+#: Rows that one task numbers at a time in number_rows().
+ROWS_PER_BLOCK = 250_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -74,22 +76,27 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], out: str, rows_per_block: int = 250_000) -> DataFrame:
-    """Add out: 0, 1, 2, ... within each group, without gaps, in an order that depends on the order columns alone.
+def number_rows(df: DataFrame, group: list[str], order: list[str], out: str, ordered: bool = False) -> DataFrame:
+    """Add out: 0, 1, 2, ... within each group, without gaps; with ordered, in the order of the order columns.
 
-    A group of any size is dealt into blocks by a hash of the order columns, numbered there, and shifted by the sizes of
-    the blocks before, so no task sorts a whole group. Rows equal in all order columns are numbered in any order.
+    A group of any size lies in many blocks, ranges of the order or else hashes of it, is numbered in each block and
+    shifted by the sizes of the blocks before, so no task sorts a whole group. Rows equal in all order columns are
+    numbered in any order.
     """
-    blocks = max(64, df.count() // rows_per_block + 1)
-    dealt = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    blocks = max(64, df.count() // ROWS_PER_BLOCK + 1)
+    if ordered:
+        dealt = write_stage(df.repartitionByRange(blocks, *group, *order).withColumn("_block", F.spark_partition_id()), "ranges")
+    else:
+        dealt = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
+    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         dealt.groupBy(*group, "_block")
         .agg(F.count("*").alias("_rows"))
-        .withColumn(
-            "_start",
-            F.sum("_rows").over(Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)),
+        .select(
+            *[F.col(c).alias(f"_{c}") for c in group],
+            F.col("_block").alias("_at"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         )
-        .select(*[F.col(c).alias(f"_{c}") for c in group], F.col("_block").alias("_at"), F.coalesce("_start", F.lit(0)).alias("_start"))
     )
     local = dealt.withColumn("_n", F.row_number().over(Window.partitionBy(*group, "_block").orderBy(*order)))
     same = F.col("_block") == F.col("_at")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import harmonic, language_id, length_histogram, license_scan, templates, weak_supervision
+from variantrank.llm import harmonic, kdtree, language_id, length_histogram, license_scan, quotes, templates, weak_supervision
 
 
 def vocabulary() -> str:
@@ -44,6 +44,11 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(rows).withColumnRenamed("id", "page_id")
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, its parent, and its place in the reply order of its conversation."""
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 1024 tokens."""
     return harmonic.pack(table(spark, sf_dir, "documents"), vocabulary())
@@ -54,6 +59,18 @@ def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards of nearly equal bytes, cut along size, language, source and id."""
+    dimensions = {
+        "size": F.log2(F.coalesce(F.octet_length("text"), F.lit(0)) + 1),
+        "lang": F.crc32(F.col("lang")),
+        "source": F.crc32(F.col("source")),
+        "id": F.col("doc_id"),
+    }
+    placed = kdtree.shard(table(spark, sf_dir, "documents"), 16, dimensions)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every language and length that occurs, what cutting there or asking for longer documents would give."""
     docs = table(spark, sf_dir, "documents")
@@ -68,9 +85,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "language_of_pages": language_of_pages,
+    "op2_quotation_links": op2_quotation_links,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
+    "op7_kdtree_shards": op7_kdtree_shards,
     "op9_length_histogram": op9_length_histogram,
     "op10_license_scan": op10_license_scan,
 }
