@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from variantrank.llm.common import number_rows, write_stage
 
-STEPS = 4096
+#: Sums per node and round that come to the driver; bits of the tie among rows with one key; the key of null.
+STEPS, TIE_BITS, LOWEST = 4096, 48, -(1 << 40)
 #: A group of equal texts with more than this share of a leaf's bytes is cut between ids.
 SPLIT_FROM = 0.02
 
@@ -46,10 +47,8 @@ def points(docs: DataFrame, id_col: str, text_col: str, dimensions: dict[str, Co
 
 
 def _key(value: Column) -> Column:
-    """A long in the order of a double; null first."""
-    low, high = -(1 << 50), 1 << 50
-    scaled = F.greatest(F.least(F.round(value * 1024), F.lit(float(high))), F.lit(float(low + 1)))
-    return F.coalesce(scaled.cast("long"), F.lit(low))
+    """A long in the order of a double, in sixteenths; null first."""
+    return F.coalesce(F.round(value * 16).cast("long"), F.lit(LOWEST))
 
 
 def _of(values: dict[int, int]) -> Column:
@@ -57,11 +56,11 @@ def _of(values: dict[int, int]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in values.items() for x in pair]), F.col("node").cast("long"))
 
 
-def _reach(rows: DataFrame, column: str, wanted: dict[int, float]) -> tuple[dict[int, int], dict[int, float]]:
-    """For each node the least value of column with which at least the wanted weight is reached, and the weight below it."""
-    ends = rows.groupBy("node").agg(F.min(column).alias("low"), F.max(column).alias("high")).collect()
-    low, high = {r["node"]: r["low"] for r in ends}, {r["node"]: r["high"] for r in ends}
-    below = dict.fromkeys(low, 0.0)
+def _reach(rows: DataFrame, column: str, ends: dict[int, tuple[int, int]], wanted: dict[int, float], totals: dict[int, float]):
+    """For each node the least value of column with which at least the wanted weight is reached, the weight below it and
+    the weight at it. ends: bounds of column; totals: the weight of the node's rows."""
+    low, high = {n: a for n, (a, _) in ends.items()}, {n: b for n, (_, b) in ends.items()}
+    below, there = dict.fromkeys(low, 0.0), dict(totals)
     while any(low[n] < high[n] for n in low):
         width = {n: max(1, -(-(high[n] - low[n] + 1) // STEPS)) for n in low}
         inside = rows.where(F.col(column).between(_of(low), _of(high)))
@@ -70,57 +69,57 @@ def _reach(rows: DataFrame, column: str, wanted: dict[int, float]) -> tuple[dict
         for r in inside.groupBy("node", F.expr("above div width").alias("step")).agg(F.sum("weight").alias("w")).collect():
             sums.setdefault(r["node"], []).append((r["step"], float(r["w"])))
         for n, steps in sums.items():
-            for step, weight in sorted(steps):
-                last = step == max(steps)[0]
-                if last or below[n] + weight >= wanted[n]:
+            steps.sort()
+            for step, weight in steps:
+                if step == steps[-1][0] or below[n] + weight >= wanted[n]:
                     low[n], high[n] = low[n] + step * width[n], min(high[n], low[n] + (step + 1) * width[n] - 1)
+                    there[n] = weight
                     break
                 below[n] += weight
-    return low, below
-
-
-def _medians(rows: DataFrame, shares: dict[int, float]) -> dict[int, tuple[int, int]]:
-    """For each node (key, tie): the rows up to it hold the node's share of weight, or the least more that ties allow."""
-    totals = {r["node"]: float(r["w"]) for r in rows.groupBy("node").agg(F.sum("weight").alias("w")).collect()}
-    if not totals:
-        return {}
-    wanted = {n: totals[n] * shares[n] for n in totals}
-    keys, below = _reach(rows, "key", wanted)
-    ties, _ = _reach(rows.where(F.col("key") == _of(keys)), "tie", {n: wanted[n] - below[n] for n in keys})
-    return {n: (keys[n], ties[n]) for n in keys}
+    return low, below, there
 
 
 def shard(docs: DataFrame, shards: int, dimensions: dict[str, Column], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, size, text_crc32, shard, slot. Shards hold nearly equal bytes; slots are gapless.
 
-    Nodes are numbered in order of shards: a node is split into its lower and upper half of shards, so any number of
-    shards works. The widest dimension of a node is the one with the largest spread relative to the corpus.
+    A node of several shards is cut into its lower and its upper half of them, so any number of shards works. Its widest
+    dimension is the one with the largest spread relative to the corpus. A point that the cut falls on goes to the side
+    that it leaves closer to its share.
     """
     rows = write_stage(points(docs, id_col, text_col, dimensions), "grouped-points")
     names = [f"d_{name}" for name in dimensions]
     whole = rows.agg(F.sum("size").alias("bytes"), *[F.stddev_pop(n).alias(n) for n in names]).first()
     spread = {n: whole[n] or 1.0 for n in names}
-    target = (whole["bytes"] or 0) / shards
-    large = F.col("group_bytes") > SPLIT_FROM * target
+    large = F.col("group_bytes") > SPLIT_FROM * (whole["bytes"] or 0) / shards
     # Members of a small group share one tie and so one side; those of a large one are told apart by id.
-    tie = F.shiftrightunsigned(F.xxhash64("same", "text_crc32", "size", F.when(large, F.col("id"))), 2)
+    tie = F.shiftrightunsigned(F.xxhash64("same", "text_crc32", "size", F.when(large, F.col("id"))), 64 - TIE_BITS)
     rows = rows.withColumn("tie", tie).withColumn("weight", F.col("size")).withColumn("node", F.lit(0))
     spans = {0: (0, shards)}
     while any(b - a > 1 for a, b in spans.values()):
-        open_nodes = [n for n, (a, b) in spans.items() if b - a > 1]
-        spreads = rows.where(F.col("node").isin(open_nodes)).groupBy("node").agg(*[F.stddev_pop(n).alias(n) for n in names]).collect()
-        widest = {r["node"]: max(names, key=lambda n, r=r: ((r[n] or 0.0) / spread[n], n)) for r in spreads}
+        middle = {n: (a + b) // 2 for n, (a, b) in spans.items() if b - a > 1}
+        open_rows = rows.where(F.col("node").isin(list(middle)))
+        seen = [x for n in names for x in (F.stddev_pop(n).alias(n), F.min(_key(F.col(n))).alias(f"low_{n}"), F.max(_key(F.col(n))).alias(f"high_{n}"))]
+        nodes = {r["node"]: r for r in open_rows.groupBy("node").agg(F.sum("weight").alias("w"), *seen).collect()}
         key = F.lit(None).cast("long")
-        for node, name in widest.items():
-            key = F.when(F.col("node") == node, _key(F.col(name))).otherwise(key)
-        keyed = rows.where(F.col("node").isin(open_nodes)).select("node", key.alias("key"), "tie", "weight")
-        middle = {n: (sum(spans[n]) // 2) for n in open_nodes}
-        cuts = _medians(keyed, {n: (middle[n] - spans[n][0]) / (spans[n][1] - spans[n][0]) for n in open_nodes})
+        totals, wanted, ends = {}, {}, {}
+        for n, r in nodes.items():
+            name = max(names, key=lambda x, r=r: ((r[x] or 0.0) / spread[x], x))
+            key = F.when(F.col("node") == n, _key(F.col(name))).otherwise(key)
+            ends[n], totals[n] = (r[f"low_{name}"], r[f"high_{name}"]), float(r["w"])
+            wanted[n] = totals[n] * (middle[n] - spans[n][0]) / (spans[n][1] - spans[n][0])
         side = F.col("node")
-        for n, (at, t) in cuts.items():
-            upper = (key > at) | ((key == at) & (F.col("tie") > t))
-            side = F.when(F.col("node") == n, F.when(upper, middle[n]).otherwise(spans[n][0])).otherwise(side)
+        if nodes:
+            keyed = open_rows.select("node", key.alias("key"), "tie", "weight")
+            keys, below, there = _reach(keyed, "key", ends, wanted, totals)
+            here = keyed.where(F.col("key") == _of(keys))
+            rest = {n: wanted[n] - below[n] for n in keys}
+            ties, under, last = _reach(here, "tie", dict.fromkeys(keys, (0, (1 << TIE_BITS) - 1)), rest, there)
+            for n, at in keys.items():
+                cut = ties[n] if rest[n] - under[n] >= last[n] / 2 else ties[n] - 1
+                upper = (key > at) | ((key == at) & (F.col("tie") > cut))
+                side = F.when(F.col("node") == n, F.when(upper, middle[n]).otherwise(spans[n][0])).otherwise(side)
         rows = write_stage(rows.withColumn("node", side.cast("int")), "nodes")
-        spans = {x: s for n, (a, b) in spans.items() for x, s in (((a, (a, middle[n])), (middle[n], (middle[n], b))) if n in middle else ((n, (a, b)),))}
+        halves = {n: ((a, middle[n]), (middle[n], b)) if n in middle else ((a, b),) for n, (a, b) in spans.items()}
+        spans = {span[0]: span for parts in halves.values() for span in parts}
     placed = rows.select("id", "size", "text_crc32", F.col("node").alias("shard"))
     return number_rows(placed, ["shard"], ["id", "text_crc32"], "slot").withColumnRenamed("id", id_col)

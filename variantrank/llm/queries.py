@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import harmonic, kdtree, language_id, length_histogram, license_scan, quotes, templates, weak_supervision
+from variantrank.llm import harmonic, kdtree, language_id, length_histogram, license_scan, quotes, setsketch, templates, weak_supervision
 
 
 def vocabulary() -> str:
@@ -49,6 +49,11 @@ def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(table(spark, sf_dir, "conversations"))
 
 
+def op3_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 1024 tokens."""
     return harmonic.pack(table(spark, sf_dir, "documents"), vocabulary())
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "language_of_pages": language_of_pages,
     "op2_quotation_links": op2_quotation_links,
+    "op3_setsketch_dedup": op3_setsketch_dedup,
     "op4_harmonic_packing": op4_harmonic_packing,
     "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
