@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import harmonic, kdtree, language_id, length_histogram, license_scan, quotes, setsketch, templates, weak_supervision
+from variantrank.llm import harmonic, kdtree, kneser_ney, language_id, length_histogram, license_scan, quotes, setsketch, templates, weak_supervision
 
 
 def vocabulary() -> str:
@@ -76,6 +76,12 @@ def op7_kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's perplexity under the model of trusted documents, those labelled good and not toxic."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select(F.col("doc_id").alias("id"))
+    return kneser_ney.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 def op9_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every language and length that occurs, what cutting there or asking for longer documents would give."""
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_template_leaks": op5_template_leaks,
     "op6_quality_votes": op6_quality_votes,
     "op7_kdtree_shards": op7_kdtree_shards,
+    "op8_kneser_ney": op8_kneser_ney,
     "op9_length_histogram": op9_length_histogram,
     "op10_license_scan": op10_license_scan,
 }
