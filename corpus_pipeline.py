@@ -1,20 +1,54 @@
-"""The corpus pipeline: each stage applies one operator to all that the stage before kept."""
+"""The corpus pipeline: each stage applies one operator to all that the stage before kept.
+
+quality_rules, language_id, near_duplicates and decontamination return the kept rows with the columns of documents;
+packing returns the packed pieces of what is left. Rows with the same id are one document: they go or stay together.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from variantrank.llm import harmonic, language_id, setsketch, templates, weak_supervision
+from variantrank.llm.common import drop_ids, write_stage
+from variantrank.llm.queries import vocabulary
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised rules accept."""
+    return drop_ids(docs, weak_supervision.quality(docs).where("not kept"))
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear from their text, their declared language and their source."""
+    rows = language_id.evidence_of(docs, "doc_id", "text", F.col("lang"), host=F.col("source"))
+    return drop_ids(docs, language_id.identify(rows).where("not kept").withColumnRenamed("id", "doc_id"))
+
+
+def keep_representatives(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest id."""
+    return drop_ids(docs, setsketch.near_duplicates(docs, percent=80).where("not kept"))
+
 
-from variantrank.llm import weak_supervision
-from variantrank.llm.common import write_stage
+def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, also not with other figures or names."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return drop_ids(docs, templates.leaks(docs, benchmark))
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop what the weakly supervised rules reject."""
-    keys = weak_supervision.quality(docs).where("kept").select("doc_id").distinct()
-    return docs.join(keys, "doc_id", "left_semi")
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 1024 tokens."""
+    return harmonic.pack(docs, vocabulary())
 
 
-STAGES = [("quality_rules", quality_rules)]
+STAGES = [
+    ("quality_rules", keep_quality),
+    ("language_id", keep_identified),
+    ("near_duplicates", keep_representatives),
+    ("decontamination", keep_uncontaminated),
+    ("packing", pack),
+]
+#: SQL cannot express the tokenizer, nor the sketches; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -33,6 +33,14 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_ids(docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id", most_broadcast: int = 1 << 20) -> DataFrame:
+    """docs without the rows whose id (or null) is in rejected; up to most_broadcast ids are broadcast, more are joined by
+    a shuffle. Rows with one id go or stay together."""
+    gone = write_stage(rejected.select(F.col(id_col).alias("_gone")).distinct(), "rejected")
+    gone = F.broadcast(gone) if gone.count() <= most_broadcast else gone
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -1,6 +1,6 @@
 """Near-duplicate classes with SetSketch registers.
 
-Each document is the set of its distinct five-word shingles. A SetSketch has M registers; register i is the truncated
+Each document is the set of its distinct five-word shingles. A SetSketch has many registers; register i is the truncated
 maximum of 1 - log_b(h_i(x)) over the set's elements x, with exponentially distributed h_i(x), so it tells the minimum on an
 exponentially spaced scale. Sketches of parts merge by the larger register, and equal registers are about as likely as the
 sets are similar. Registers are banded; documents that share a band fall into one candidate cluster, within which the
@@ -11,7 +11,8 @@ No pairs are written out. Equal sets become one node; bands link nodes to their
 full sets of a cluster meet in one task, or, if it has more than BLOCK nodes or BLOCK_SHINGLES shingles, in one task for each
 two of its blocks. A task keeps a union of confirmed links and returns at most one link per node.
 
-Recall: a pair at the threshold is missed with probability (1 - 0.85^7)^40 < 2e-7, and only if no chain links it either.
+Recall: the number of bands follows from the threshold so that a pair just as similar as it is missed with a probability
+of MISS at most, and then only if no chain of links joins it either (40 bands for 85 %, 66 for 80 %).
 
 Defined results: null and empty texts have no shingle and are linked with nothing, like rows with a null id; texts with
 fewer words than a shingle are one shingle; repeated rows get the same class; an empty table gives an empty result; other
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 
 from variantrank.llm.common import components, write_stage
 
-ROWS, BANDS = 7, 40
-M = ROWS * BANDS
+#: Registers per band, and the chance to miss a pair that is as similar as the threshold.
+ROWS, MISS = 7, 2e-7
+MOST_BANDS = 128
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
 #: How far below the threshold a likely similarity may lie and still be confirmed: over four standard errors.
 MARGIN = 0.12
@@ -40,8 +42,8 @@ BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 #: Nodes whose ids are broadcast at most, at 8 bytes each.
 MOST_BROADCAST = 1 << 20
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_ODD = np.random.default_rng(7).integers(0, 1 << 63, M, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND = np.random.default_rng(8).integers(0, 1 << 63, (ROWS, BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(7).integers(0, 1 << 63, ROWS * MOST_BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = np.random.default_rng(8).integers(0, 1 << 63, (ROWS, MOST_BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CHUNK = 1 << 15
 
 
@@ -74,9 +76,14 @@ def shingles(text: str | None, size: int, known: dict[bytes, int]) -> np.ndarray
     return np.unique(_mix(out))
 
 
-def registers(sets: list[np.ndarray]) -> np.ndarray:
-    """The M registers of each set (one row each); sets must not be empty."""
-    out = np.empty((len(sets), M), np.uint64)
+def bands_for(percent: int) -> int:
+    """How many bands miss a pair at the threshold with a probability of MISS at most."""
+    return min(MOST_BANDS, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS)))
+
+
+def registers(sets: list[np.ndarray], m: int) -> np.ndarray:
+    """The m registers of each set (one row each); sets must not be empty."""
+    out = np.empty((len(sets), m), np.uint64)
     start = 0
     while start < len(sets):
         end, n = start, 0
@@ -84,7 +91,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
             n, end = n + len(sets[end]), end + 1
         flat = np.concatenate(sets[start:end])
         at = np.cumsum([0, *[len(s) for s in sets[start : end - 1]]])
-        for i in range(M):
+        for i in range(m):
             out[start:end, i] = np.minimum.reduceat(flat * _ODD[i], at)
         start = end
     least = -np.log1p(-(out.astype(np.float64) + 0.5) / 2.0**64) / RATE
@@ -98,16 +105,17 @@ def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def bands(regs: np.ndarray) -> np.ndarray:
     """A key for each band of registers; keys of different bands differ."""
-    parts = regs.reshape(len(regs), BANDS, ROWS).astype(np.uint64) + np.uint64(1)
-    mixed = _mix(parts.transpose(0, 2, 1) * _BAND).sum(axis=1, dtype=np.uint64)
-    return _mix(mixed + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+    n = regs.shape[1] // ROWS
+    parts = regs.reshape(len(regs), n, ROWS).astype(np.uint64) + np.uint64(1)
+    mixed = _mix(parts.transpose(0, 2, 1) * _BAND[:, :n]).sum(axis=1, dtype=np.uint64)
+    return _mix(mixed + np.arange(n, dtype=np.uint64)).view(np.int64)
 
 
-def likely(greater: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
+def likely(m: int, greater: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
     """Whether the joint likelihood of the register comparison still rises at this similarity, so that its maximum, the
     estimate, is not below it. The chance of a greater register is p(u - vJ), of a smaller one p(v - uJ), with
     p(x) = -log_b(1 - x (b - 1) / b) and u, v the shares of the two sizes; the likelihood is concave in J."""
-    equal = M - greater - less
+    equal = m - greater - less
     u = n_a / (n_a + n_b)
     v = 1 - u
     most = np.minimum(u / v, v / u)  # no similarity exceeds the ratio of the sizes
@@ -120,7 +128,7 @@ def likely(greater: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarr
     return (slope >= 0) & (most >= similarity)
 
 
-def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
+def _sets(docs: DataFrame, size: int, m: int, full: bool) -> DataFrame:
     """(id, n, node, keys), or with full (node, items, regs), of every document."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,13 +139,13 @@ def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
                 sets = [shingles(text, size, known) for text in batch.column(1).to_pylist()]
                 nodes = pa.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64())
                 some = [s for s in sets if len(s)]
-                regs = registers(some) if some else np.empty((0, M), np.uint16)
+                regs = registers(some, m) if some else np.empty((0, m), np.uint16)
                 if full:
                     held = iter(regs)
                     columns = [nodes, pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([next(held).tobytes() if len(s) else b"" for s in sets], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["node", "items", "regs"])
                 else:
-                    ends = np.cumsum([0, *[BANDS * (len(s) > 0) for s in sets]]).astype(np.int32)
+                    ends = np.cumsum([0, *[m // ROWS * (len(s) > 0) for s in sets]]).astype(np.int32)
                     keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands(regs).ravel() if some else np.empty(0, np.int64)))
                     yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), nodes, keys], ["id", "n", "node", "keys"])
 
@@ -146,7 +154,7 @@ def _sets(docs: DataFrame, size: int, full: bool) -> DataFrame:
     return docs.select("id", "text").mapInArrow(make, schema)
 
 
-def _confirm(members: DataFrame, percent: int) -> DataFrame:
+def _confirm(members: DataFrame, percent: int, m: int) -> DataFrame:
     """Links (a, b) between nodes of the groups (cluster, i, j), one per node at most, confirmed on the full sets."""
 
     def links(group: pa.Table) -> pa.Table:
@@ -154,7 +162,7 @@ def _confirm(members: DataFrame, percent: int) -> DataFrame:
         group = group.take(first)
         node, block = group.column("node").to_numpy(), group.column("block").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("items").to_pylist()]
-        regs = np.frombuffer(b"".join(group.column("regs").to_pylist()), np.uint16).reshape(-1, M)
+        regs = np.frombuffer(b"".join(group.column("regs").to_pylist()), np.uint16).reshape(-1, m)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         n = np.array([len(s) for s in sets], np.float64)
         parent = list(range(len(node)))
@@ -171,7 +179,7 @@ def _confirm(members: DataFrame, percent: int) -> DataFrame:
             if len(others):
                 greater = (regs[a] > regs[others]).sum(axis=1)
                 less = (regs[a] < regs[others]).sum(axis=1)
-                good = likely(greater, less, np.full(len(others), n[a]), n[others], percent / 100 - MARGIN)
+                good = likely(m, greater, less, np.full(len(others), n[a]), n[others], percent / 100 - MARGIN)
                 near += zip((greater + less)[good].tolist(), [int(a)] * int(good.sum()), others[good].tolist(), strict=True)
         for _, a, b in sorted(near):
             x, y = find(a), find(b)
@@ -191,8 +199,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two documents are linked if 100 * intersection >= percent * union of their shingle sets.
     """
+    m = ROWS * bands_for(percent)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = write_stage(_sets(rows, size, False), "sketches")
+    known = write_stage(_sets(rows, size, m, False), "sketches")
     nodes = write_stage(known.where("n > 0 and id is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
     single = known.join(nodes.select("node", "id"), ["node", "id"], "left_semi")
     keys = single.select("node", F.explode("keys").alias("key"))
@@ -208,12 +217,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     wanted = members.select("id")
     wanted = F.broadcast(wanted) if members.count() <= MOST_BROADCAST else wanted
-    full = _sets(rows.join(wanted, "id", "left_semi"), size, True)
+    full = _sets(rows.join(wanted, "id", "left_semi"), size, m, True)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     groups = full.join(placed.withColumn("other", other), "node").select(
         "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "items", "regs"
     )
-    labels = components(_confirm(groups, percent), "classes").withColumnRenamed("id", "node")
+    labels = components(_confirm(groups, percent, m), "classes").withColumnRenamed("id", "node")
     classes = nodes.join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
     smallest = classes.groupBy("label").agg(F.min("id").alias("component_id"))
     found = classes.join(smallest, "label").select("node", "component_id")
