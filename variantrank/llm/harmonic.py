@@ -37,11 +37,11 @@ def cut(length: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     while rest:
         k = capacity // rest
         if capacity - k * rest > SLACK and rest > LEAST_CUT:
-            k += 1
-            pieces.append((capacity // k, k))
+            own = capacity // (k + 1)
         else:
-            pieces.append((rest, k))
-        rest -= pieces[-1][0]
+            own = rest
+        pieces.append((own, capacity // own))
+        rest -= own
     return pieces
 
 
