@@ -44,3 +44,9 @@ def info_keep(info: Column, name: str) -> Column:
 def has_alternate(gt: Column) -> Column:
     """At least one non-reference allele in the GT sub-field."""
     return F.coalesce(F.substring_index(gt, ":", 1).rlike("[1-9]"), F.lit(False))
+
+
+def holds_allele(gt: Column, number: Column) -> Column:
+    """The GT sub-field names this allele; 0 is the reference, 1 the first ALT."""
+    alleles = F.split(F.substring_index(gt, ":", 1), r"[/|]")
+    return F.coalesce(F.array_contains(alleles, number.cast("string")), F.lit(False))

@@ -23,13 +23,22 @@ def usable_people(pedigree: DataFrame) -> DataFrame:
     )
 
 
-def rejected_people(pedigree: DataFrame, calls: DataFrame | None = None) -> DataFrame:
-    """(iid, reason) of the people left out: ``duplicate``, ``sex`` or ``missing``."""
+def rejected_people(
+    pedigree: DataFrame, calls: DataFrame | None = None, samples: DataFrame | None = None
+) -> DataFrame:
+    """(iid, reason) of the people left out: ``duplicate``, ``sex``, ``not_in_vcf`` or ``missing``.
+
+    ``samples`` (iid) are the sample columns of the VCF; a person of the pedigree who could take part but has none is
+    ``not_in_vcf``. People with calls and no pedigree line are ``missing``.
+    """
     listed = pedigree.groupBy("iid").agg(F.count("*").alias("n"), F.first("sex").alias("sex"))
     known_sex = F.coalesce(F.col("sex").isin(1, 2), F.lit(False))
     rejects = listed.select(
         "iid", F.when(F.col("n") > 1, "duplicate").when(~known_sex, "sex").alias("reason")
     ).filter("reason is not null")
+    if samples is not None:
+        absent = listed.join(rejects, "iid", "left_anti").join(samples.select("iid").distinct(), "iid", "left_anti")
+        rejects = rejects.unionByName(absent.select("iid", F.lit("not_in_vcf").alias("reason")))
     if calls is None:
         return rejects
     called = calls.select("iid").distinct()

@@ -88,17 +88,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``big`` with ``small``: broadcast if ``small`` measures at most ``max_bytes``.
 
-    Beyond that it is a shuffled join with the hot keys of ``big`` salted by
-    ``spread`` (columns that tell rows of one key apart). ``small_bytes`` is the
-    size of ``small`` if the caller has measured it already.
+    Beyond that it is a shuffled join whose hot keys adaptive execution splits; nothing runs
+    over ``big`` to plan it. ``spread`` names columns that tell rows of one key apart, for
+    callers that salt by hand (salted_join). ``small_bytes`` is the size of ``small`` if the
+    caller has measured it already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the large side on the left: {how!r} is not supported")
     if small_bytes is None:
         small_bytes = data_bytes(small)
-    if small_bytes <= max_bytes:
-        return big.join(F.broadcast(small), on, how)
-    hot = hot_keys(big, on) if spread else []
-    if not hot:
-        return big.join(small, on, how)
-    return salted_join(big, small, on, how, spread, hot)
+    return big.join(F.broadcast(small) if small_bytes <= max_bytes else small, on, how)

@@ -18,11 +18,19 @@ def table_bytes(nulls: DataFrame) -> int:
     return nulls.select("gene").count() * BINS * 8
 
 
+def only(row, name: Column) -> Column:
+    """Aggregate: the one value of a group, NULL if there is none; more than one stops the run."""
+    value = F.col(row) if isinstance(row, str) else row
+    twice = F.raise_error(F.concat(F.lit("null row listed more than once: "), name))
+    return F.when(F.count(value) > 1, twice).otherwise(F.first(value, ignorenulls=True))
+
+
 def null_lookup(df: DataFrame, nulls: DataFrame, model: str, **join_options) -> DataFrame:
     """Add ``prob``: the cell of (model, ancestry, gene, score bin); NULL for an unlisted gene."""
-    table = nulls.filter(F.col("model") == model).select("eth", "gene", "p")
+    own = nulls.filter(F.col("model") == model).groupBy("eth", "gene")
+    table = own.agg(only("p", F.concat_ws(" ", F.lit(model), "eth", "gene")).alias("p"))
     spread = ["iid"] + VARIANT
-    size = table_bytes(table)
+    size = table_bytes(nulls.filter(F.col("model") == model))
     return (
         lookup_join(
             df, table, ["eth", "gene"], "left", spread=spread, small_bytes=size, **join_options
@@ -38,8 +46,8 @@ def attach_nulls(variants: DataFrame, nulls: DataFrame, **join_options) -> DataF
     Done per site, so the null rows never meet the far larger call table.
     """
     rows = [
-        F.first(
-            F.when((F.col("model") == m) & (F.col("eth") == e), F.col("p")), ignorenulls=True
+        only(
+            F.when((F.col("model") == m) & (F.col("eth") == e), F.col("p")), F.concat_ws(" ", F.lit(m), F.lit(e), "gene")
         ).alias(f"_{e}_{m}")
         for e in ANCESTRIES
         for m in MODELS

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from variantrank.functions.variants import has_alternate, variant_key
 from variantrank.operators.joins import lookup_join
 
 MAX_P = 1e-3
@@ -39,11 +40,14 @@ def candidate_report(
     pedigree: DataFrame,
     max_p: float = MAX_P,
     min_cases: int = MIN_CASES,
+    rejected_calls: DataFrame | None = None,
 ) -> DataFrame:
     """Variants ranked below ``max_p`` in ``min_cases`` affected people and seen in no unaffected.
 
     ``observed`` holds every (iid, key, gene, geno) of the cohort; the carriers among the
     unaffected shrink to distinct (key, gene) within each task before they are shuffled.
+    ``rejected_calls`` are calls of people who take no part in the run (of unknown sex, say): a
+    variant of which an unaffected one of them carries an alternate allele is no candidate either.
     """
     status = pedigree.select("iid", "status")
     cases = lookup_join(
@@ -62,4 +66,11 @@ def candidate_report(
     unaffected = lookup_join(
         carriers, status.filter("status = 1").select("iid"), ["iid"], "left_semi", spread=["key"]
     )
-    return shared.join(unaffected.select("key", "gene").distinct(), ["key", "gene"], "left_anti")
+    found = shared.join(unaffected.select("key", "gene").distinct(), ["key", "gene"], "left_anti")
+    if rejected_calls is None:
+        return found
+    carried = rejected_calls.filter(has_alternate(F.col("gt"))).withColumn("key", variant_key())
+    apart = lookup_join(
+        carried, status.filter("status = 1").select("iid"), ["iid"], "left_semi", spread=["key"]
+    )
+    return found.join(apart.select("key").distinct(), "key", "left_anti")

@@ -19,12 +19,22 @@ def annotate_sites(sites: DataFrame, sources: dict[str, DataFrame]) -> DataFrame
     All joins share one key, so the sites are shuffled once for the whole chain.
     """
     on = ["chr", "start", "end", "ref", "alt"]
-    return reduce(lambda df, source: df.join(source, on, "left"), sources.values(), sites)
+    return reduce(lambda df, source: df.join(one_per_key(source, on), on, "left"), sources.values(), sites)
 
 
 def annotate_scores(sites: DataFrame, scores: DataFrame) -> DataFrame:
     """Left join (chr, start, ref, alt, raw_score, phred); unscored sites stay, with NULL."""
-    return sites.join(scores.select(*VARIANT, "raw_score", "phred"), VARIANT, "left")
+    return sites.join(one_per_key(scores.select(*VARIANT, "raw_score", "phred"), VARIANT), VARIANT, "left")
+
+
+def one_per_key(source: DataFrame, on: list[str]) -> DataFrame:
+    """The source with one row per key: of a key listed more than once the least row, so that sites never multiply.
+
+    It shuffles by the key of the join that follows, which then needs no shuffle of its own for this side.
+    """
+    rest = [c for c in source.columns if c not in on]
+    least = source.groupBy(*on).agg(F.min(F.struct(*rest)).alias("_row"))
+    return least.select(*on, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 def site_drops(profile: Profile) -> Column:

@@ -33,11 +33,16 @@ from variantrank.operators.models import own_probabilities, rank_models
 from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
 from variantrank.operators.sites import flag_variants, prepare_sites
 from variantrank.profiles import CADD16, Profile
+from variantrank.sources.contracts import require_sources
 
 
 @dataclass(frozen=True)
 class Cohort:
-    """Input tables of one run; the last three are optional."""
+    """Input tables of one run; those after ``nulls`` are optional.
+
+    ``samples`` (iid) are the sample columns of the VCF; without them nobody is rejected as not being there.
+    ``required_sources`` and ``sources`` (source) are annotation sources; a missing one stops the run before it starts.
+    """
 
     calls: DataFrame
     sites: DataFrame
@@ -48,11 +53,16 @@ class Cohort:
     indels: DataFrame | None = None
     cnv_dels: DataFrame | None = None
     cnv_dups: DataFrame | None = None
+    samples: DataFrame | None = None
+    required_sources: DataFrame | None = None
+    sources: DataFrame | None = None
 
 
 @dataclass(frozen=True)
 class Options:
-    """``unique_calls``: no person has two calls of one variant, so none is looked for."""
+    """``unique_calls``: no person has two calls of one variant, so none is looked for. A hazard: where the
+    caller's word is wrong, repeated calls pair up as false compound heterozygotes.
+    """
 
     report_all: bool = False
     rescore_cnv: bool = True
@@ -77,6 +87,8 @@ class Run:
 
     def __init__(self, cohort: Cohort, profile: Profile = CADD16, options: Options = Options()):
         self.cohort, self.profile, self.options = cohort, profile, options
+        if cohort.required_sources is not None:
+            require_sources(cohort.required_sources, cohort.sources)
         self.people = usable_people(cohort.pedigree)
         lists = merged_lists({"is_xy": cohort.xy_genes, "in_lookup": cohort.lookup_genes})
         self.list_bytes = data_bytes(lists)
@@ -102,6 +114,10 @@ class Run:
     def people_bytes(self) -> int:
         return data_bytes(self.people)
 
+    @cached_property
+    def indel_bytes(self) -> int:
+        return data_bytes(self.cohort.indels)
+
     @cached_property
     def null_bytes(self) -> int:
         return table_bytes(self.cohort.nulls)
@@ -156,9 +172,9 @@ class Run:
         throws out every call at a site that cannot be ranked.
         """
         sites = self.scored_sites()
-        # Without re-scoring these are some of the sites, each with less than 300 bytes of
-        # cells where a measured site row has over 150; re-scored rows may have multiplied.
-        size = 3 * self.site_bytes if self.indels is None else None
+        # These are some of the sites, each with less than 300 bytes of cells where a measured site
+        # row has over 150. An indel score adds a row per gene of its variant, few at most.
+        size = 3 * self.site_bytes + (0 if self.indels is None else 10 * self.indel_bytes)
         rows = lookup_join(
             self._calls(), sites, VARIANT, "inner", spread=["iid", "ord"], small_bytes=size
         )
@@ -252,18 +268,13 @@ class Run:
         kept_cnv = cnv.filter(F.col("drop_reason") == "").select(*key).distinct()
         lost_cnv = cnv.join(kept_cnv, key, "left_anti").select(*lost.columns).distinct()
         # Only calls that share a key with a lost copy-number row can matter to it.
-        kept_calls = lookup_join(
-            raw.filter("key_kept").select(*key),
-            lost_cnv.select(*key).distinct(),
-            key,
-            "left_semi",
-            spread=["key"],
-        )
+        # These keys are derived, so nothing measures them: adaptive execution chooses and splits the joins.
+        kept_calls = raw.filter("key_kept").select(*key).join(lost_cnv.select(*key).distinct(), key, "left_semi")
         lost_cnv = lost_cnv.join(kept_calls.distinct(), key, "left_anti")
-        return lookup_join(lost, kept_cnv, key, "left_anti", spread=["gene"]).unionByName(lost_cnv)
+        return lost.join(kept_cnv, key, "left_anti").unionByName(lost_cnv)
 
     def rejects(self) -> DataFrame:
-        return rejected_people(self.cohort.pedigree, self.cohort.calls)
+        return rejected_people(self.cohort.pedigree, self.cohort.calls, self.cohort.samples)
 
 
 def rank_variants(cohort: Cohort, profile: Profile = CADD16, options: Options = Options()) -> Result:

@@ -14,7 +14,7 @@ def missing_sources(required: DataFrame, available: DataFrame) -> DataFrame:
 
 def require_sources(required: DataFrame, available: DataFrame) -> None:
     """Raise if any required source is missing."""
-    lacking = [r["source"] for r in missing_sources(required, available).take(20)]
+    lacking = [r["source"] for r in missing_sources(required, available).collect()]
     if lacking:
         raise ValueError(f"missing annotation sources: {sorted(lacking)}")
 

@@ -120,12 +120,16 @@ def parse_null_table(lines: DataFrame, model, eth) -> DataFrame:
         model.alias("model"),
         eth.alias("eth"),
     )
-    return parts.select(
+    parts = parts.select(
         "model",
         "eth",
         F.get("parts", F.lit(0)).alias("gene"),
+        F.size("parts").alias("width"),
         F.transform(F.slice("parts", 2, BINS), lambda x: x.try_cast("double")).alias("p"),
-    ).filter("gene <> ''")
+    )
+    wrong = F.raise_error(F.format_string(f"null table row of %s has %d fields, not {BINS + 1}", "gene", "width"))
+    whole = parts.filter("gene <> ''")
+    return whole.withColumn("p", F.when(F.col("width") == BINS + 1, F.col("p")).otherwise(wrong)).drop("width")
 
 
 def read_null_tables(spark: SparkSession, paths: dict) -> DataFrame:
@@ -175,10 +179,13 @@ def parse_indel_scores(lines: DataFrame, header: list[str]) -> DataFrame:
 
 def read_indel_scores(spark: SparkSession, path) -> DataFrame:
     """Indel scores, plain or gzipped, with or without a leading ``##`` line."""
-    names = spark.read.text(path).filter("value like '#%' and value not like '##%'").first()
-    if names is None:
+    lines = read_lines(spark, path)
+    names = lines.filter("value like '#%' and value not like '##%'").select("value").distinct().limit(2).collect()
+    if not names:
         raise ValueError("indel scores have no #Chrom header line")
-    return parse_indel_scores(read_lines(spark, path), names["value"].split("\t"))
+    if len(names) > 1:
+        raise ValueError("files of indel scores differ in their header line")
+    return parse_indel_scores(lines, names[0]["value"].split("\t"))
 
 
 def parse_cnv(lines: DataFrame, header: list[str], kind: str, profile: Profile) -> DataFrame:

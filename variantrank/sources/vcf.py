@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from variantrank.functions.variants import (
     has_alternate,
+    holds_allele,
     info_keep,
     is_anchored,
     trimmed_allele,
@@ -74,12 +75,20 @@ def unpivot_genotypes(lines: DataFrame) -> DataFrame:
     )
 
 
-def vcf_to_variant(df: DataFrame) -> DataFrame:
-    """VCF positions and alleles to trimmed 1-based variants, one row per ALT allele."""
+def vcf_to_variant(df: DataFrame, first_alt_only: bool = False) -> DataFrame:
+    """VCF positions and alleles to trimmed 1-based variants, one row per ALT allele.
+
+    Of rows with a genotype only the ALT alleles that it names stay. ``first_alt_only`` takes the first ALT of a line
+    alone, and genotypes as they stand.
+    """
     rest = [c for c in df.columns if c not in ("chrom", "pos", "ref", "alt", "ord")]
     split = df.withColumns(
         {"_ord": F.col("ord")} if "ord" in df.columns else {"_ord": F.lit(0)}
     ).select("*", F.posexplode(F.split("alt", ",")).alias("_allele", "_alt"))
+    if first_alt_only:
+        split = split.filter("_allele = 0")
+    elif "gt" in df.columns:
+        split = split.filter(holds_allele(F.col("gt"), F.col("_allele") + 1))
     ref, alt, pos = F.col("ref"), F.col("_alt"), F.col("pos")
     anchored = is_anchored(ref, alt)
     new_ref = F.when(anchored, trimmed_allele(ref)).otherwise(ref)
@@ -100,17 +109,17 @@ def info_keep_ac(df: DataFrame) -> DataFrame:
     return df.withColumn("info", info_keep(F.col("info"), "AC"))
 
 
-def parse_vcf(lines: DataFrame) -> Vcf:
+def parse_vcf(lines: DataFrame, first_alt_only: bool = False) -> Vcf:
     return Vcf(
-        vcf_to_variant(vcf_sites(lines)),
+        vcf_to_variant(vcf_sites(lines), first_alt_only),
         vcf_samples(lines),
-        vcf_to_variant(info_keep_ac(unpivot_genotypes(lines))),
+        vcf_to_variant(info_keep_ac(unpivot_genotypes(lines)), first_alt_only),
     )
 
 
-def read_vcf(spark: SparkSession, path) -> Vcf:
+def read_vcf(spark: SparkSession, path, first_alt_only: bool = False) -> Vcf:
     """Variant sites, samples and carrier calls of plain or gzipped VCF text.
 
     A gzipped file is one task; split large inputs by contig or unpack them.
     """
-    return parse_vcf(read_lines(spark, path))
+    return parse_vcf(read_lines(spark, path), first_alt_only)

@@ -27,7 +27,6 @@ from variantrank.profiles import CADD16, Profile
 MODEL_WEIGHT = {"het": 1000, "chet": 500, "hom": 100, "hem": 10}
 ANCESTRY_WEIGHT = {GENERIC: 3, AFRICAN: 2, EUROPEAN: 1}
 NULL_DIVISOR = 29421000.0
-SAMPLES = 25
 
 
 _SCHEMAS: dict = {}
@@ -263,11 +262,15 @@ def indels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_copy")
 
 
-def _cnv(spark: SparkSession, sf_dir: str, every: int) -> DataFrame:
+CNV_SEGMENTS = {"del": ["BUILDING", "FURNITURE"], "dup": ["MACHINERY", "FURNITURE"]}
+
+
+def _cnv(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """One copy-number call for every customer of the market segments of its kind."""
     c = F.col("c_custkey")
     none = F.lit(None)
     number = none.cast("double")
-    return table(spark, sf_dir, "customer").filter(c % every == 0).select(
+    return table(spark, sf_dir, "customer").filter(F.col("c_mktsegment").isin(CNV_SEGMENTS[kind])).select(
         F.concat(F.lit("S"), c.cast("string")).alias("iid"),
         _chr(c).alias("chr"),
         (500000 + c).alias("start"),
@@ -293,12 +296,12 @@ def _cnv(spark: SparkSession, sf_dir: str, every: int) -> DataFrame:
 
 def cnv_dels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
-    return _cnv(spark, sf_dir, 4).withColumn("geno", cnv_genotype("del", F.col("last_field"))).drop("last_field")
+    return _cnv(spark, sf_dir, "del").withColumn("geno", cnv_genotype("del", F.col("last_field"))).drop("last_field")
 
 
 def cnv_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
-    return _cnv(spark, sf_dir, 6).withColumn("geno", cnv_genotype("dup")).drop("last_field")
+    return _cnv(spark, sf_dir, "dup").withColumn("geno", cnv_genotype("dup")).drop("last_field")
 
 
 def cohort(
@@ -396,7 +399,7 @@ def cnv_header(profile: Profile = CADD16) -> list[str]:
 
 def cnv_lines(spark: SparkSession, sf_dir: str, kind: str, profile: Profile = CADD16) -> DataFrame:
     """Copy-number text; deletions have one surplus field that holds the copy number."""
-    rows = _cnv(spark, sf_dir, 4 if kind == "del" else 6)
+    rows = _cnv(spark, sf_dir, kind)
     annotated = [_text(c) for c, _ in profile.annotation_columns]
     added = [F.lit(kind.upper()), *([F.lit("r1")] if kind == "del" else []), F.lit("i"), F.lit("q"), F.lit("9")]
     surplus = [_text("last_field")] if kind == "del" else []
@@ -413,10 +416,11 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     lines = table(spark, sf_dir, "lineitem").join(nation, "l_suppkey")
     lines = lines.withColumn("gt", genotype_text())
-    wide = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        *[F.min(F.when(F.col("s_nationkey") == i, F.col("gt"))).alias(f"n{i}") for i in range(SAMPLES)]
-    )
-    rows = table(spark, sf_dir, "part").select("p_partkey").join(wide, "p_partkey", "left")
+    names = table(spark, sf_dir, "nation").agg(F.sort_array(F.collect_set("n_nationkey")).alias("samples"))
+    own = lines.groupBy(F.col("l_partkey").alias("p_partkey"), "s_nationkey").agg(F.min("gt").alias("gt"))
+    wide = own.groupBy("p_partkey").agg(F.map_from_entries(F.collect_list(F.struct("s_nationkey", "gt"))).alias("gts"))
+    rows = table(spark, sf_dir, "part").select("p_partkey").join(wide, "p_partkey", "left").join(F.broadcast(names))
+    genotypes = F.transform("samples", lambda n: F.coalesce(F.element_at("gts", n), F.lit("./.")))
     body = rows.select(
         F.concat_ws(
             "\t",
@@ -429,19 +433,14 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("PASS"),
             F.concat(F.lit("AN=50;AC="), (k % 7).cast("string"), F.lit(";DB")),
             F.lit("GT:AD:DP"),
-            *[F.coalesce(f"n{i}", F.lit("./.")) for i in range(SAMPLES)],
+            F.array_join(genotypes, "\t"),
         ).alias("value"),
         F.lit("cohort").alias("file"),
         k.alias("ord"),
     )
-    names = table(spark, sf_dir, "nation").agg(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_set("n_nationkey")), lambda n: F.concat(F.lit("N"), n.cast("string"))),
-            "\t",
-        ).alias("names")
-    )
+    listed = names.select(F.array_join(F.transform("samples", lambda n: F.concat(F.lit("N"), n.cast("string"))), "\t").alias("names"))
     fixed = "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())
-    header = names.select(
+    header = listed.select(
         F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat(F.lit(fixed + "\t"), "names"))).alias("value"),
         F.lit("cohort").alias("file"),
         F.lit(-1).cast("long").alias("ord"),

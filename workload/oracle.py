@@ -114,17 +114,17 @@ CTES = {
 }
 
 
-def _cnv(every, kind):
+def _cnv(segments, kind):
     c = "c_custkey"
     geno = f"CASE WHEN {c}%3=0 THEN 'hom' ELSE 'het' END" if kind == "del" else "'het'"
     what = "deletion" if kind == "del" else "insertion"
     return f"""SELECT {c} AS ck, 'S'||{c} AS iid, {_chr(c)} AS chr, 500000+{c} AS start, 'N' AS ref, '0' AS alt, 'GENE'||({c}%40) AS gene,
   'exonic' AS func, 'frameshift {what}' AS exonic_func, CAST(30 AS DOUBLE) AS phred, 'PASS' AS filter,
-  CAST({c}%7 AS VARCHAR) AS alt_read, CAST({c}%11 AS VARCHAR) AS total_read, {geno} AS geno0 FROM customer WHERE {c}%{every}=0"""
+  CAST({c}%7 AS VARCHAR) AS alt_read, CAST({c}%11 AS VARCHAR) AS total_read, {geno} AS geno0 FROM customer WHERE c_mktsegment IN {segments}"""
 
 
-CTES["del"] = _cnv(4, "del")
-CTES["dup"] = _cnv(6, "dup")
+CTES["del"] = _cnv("('BUILDING','FURNITURE')", "del")
+CTES["dup"] = _cnv("('MACHINERY','FURNITURE')", "dup")
 CTES["cnv0"] = "SELECT *, 0 AS tab FROM del UNION ALL SELECT *, 1 AS tab FROM dup"
 CTES["cnv"] = f"""SELECT *, CASE WHEN sex=1 AND is_xy THEN 'hem' WHEN sex=2 AND chr='chrY' THEN 'ref'
   WHEN sex=2 AND is_xy THEN geno0||'_female' ELSE geno0 END AS geno FROM
@@ -244,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "samples_not_in_vcf": "SELECT 'N'||(c_custkey%40) AS iid, c_name AS fam_id FROM customer WHERE c_custkey%40 NOT IN (SELECT n_nationkey FROM nation)",
         "rejected_people": sql("SELECT iid, 'sex' AS reason FROM ped WHERE sex=0 UNION ALL SELECT DISTINCT iid, 'missing' FROM call WHERE iid NOT IN (SELECT iid FROM ped)"),
-        "pending": sql("SELECT fam_id, iid FROM ped WHERE iid NOT IN (SELECT iid FROM call)"),
+        "pending": sql("SELECT fam_id, iid FROM ped WHERE iid NOT IN (SELECT 'S'||o_custkey FROM orders WHERE o_orderpriority='1-URGENT')"),
         "variant_key_of_calls": sql(f"SELECT iid, {KEY} AS key, gt FROM call"),
         "resolve_build": sql(f"SELECT gene, n_sites, profile, build, gene_column FROM (SELECT gene, count(*) AS n_sites FROM site GROUP BY gene), (VALUES {GENE_COLUMNS}) t(profile,build,gene_column)"),
         "read_depths": sql(f"SELECT iid, {V}, gt, alt_read, total_read FROM depth"),
@@ -283,7 +283,9 @@ def oracle_sql() -> dict[str, str]:
         "annotate_site_scores": sql(f"SELECT {V}, genes AS gene, CASE WHEN phred>=0 THEN phred/CAST(10 AS DOUBLE) END AS raw_score, CASE WHEN phred>=0 THEN phred END AS phred FROM site0"),
         "split_genes": sql(f"SELECT {A} FROM site"),
         "unpivot_genotypes": sql("SELECT iid, chrom, pos, ref, alt, gt FROM vcfgt"),
-        "vcf_calls": sql(f"SELECT iid, {variant}, ac AS info, gt FROM vcfgt"),
+        "vcf_calls": sql(f"""SELECT iid, chr, start, "end", ref, alt, info, gt FROM (
+  SELECT iid, {variant}, unnest(CASE WHEN alt='G,C' THEN [1,2] ELSE [1] END) AS allele, ac AS info, gt FROM vcfgt)
+  WHERE list_contains(string_split(replace(split_part(gt,':',1),'|','/'),'/'), CAST(allele AS VARCHAR))"""),
         "chet_genes": sql("SELECT iid, gene, count(*) AS n FROM ranked WHERE zyg='het' GROUP BY iid, gene HAVING count(*)>=2"),
         "distinct_indels": sql(f"SELECT {V}, raw_score, phred FROM indel"),
         "stage_audit": sql(f"""SELECT a.iid, n_raw, n_clean, n_candidate, coalesce(n_ranked,0) AS n_ranked FROM
@@ -307,8 +309,17 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT DISTINCT {full_dropped}, substr(why,2) AS drop_reason FROM fwhy WHERE (iid, key) NOT IN (SELECT iid, key FROM fclean)",
             _full("cadd13_v14"),
         ),
-        "candidate_report": sql(f"""SELECT key, gene, dz_model, count(DISTINCT o.iid) AS n_cases FROM ({WORST}) o JOIN ped p ON p.iid=o.iid AND p.status=2
-  WHERE prob<0.05 AND (key, gene) NOT IN (SELECT key, gene FROM raw WHERE status=1 AND geno NOT IN ('ref','miss')) GROUP BY key, gene, dz_model HAVING count(DISTINCT o.iid)>=2"""),
+        "candidate_report": sql(
+            """SELECT key, gene, dz_model, count(DISTINCT o.iid) AS n_cases FROM (SELECT iid, key, gene, dz_model, prob FROM fsingle WHERE rk=1
+  UNION ALL SELECT iid, key, gene, dz_model, pair_p FROM fpairs WHERE rk<=2) o JOIN ped p ON p.iid=o.iid AND p.status=2
+  WHERE prob<0.001 AND (key, gene) NOT IN (SELECT key, gene FROM allrows WHERE status=1 AND geno NOT IN ('ref','miss'))
+  AND key NOT IN (SELECT """ + KEY + """ FROM call JOIN ped ON call.iid=ped.iid WHERE status=1 AND sex=0 AND regexp_matches(split_part(gt,':',1),'[1-9]'))
+  GROUP BY key, gene, dz_model HAVING count(DISTINCT o.iid)>=2""",
+            _full("cadd16"),
+        ),
+        "repeated_nulls": sql("SELECT 'het' AS model, eth, gene, 2 AS count FROM nullgene CROSS JOIN (SELECT DISTINCT eth FROM weight)"),
+        "rejects": sql("""SELECT iid, 'sex' AS reason FROM ped WHERE sex=0 UNION ALL SELECT DISTINCT iid, 'missing' FROM call WHERE iid NOT IN (SELECT iid FROM ped)
+  UNION ALL SELECT iid, 'not_in_vcf' FROM ped WHERE sex<>0 AND iid NOT IN (SELECT 'S'||o_custkey FROM orders WHERE o_orderpriority='1-URGENT')"""),
         "cnv_union": sql(f"SELECT iid, {V}, gene, exonic_func, filter, geno0 AS geno FROM cnv0"),
         "merge_cnv": sql(f"SELECT {CALLED}, exonic_func, geno, false AS is_cnv FROM raw UNION ALL SELECT {CALLED}, exonic_func, geno, true FROM cnv"),
         "ranked_report_rows": sql(f"""SELECT iid AS "ID", key AS "Key", chr AS "Chr", start AS "Start", ref AS "Ref", alt AS "Alt", total_read AS "Total_Read", alt_read AS "Alt_Read",

@@ -14,7 +14,7 @@ from variantrank.functions.variants import VARIANT, has_alternate, variant_key
 from variantrank.operators import calls as call_ops
 from variantrank.operators import cleaning, cnv, indels, models, report
 from variantrank.operators.genes import first_site, flag_genes, split_fusion_genes
-from variantrank.operators.nulls import null_lookup
+from variantrank.operators.nulls import null_lookup, repeated_null_rows
 from variantrank.operators.sites import annotate_scores, annotate_sites
 from variantrank.plans.pipeline import Options, Run
 from variantrank.profiles import CADD13_V13, CADD13_V14, CADD16, PROFILES
@@ -182,7 +182,8 @@ def rejected_people(spark, d):
 
 @query
 def pending(spark, d):
-    done = c.calls(spark, d).select("iid")
+    urgent = c.table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    done = urgent.select(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("iid"))
     return pending_people(c.pedigree(spark, d), done).select("fam_id", "iid")
 
 
@@ -549,8 +550,25 @@ def dropped_variants_full(spark, d):
 
 @query
 def candidate_report(spark, d):
-    run = _run(spark, d)
-    return report.candidate_report(run.ranked(), run.raw(), c.pedigree(spark, d), max_p=0.05)
+    """Copy-number calls included; unaffected people of unknown sex count by their raw calls."""
+    run, calls = _run(spark, d, indels=True, cnv=True), c.calls(spark, d)
+    apart = calls.join(run.rejects().select("iid").distinct(), "iid", "left_semi")
+    return report.candidate_report(run.ranked(), run.observed(), c.pedigree(spark, d), rejected_calls=apart)
+
+
+@query
+def repeated_nulls(spark, d):
+    """What the check finds when the tables of one model are given twice."""
+    once = c.nulls(spark, d)
+    return repeated_null_rows(once.union(once.filter("model = 'het'")))
+
+
+@query
+def rejects(spark, d):
+    """People left out, when the VCF holds the people of urgent orders only."""
+    urgent = c.table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    samples = urgent.select(F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("iid"))
+    return call_ops.rejected_people(c.pedigree(spark, d), c.calls(spark, d), samples)
 
 
 @query
