@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from variantrank.llm.common import GAP, let, write_stage
 
 NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
-UNITS = "km|cm|mm|m|kg|mg|g|lb|oz|mi|ft|ms|s|min|h|ml|l|usd|eur|gbp|percent|%|€|£|°c|°f|kwh|kw|mph|kmh|gb|mb|kb"
+MARKS = r"[\p{P}\p{S}]++"
+UNITS = "km|cm|mm|m|kg|mg|g|lb|oz|mi|ft|ms|s|min|h|ml|l|usd|eur|gbp|percent|kwh|kw|mph|kmh|gb|mb|kb"
 WINDOW, MIN_WORDS, MIN_LITERALS, LEAK_FROM = 8, 5, 3, 0.5
 #: Windows of the benchmark that are broadcast at most: 1 million rows of a hash, a key and two short word lists.
 MOST_BROADCAST = 1_000_000
@@ -31,14 +32,15 @@ def canonical(text: Column) -> Column:
     """
     named = F.regexp_replace(text, r"\p{Lu}(?<=[\p{Ll},;] \p{Lu})\p{Ll}+", NAME)
     numbered = F.regexp_replace(F.lower(named), r"\p{N}++(?:[.,:/]\p{N}+)*", NUMBER)
-    measured = F.regexp_replace(numbered, rf"(?:{UNITS})(?<={NUMBER} ?(?:{UNITS}))(?!\p{{L}})", UNIT)
-    return F.regexp_replace(measured, rf"[^\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}\x20\x09-\x0D]++", "")
+    measured = F.regexp_replace(numbered, rf"({NUMBER} ?)(?:{UNITS})(?!\p{{L}})", f"$1{UNIT}")
+    return F.regexp_replace(measured, MARKS, "")
 
 
 def _split(df: DataFrame, key: str, text_col: str, out: str) -> DataFrame:
-    """(out, said, template): the key, the words as they stand and their template words, place by place."""
-    text = F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\x0b\f\r"))
-    return df.select(F.col(key).alias(out), F.split(text, GAP).alias("said"), F.split(canonical(text), GAP).alias("template"))
+    """(out, said, template): the key, the words without punctuation and their template words, place by place."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = lambda x: F.array_remove(F.split(x, GAP), "")
+    return df.select(F.col(key).alias(out), words(F.regexp_replace(text, MARKS, "")).alias("said"), words(canonical(text)).alias("template"))
 
 
 def _windows(template: Column, size: int) -> Column:
@@ -51,6 +53,15 @@ def _windows(template: Column, size: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
+def _all_windows(template: Column, sizes: list[int]) -> Column:
+    """(hash, at, n) of the windows of all these sizes."""
+
+    def of(size: int) -> Column:
+        return F.transform(_windows(template, size), lambda h, i: F.struct(h.alias("hash"), i.alias("at"), F.lit(size).alias("n")))
+
+    return F.concat(*[of(size) for size in sorted(sizes) or [WINDOW]])
+
+
 def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text_col: str = "text") -> DataFrame:
     """Windows of the benchmark: hash, item, item_at, item_said, item_template, item_windows."""
     items = (
@@ -92,12 +103,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     known = write_stage(benchmark_windows(benchmark, item_col, item_text_col), "benchmark-windows")
     count, sizes = known.count(), [r["size"] for r in known.select("size").distinct().collect()]
     texts = _split(docs, id_col, text_col, "doc")
-    hashes = F.flatten(F.array(*[F.transform(_windows(F.col("template"), s), lambda h, i, s=s: F.struct(h.alias("hash"), i.alias("at"), F.lit(s).alias("n"))) for s in sorted(sizes)])) if len(sizes) > 1 else None
-    if hashes is None:
-        size = sizes[0] if sizes else WINDOW
-        windows = texts.select("doc", "said", "template", F.posexplode(_windows(F.col("template"), size)).alias("at", "hash")).withColumn("n", F.lit(size))
-    else:
-        windows = texts.select("doc", "said", "template", F.explode(hashes).alias("w")).select("doc", "said", "template", "w.*")
+    windows = texts.select("doc", "said", "template", F.explode(_all_windows(F.col("template"), sizes)).alias("w"))
+    windows = windows.select("doc", "said", "template", "w.*")
     own = lambda c: F.slice(c, F.col("at") + 1, F.col("n"))
     if count <= MOST_BROADCAST:
         met = windows.join(F.broadcast(known), "hash").select("*", own("said").alias("doc_said"), own("template").alias("doc_template"))
