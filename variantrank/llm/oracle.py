@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from variantrank.llm import quotes, templates
 from variantrank.llm import weak_supervision as ws
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -62,7 +63,77 @@ judged AS (SELECT *, {ws.BASE_FAILED} AS base_failed, 1 / (1 + exp(-({odds}))) A
 SELECT {columns} FROM judged"""
 
 
+def _words(text: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '{SPACES}'), lambda x: x <> '')"
+
+
+def leaks_sql() -> str:
+    """templates.leaks over documents and benchmark. Two passes stand for the look-behind that RE2 has not."""
+    name, number, unit = templates.NAME, templates.NUMBER, templates.UNIT
+    text = "coalesce(text, '')"
+    for before in (r"[\p{Ll},;]", rf"[\p{{Ll}},;{name}]"):
+        text = rf"regexp_replace({text}, '({before} )\p{{Lu}}\p{{Ll}}+', '\1{name}', 'g')"
+    text = rf"regexp_replace(lower({text}), '\p{{N}}+([.,:/]\p{{N}}+)*', '{number}', 'g')"
+    for _ in range(2):
+        text = rf"regexp_replace({text}, '({number} ?)({templates.UNITS})([^\p{{L}}]|$)', '\1{unit}\3', 'g')"
+    bare = lambda x: rf"regexp_replace({x}, '[\p{{P}}\p{{S}}]+', '', 'g')"
+    said, template = _words(bare("coalesce(text, '')")), _words(bare(text))
+    slot = f"('{name}', '{number}', '{unit}')"
+    plain = lambda x: rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}%€£°]+', '', 'g')"
+    side = lambda x: f"len(list_distinct(list_transform(slots, lambda s: s.{x})))"
+    return f"""WITH docs AS MATERIALIZED (SELECT doc_id, {said} AS said, {template} AS tem FROM documents),
+items AS (SELECT min(item_id) AS item_id, said, tem, least(len(tem), {templates.WINDOW}) AS n FROM
+  (SELECT item_id, {said} AS said, {template} AS tem FROM benchmark) WHERE len(said) >= {templates.MIN_WORDS} GROUP BY said, tem),
+cut AS (SELECT item_id, n, s AS item_at, said[s+1:s+n] AS item_said, tem[s+1:s+n] AS win FROM
+  (SELECT *, unnest(range(0, len(tem) - n + 1)) AS s FROM items)),
+known AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM cut
+  WHERE len(list_filter(win, lambda w: w NOT IN {slot} AND w <> '')) >= {templates.MIN_LITERALS}),
+wins AS (SELECT doc_id, s AS pos, n, said[s+1:s+n] AS doc_said, tem[s+1:s+n] AS win FROM
+  (SELECT *, unnest(range(0, len(tem) - n + 1)) AS s FROM docs, (SELECT DISTINCT n FROM known) WHERE len(tem) >= n)),
+met AS (SELECT doc_id, item_id, item_windows, pos, item_at, pos - item_at AS shift,
+  list_transform(list_filter(range(1, w.n + 1), lambda k: w.win[k] IN {slot}),
+    lambda k: {{'asked': {plain('item_said[k]')}, 'found': {plain('doc_said[k]')}}}) AS slots
+  FROM wins w JOIN known k ON w.n = k.n AND w.win = k.win),
+lines AS (SELECT doc_id, item_id, item_windows, shift, list(DISTINCT item_at) AS starts, min(pos) AS pos,
+  list_distinct(flatten(list(slots))) AS slots FROM met GROUP BY ALL),
+good AS (SELECT *, {side('asked')} AS asked, len(list_filter(slots, lambda s: s.asked <> s.found)) AS changed FROM lines
+  WHERE len(slots) = {side('asked')} AND len(slots) = {side('found')})
+SELECT doc_id, item_id, len(list_distinct(flatten(list(starts)))) AS n_windows, item_windows, max(asked) AS n_slots,
+  max(changed) AS changed_slots, min(pos) AS first_word FROM good GROUP BY doc_id, item_id, item_windows
+HAVING len(list_distinct(flatten(list(starts)))) >= {templates.LEAK_FROM} * item_windows"""
+
+
+def links_sql() -> str:
+    """quotes.link over conversations."""
+    marks = r"^([ \t]*>)+"
+    clean = r"regexp_replace(lower(said), '[^\p{L}\p{N}]+', '', 'g')"
+    return f"""WITH RECURSIVE messages AS (SELECT *, row_number() OVER () AS row FROM conversations),
+raw AS (SELECT row, conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS i FROM
+  (SELECT *, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) AS l FROM messages)),
+levels AS (SELECT *, length(regexp_replace(regexp_extract(line, '{marks}'), '[^>]', '', 'g')) AS level,
+  regexp_replace(line, '{marks}[ \t]?', '') AS said FROM raw),
+lines AS MATERIALIZED (SELECT * FROM (SELECT *, lead(level) OVER (PARTITION BY row ORDER BY i) AS next FROM levels)
+  WHERE NOT (level = 0 AND coalesce(next, 0) > 0 AND regexp_matches(said, '{quotes.ATTRIBUTION}'))),
+units AS (SELECT conv_id, turn, level, said FROM lines UNION ALL
+  SELECT conv_id, turn, level, string_agg(said, ' ' ORDER BY i) FROM lines GROUP BY row, conv_id, turn, level),
+passages AS MATERIALIZED (SELECT DISTINCT conv_id, turn, level, {clean} AS passage FROM units WHERE length({clean}) >= {quotes.MIN_LETTERS}),
+origins AS (SELECT conv_id, passage, min(turn) AS origin FROM passages WHERE level = 0 GROUP BY ALL),
+strength AS (SELECT conv_id, turn, origin, min(level) AS level, count(*) AS n FROM passages JOIN origins USING (conv_id, passage)
+  WHERE level > 0 AND origin < turn GROUP BY ALL),
+links AS MATERIALIZED (SELECT conv_id, turn, origin AS parent FROM
+  (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, origin DESC) AS rank FROM strength) WHERE rank = 1),
+climb AS (SELECT conv_id, turn, parent AS root FROM links UNION ALL
+  SELECT c.conv_id, c.turn, l.parent FROM climb c JOIN links l ON c.conv_id = l.conv_id AND c.root = l.turn),
+roots AS (SELECT conv_id, turn, min(root) AS root FROM climb GROUP BY ALL),
+own AS (SELECT row, coalesce(string_agg(said, chr(10) ORDER BY i) FILTER (level = 0), '') AS own, max(level) AS quote_depth FROM lines GROUP BY row),
+done AS (SELECT conv_id, turn, role, CASE WHEN text IS NULL THEN NULL WHEN quote_depth > 0 THEN trim(own, ' ' || chr(9) || chr(10)) ELSE text END AS text,
+  quote_depth, parent, coalesce(root, turn) AS thread FROM messages JOIN own USING (row) LEFT JOIN links USING (conv_id, turn) LEFT JOIN roots USING (conv_id, turn))
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS position FROM done"""
+
+
 ORACLE = {
+    "op2_quotation_links": links_sql(),
+    "op5_template_leaks": leaks_sql(),
     "op6_quality_votes": quality_sql(
         "documents",
         "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, "
