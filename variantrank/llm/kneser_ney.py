@@ -34,7 +34,7 @@ class Options:
 
     sample_docs: int = 1500
     sample_words: int = 500_000
-    quantile: float = 0.995
+    quantile: float = 0.999
     allowance: float = 4.0
 
 
@@ -65,11 +65,19 @@ def _grams(hashes: Column) -> Column:
     )
 
 
-def sample(trusted: DataFrame, options: Options) -> DataFrame:
-    """(id, hashes) of trusted documents, up to the bounds; only those with a positive hash, so that half stay unseen."""
-    half = trusted.select("id", "text", F.xxhash64("id", "text").alias("at")).where("at >= 0")
-    first = half.orderBy("at", "id").limit(options.sample_docs)
-    counted = first.select("id", "at", hashes_of(F.col("text")).alias("hashes"))
+def sample(rows: DataFrame, trust: DataFrame, options: Options) -> DataFrame:
+    """(id, hashes) of trusted documents, up to the bounds: those first in the order of a hash, of which only positive
+    values count, so that half of the trusted documents stay unseen.
+
+    Only ids and hashes are compared, and only those in the part of the hash range that should hold four times as many as
+    are wanted, so the ranking stays as small with any number of documents; then the chosen texts are looked up.
+    """
+    at = F.xxhash64("id", "text").alias("at")
+    share = min(1.0, 8 * options.sample_docs / max(trust.count(), 1))
+    some = rows.select("id", at).where(F.col("at").between(0, min((1 << 63) - 1, int(share * (1 << 63))))).join(trust, "id", "left_semi")
+    first = some.orderBy("at", "id").limit(options.sample_docs).distinct()
+    found = rows.select("id", "text", at).join(F.broadcast(first), ["id", "at"], "left_semi")
+    counted = found.select("id", "at", hashes_of(F.col("text")).alias("hashes"))
     so_far = F.sum(F.size("hashes")).over(Window.orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0))  # sample_docs rows at most
     return counted.withColumn("so_far", so_far).where(F.col("so_far") <= options.sample_words).select("id", "hashes")
 
@@ -134,8 +142,8 @@ def surprise(rows: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
 def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", options: Options = Options()) -> DataFrame:
     """One row per document: id, lang, n_words, log_perplexity (nats per word), threshold, kept. trusted_ids: column id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    trust = trusted_ids.select("id").where("id is not null").distinct()
-    chosen = write_stage(sample(rows.join(trust, "id", "left_semi"), options), "trusted-sample")
+    trust = write_stage(trusted_ids.select("id").where("id is not null").distinct(), "trusted-ids")
+    chosen = write_stage(sample(rows, trust, options), "trusted-sample")
     if chosen.isEmpty():
         some = F.size(hashes_of(F.col("text"))) - 2
         return rows.select(
