@@ -42,8 +42,9 @@ def points(docs: DataFrame, id_col: str, text_col: str, dimensions: dict[str, Co
     groups = narrow.groupBy("same", "text_crc32", "size").agg(
         F.sum("size").alias("group_bytes"), *[F.min_by(n, "id").alias(n) for n in names]
     )
-    # Few texts are copies of others, but one may have a third of all rows: adaptive execution splits that join's tasks.
-    return narrow.drop(*names).join(groups, ["same", "text_crc32", "size"])
+    # One text may have a third of all rows. As the groups are written, both sides of the join have a shuffle of their own,
+    # and adaptive execution can split the large side of a task.
+    return narrow.drop(*names).join(write_stage(groups, "text-groups"), ["same", "text_crc32", "size"])
 
 
 def _key(value: Column) -> Column:
