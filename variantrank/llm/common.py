@@ -56,7 +56,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Each round takes the smallest label among neighbours and then the label's own label, so distances shrink at least
     by half. A round is aggregations (combined before the shuffle) and equi-joins, which adaptive execution splits when
-    one id has many neighbours. Only the count of changed labels comes to the driver.
+    one id has many neighbours: what they read is written first, as the sides of a join need shuffles of their own for
+    that. Only whether labels changed comes to the driver.
     """
     both = write_stage(
         edges.select(F.col("a").alias("id"), F.col("b").alias("other"))
@@ -73,7 +74,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .groupBy("id")
             .agg(F.min("label").alias("near"))
         )
-        hooked = labels.join(near, "id").select("id", F.least("label", "near").alias("low"), "label")
+        hooked = write_stage(labels.join(near, "id").select("id", F.least("label", "near").alias("low"), "label"), f"{name}-hooked")
         up = hooked.select(F.col("id").alias("low"), F.col("low").alias("next"))
         jumped = write_stage(
             hooked.join(up, "low", "left").select("id", F.least("low", "next").alias("label"), F.col("label").alias("old")),

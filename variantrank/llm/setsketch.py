@@ -205,7 +205,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = write_stage(known.where("n > 0 and id is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
     single = known.join(nodes.select("node", "id"), ["node", "id"], "left_semi")
     keys = single.select("node", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("other")).where("b != other").select("key", "b")
+    shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("other")).where("b != other")
+    shared = write_stage(shared.select("key", "b"), "shared-bands")  # so that the join can split a band with many nodes
     edges = keys.join(shared, "key").where("node != b").select(F.col("node").alias("a"), "b")
     clusters = components(edges, "clusters").select(F.col("id").alias("node"), F.col("label").alias("cluster"))
 
