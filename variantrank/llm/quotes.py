@@ -62,6 +62,7 @@ def passages(parsed: DataFrame) -> DataFrame:
 def parents(found: DataFrame) -> DataFrame:
     """(conv_id, turn, parent) for every message that quotes an earlier one."""
     first = found.where("level = 0").groupBy("conv_id", "passage").agg(F.min("turn").alias("origin"))
+    first = write_stage(first, "origins")  # so that the join can split a passage that very many messages quote
     met = found.where("level > 0").join(first, ["conv_id", "passage"]).where("origin < turn")
     strength = met.groupBy("conv_id", "turn", "origin").agg(F.min("level").alias("level"), F.count("*").alias("n"))
     best = F.max(F.struct((-F.col("level")).alias("level"), "n", "origin"))
@@ -85,7 +86,7 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")
     )
     parsed = parse(rows)
-    links = write_stage(parents(passages(parsed)), "reply-links")
+    links = write_stage(parents(write_stage(passages(parsed), "passages")), "reply-links")
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["said"]), "\n")
     deep = F.array_max(F.transform("lines", lambda x: x["level"])).cast("long")
     clean = F.when(F.col("text").isNull(), None).when(deep > 0, F.btrim(own, F.lit(" \t\n"))).otherwise(F.col("text"))
