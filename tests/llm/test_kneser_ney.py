@@ -86,3 +86,15 @@ def test_judgement(spark):
     bare = {r.doc_id: r for r in kn.judge(docs, trusted.where("id < 0")).collect()}
     assert bare[0].kept and bare[0].n_words == 120 and bare[0].log_perplexity is None and not bare[202].kept
     assert kn.judge(docs.where("false"), trusted).count() == 0
+
+
+def test_all_trusted_documents_are_counted(spark, monkeypatch):
+    """Over 1,500 trusted documents and 500,000 words, every one that is not held out is in the model."""
+    counted, fit = [], kn.fit
+    monkeypatch.setattr(kn, "fit", lambda chosen: counted.append(chosen.select("id").collect()) or fit(chosen))
+    rows = [(i, f"w{i} " + "a b c d " * 50, "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.log_perplexity for r in kn.judge(docs, spark.range(4000).toDF("id")).collect()}
+    ids = [r.id for r in counted[0]]
+    assert len(ids) == len(set(ids)) and 2850 < len(ids) < 3150
+    assert max(got[i] for i in ids) < min(got[i] for i in set(got) - set(ids))

@@ -1,15 +1,15 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
-The model is fitted on a bounded sample of trusted documents. Counts, continuation counts, discounts and back-off weights
-are aggregations and equi-joins on n-gram hashes. Each document's n-grams then meet the table of probabilities, again by
-joins on the hash, and are summed per document before anything is shuffled. The table is broadcast as long as it has at
-most MOST_BROADCAST rows; a larger one is sharded by the n-gram hash and joined by shuffle.
+The model is fitted on all trusted documents but a held-out share, chosen by a hash of the id. Counts, continuation counts,
+discounts and back-off weights are aggregations and equi-joins on word hashes. Each document's n-grams then meet the tables
+of probabilities, longest first, again by joins on the hashes. A table is broadcast as long as it has at most MOST_BROADCAST
+rows; a larger one is sharded by the n-gram and joined by shuffle.
 
 A document is kept if its mean surprise per word is not above the quantile, among all trusted documents of its language
 that the model has not seen, plus an allowance that shrinks with the root of its length.
 
-Defined results: null or empty texts have no words, no perplexity and are not kept; without trusted documents there is no
-model, so texts with words have a null perplexity and are kept; a language without unseen trusted documents takes the
+Defined results: null or empty texts have no words, no perplexity and are not kept; without trusted documents that have words
+there is no model, so texts with words have a null perplexity and are kept; a language without unseen trusted documents takes the
 threshold of all; rows with equal ids are scored each by itself; an empty table gives an empty result; other columns are
 ignored.
 """
@@ -29,11 +29,12 @@ MOST_BROADCAST = 2_000_000
 
 @dataclass(frozen=True)
 class Options:
-    """sample_docs, sample_words: bounds of the trusted sample. quantile: of the trusted documents' surprise.
-    allowance: nats that a document of one word may exceed it; one of n words may exceed it by allowance / sqrt(n)."""
+    """held_out: share of the trusted documents that is kept out of the model, for the thresholds; more, up to half, until
+    that is least_held_out documents, as fewer say little of the quantile. quantile: of their surprise. allowance: nats that a
+    document of one word may exceed it; one of n words may exceed it by allowance / sqrt(n)."""
 
-    sample_docs: int = 1500
-    sample_words: int = 500_000
+    held_out: float = 0.125
+    least_held_out: int = 1000
     quantile: float = 0.999
     allowance: float = 4.0
 
@@ -46,40 +47,23 @@ def hashes_of(text: Column) -> Column:
 
 
 def _grams(hashes: Column) -> Column:
-    """For every word the hashes of its trigram (k3), bigram (k2), itself (k1), and of the contexts before it (c2, c1)."""
+    """For every word the hashes of the two before it (u, v) and its own (w)."""
     return let(
         hashes,
         lambda h: F.when(
             F.size(h) > 2,
             F.transform(
                 F.sequence(F.lit(2), F.size(h) - 1),
-                lambda i: F.struct(
-                    F.xxhash64(F.get(h, i - 2), F.get(h, i - 1), F.get(h, i)).alias("k3"),
-                    F.xxhash64(F.get(h, i - 1), F.get(h, i)).alias("k2"),
-                    F.get(h, i).alias("k1"),
-                    F.xxhash64(F.get(h, i - 2), F.get(h, i - 1)).alias("c2"),
-                    F.get(h, i - 1).alias("c1"),
-                ),
+                lambda i: F.struct(F.get(h, i - 2).alias("u"), F.get(h, i - 1).alias("v"), F.get(h, i).alias("w")),
             ),
         ),
     )
 
 
-def sample(rows: DataFrame, trust: DataFrame, options: Options) -> DataFrame:
-    """(id, hashes) of trusted documents, up to the bounds: those first in the order of a hash, of which only positive
-    values count, so that half of the trusted documents stay unseen.
-
-    Only ids and hashes are compared, and only those in the part of the hash range that should hold four times as many as
-    are wanted, so the ranking stays as small with any number of documents; then the chosen texts are looked up.
-    """
-    at = F.xxhash64("id", "text").alias("at")
-    share = min(1.0, 8 * options.sample_docs / max(trust.count(), 1))
-    some = rows.select("id", at).where(F.col("at").between(0, min((1 << 63) - 1, int(share * (1 << 63))))).join(trust, "id", "left_semi")
-    first = some.orderBy("at", "id").limit(options.sample_docs).distinct()
-    found = rows.select("id", "text", at).join(F.broadcast(first), ["id", "at"], "left_semi")
-    counted = found.select("id", "at", hashes_of(F.col("text")).alias("hashes"))
-    so_far = F.sum(F.size("hashes")).over(Window.orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0))  # sample_docs rows at most
-    return counted.withColumn("so_far", so_far).where(F.col("so_far") <= options.sample_words).select("id", "hashes")
+def held_out(n_trusted: int, options: Options) -> Column:
+    """Whether a trusted document is kept out of the model, by a hash of its id and text: the lowest part of its range."""
+    share = max(options.held_out, min(0.5, options.least_held_out / max(n_trusted, 1)))
+    return F.xxhash64("id", "text") < F.lit(int((share - 0.5) * (1 << 63)) * 2)
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -90,70 +74,102 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(k - (k + 1) * y * b / a, 0.05 * k), 0.95 * k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
 
 
-def _discounted(counts: DataFrame, context: str, d: list[float]) -> tuple[DataFrame, DataFrame]:
-    """Counts with their discounted share of the context (own), and each context's weight for the order below (left)."""
+@dataclass(frozen=True)
+class Model:
+    """Written tables: trigrams (u, v, w, lp), bigrams (v, w, lp), contexts of two words (u, v, bo) and words (w, lp, bo),
+    with lp the log-probability of the last word after the others and bo the log back-off weight."""
+
+    trigrams: DataFrame
+    bigrams: DataFrame
+    contexts: DataFrame
+    words: DataFrame
+
+
+def _discounted(counts: DataFrame, context: list[str], d: list[float], name: str) -> tuple[DataFrame, DataFrame]:
+    """Counts with their discounted share of the context (own) and its weight for the order below (left); and the contexts.
+
+    The contexts are written first, so that the join has shuffles of its own and a very common context can be split."""
     off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    totals = counts.groupBy(context).agg(F.sum("c").alias("total"), F.sum(off).alias("off"))
-    shares = counts.join(totals.drop("off"), context).withColumn("own", (F.col("c") - off) / F.col("total"))
-    return shares, totals.select(context, (F.col("off") / F.col("total")).alias("left"))
+    totals = counts.groupBy(*context).agg(F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("left"))
+    totals = write_stage(totals, name)
+    return counts.join(totals, context).withColumn("own", (F.col("c") - off) / F.col("total")).drop("c", "total"), totals
 
 
-def fit(chosen: DataFrame) -> tuple[DataFrame, float]:
-    """(key, lp, bo): log-probability of every n-gram seen and log back-off weight of every context; and the
-    log-probability of an unseen word."""
+def fit(chosen: DataFrame) -> tuple[Model, float]:
+    """The model of the documents in chosen (column hashes), and the log-probability of an unseen word."""
     grams = chosen.select(F.explode(_grams(F.col("hashes"))).alias("g")).select("g.*")
-    # Only the bigram that ends a trigram and its first context are needed to climb down the orders.
-    c3 = write_stage(grams.groupBy("k3", "k2", "k1", "c2", "c1").agg(F.count("*").alias("c")), "trigrams")
-    c2 = write_stage(c3.groupBy("k2", "k1", "c1").agg(F.count("*").alias("c")), "bigrams")
-    c1 = write_stage(c2.groupBy("k1").agg(F.count("*").alias("c")), "unigrams")
+    c3 = write_stage(grams.groupBy("u", "v", "w").agg(F.count("*").alias("c")), "trigrams")
+    c2 = write_stage(c3.groupBy("v", "w").agg(F.count("*").alias("c")), "bigrams")
+    c1 = write_stage(c2.groupBy("w").agg(F.count("*").alias("c")), "unigrams")
     seen = c1.agg(F.count("*").alias("n"), F.sum("c").alias("c")).first()
     d = _discounts(c1)
     off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
     left = (c1.agg(F.sum(off)).first()[0] or 0.0) / max(seen["c"] or 0, 1)
     floor = left / (seen["n"] + 1)
-    p1 = c1.select("k1", ((F.col("c") - off) / F.lit(float(seen["c"] or 1)) + floor).alias("p1"))
-    s2, left2 = _discounted(c2, "c1", _discounts(c2))
-    p2 = s2.join(left2, "c1").join(p1, "k1").select("k2", (F.col("own") + F.col("left") * F.col("p1")).alias("p2"))
-    s3, left3 = _discounted(c3, "c2", _discounts(c3))
-    p3 = s3.join(left3, "c2").join(p2, "k2").select("k3", (F.col("own") + F.col("left") * F.col("p2")).alias("p3"))
-    seen_grams = p3.select(F.col("k3").alias("key"), F.ln("p3").alias("lp")).union(p2.select("k2", F.ln("p2"))).union(p1.select("k1", F.ln("p1")))
-    contexts = left3.select(F.col("c2").alias("key"), F.ln("left").alias("bo")).union(left2.select("c1", F.ln("left")))
-    model = seen_grams.join(contexts, "key", "full")
-    return write_stage(model, "kneser-ney"), math.log(floor) if floor else 0.0
-
-
-def surprise(rows: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
-    """(row, id, lang, n_words, nats): the words' summed negative log-probability for every row of (row, id, lang, text)."""
-    small = model.count() <= MOST_BROADCAST
-    grams = rows.select("row", "id", "lang", F.explode_outer(_grams(hashes_of(F.col("text")))).alias("g")).select("row", "id", "lang", "g.*")
-
-    def look(df: DataFrame, key: str, take: str, out: str) -> DataFrame:
-        side = model.where(F.col(take).isNotNull()).select(F.col("key").alias(key), F.col(take).alias(out))
-        return df.join(F.broadcast(side) if small else side, key, "left")
-
-    for key, take, out in (("k3", "lp", "l3"), ("k2", "lp", "l2"), ("k1", "lp", "l1"), ("c2", "bo", "b2"), ("c1", "bo", "b1")):
-        grams = look(grams, key, take, out)
-    zero = F.lit(0.0)
-    lower = F.coalesce("l2", F.coalesce("b1", zero) + F.coalesce("l1", F.lit(unseen)))
-    logp = F.when(F.col("k1").isNotNull(), F.coalesce("l3", F.coalesce("b2", zero) + lower))
-    return grams.groupBy("row", "id", "lang").agg(F.count("k1").alias("n_words"), (-F.sum(logp)).alias("nats"))
+    p1 = c1.select("w", ((F.col("c") - off) / F.lit(float(seen["c"] or 1)) + floor).alias("p1"))
+    s2, left2 = _discounted(c2, ["v"], _discounts(c2), "contexts-1")
+    p2 = write_stage(s2.join(p1, "w").select("v", "w", (F.col("own") + F.col("left") * F.col("p1")).alias("p2")), "kneser-ney-2")
+    s3, left3 = _discounted(c3, ["u", "v"], _discounts(c3), "contexts-2")
+    p3 = s3.join(p2, ["v", "w"]).select("u", "v", "w", F.ln(F.col("own") + F.col("left") * F.col("p2")).alias("lp"))
+    # The mark of the beginning is a context and no word, so it has no probability.
+    words = p1.join(left2.withColumnRenamed("v", "w"), "w", "full").select("w", F.ln("p1").alias("lp"), F.ln("left").alias("bo"))
+    model = Model(
+        write_stage(p3, "kneser-ney-3"),
+        p2.select("v", "w", F.ln("p2").alias("lp")),
+        left3.select("u", "v", F.ln("left").alias("bo")),
+        write_stage(words, "kneser-ney-1"),
+    )
+    return model, math.log(floor) if floor else 0.0
+
+
+def surprise(rows: DataFrame, model: Model, unseen: float) -> DataFrame:
+    """(row, id, lang, n_words, nats): the words' summed negative log-probability for every row of (row, id, lang, text).
+
+    Only words whose trigram is not in the model go on to the contexts and bigrams, and of these only words whose bigram is
+    not in it either go on to the single words."""
+
+    def side(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
+
+    grams = rows.select("row", F.explode(_grams(hashes_of(F.col("text")))).alias("g")).select("row", "g.*")
+    missing = lambda c: F.when(F.col("lp").isNull(), F.col(c)).alias(c)
+    by3 = write_stage(grams.join(side(model.trigrams), ["u", "v", "w"], "left").select("row", "lp", missing("u"), missing("v"), missing("w")), "by-trigram")
+    rest = by3.where("lp is null").drop("lp")
+    by2 = write_stage(rest.join(side(model.bigrams), ["v", "w"], "left").select("row", "lp", missing("v"), missing("w")), "by-bigram")
+    single = by2.where("lp is null").select(
+        "row", F.explode(F.array(F.struct(F.col("v").alias("w"), F.lit(True).alias("before")), F.struct("w", F.lit(False).alias("before")))).alias("g")
+    )
+    by1 = single.select("row", "g.*").join(side(model.words), "w", "left")
+    found = [
+        by3.where("lp is not null").select("row", "lp"),
+        rest.join(side(model.contexts), ["u", "v"]).select("row", "bo"),
+        by2.where("lp is not null").select("row", "lp"),
+        by1.select("row", F.when(F.col("before"), F.coalesce("bo", F.lit(0.0))).otherwise(F.coalesce("lp", F.lit(unseen)))),
+    ]
+    sums = found[0].union(found[1]).union(found[2]).union(found[3]).groupBy("row").agg((-F.sum("lp")).alias("nats"))
+    counted = rows.select("row", "id", "lang", (F.size(hashes_of(F.col("text"))) - 2).cast("long").alias("n_words"))
+    return counted.join(sums, "row", "left")
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", options: Options = Options()) -> DataFrame:
     """One row per document: id, lang, n_words, log_perplexity (nats per word), threshold, kept. trusted_ids: column id."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    numbered = write_stage(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     trust = write_stage(trusted_ids.select("id").where("id is not null").distinct(), "trusted-ids")
-    chosen = write_stage(sample(rows, trust, options), "trusted-sample")
+    hashed = numbered.join(trust, "id", "left_semi").select("row", "id", "text", hashes_of(F.col("text")).alias("hashes")).where(F.size("hashes") > 2)
+    aside = held_out(trust.count(), options)
+    chosen = hashed.where(~aside)
+    if chosen.isEmpty():  # so few are trusted that all of them are held out
+        chosen, aside = hashed, F.lit(False)
     if chosen.isEmpty():
         some = F.size(hashes_of(F.col("text"))) - 2
         return rows.select(
             F.col("id").alias(id_col), "lang", some.cast("long").alias("n_words"), F.lit(None).cast("double").alias("log_perplexity"),
             F.lit(None).cast("double").alias("threshold"), (some > 0).alias("kept"),
         )
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
     scored = write_stage(surprise(numbered, *fit(chosen)), "surprise").withColumn("log_perplexity", F.col("nats") / F.col("n_words"))
     scored = scored.withColumn("excess", F.col("log_perplexity") - options.allowance / F.sqrt("n_words"))
-    unseen = scored.join(trust, "id", "left_semi").join(chosen.select("id"), "id", "left_anti").where("n_words > 0")
+    unseen = scored.join(write_stage(hashed.where(aside).select("row"), "held-out"), "row", "left_semi")
     # Thousandths of a nat, so that the quantile needs one row per value and language.
     steps = unseen.groupBy("lang", F.round(F.col("excess") * 1000).cast("long").alias("step")).agg(F.count("*").alias("n"))
 
