@@ -98,3 +98,14 @@ def test_all_trusted_documents_are_counted(spark, monkeypatch):
     ids = [r.id for r in counted[0]]
     assert len(ids) == len(set(ids)) and 2850 < len(ids) < 3150
     assert max(got[i] for i in ids) < min(got[i] for i in set(got) - set(ids))
+
+
+def test_a_very_long_trusted_text_ends_nothing(spark):
+    """A trusted text of over 500,000 words is counted like any other, alone and before others."""
+    rows = [(0, "a b c d e " * 100_001, "en"), *((1 + i, prose(i, 60), "en") for i in range(20)), (100, "a b c d", "en")]  # noqa: F405
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    alone = {r.doc_id: r for r in kn.judge(docs, spark.range(1).toDF("id")).collect()}
+    assert alone[0].n_words == 500_005 and all(r.log_perplexity is not None for r in alone.values())
+    assert alone[100].log_perplexity < min(alone[1 + i].log_perplexity for i in range(20))
+    every = {r.doc_id: r for r in kn.judge(docs, spark.range(21).toDF("id")).collect()}
+    assert all(r.log_perplexity is not None for r in every.values()) and every[1].threshold is not None
