@@ -107,3 +107,20 @@ def test_odd_and_empty(odd, none):
     assert lid.identify(lid.evidence_of(none, "doc_id", "text", F.col("lang"), host=F.col("source"))).count() == 0
     bare = lid.identify(rows.withColumn("declared", F.lit(None).cast("string"))).collect()
     assert {(r.lang, r.probability, r.kept) for r in bare} == {(None, 0.0, False)}
+
+
+def strange(seed, n=60):
+    """Texts of no modelled language: Cyrillic, Greek, Han, letters and digits at random."""
+    pick = random.Random(seed)
+    letters = ["абвгдежзиклмнопрстуфхцчшыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz0123456789"][seed % 4]
+    return " ".join("".join(pick.choice(letters) for _ in range(pick.randint(2, 9))) for _ in range(n))
+
+
+@pytest.mark.parametrize("langs", [("en", "de"), ("en", "de", "fr")])
+def test_no_language_and_unmodelled_ones_are_not_kept(spark, langs):
+    data = [(i, text(langs[i % len(langs)], i, 60), langs[i % len(langs)], f"https://www.site{i % 3}.com/x") for i in range(900)]
+    data += [(1000 + i, strange(i), "en" if i < 4 else None, f"https://www.site{i % 3}.com/x") for i in range(40)]
+    data += [(2000 + i, strange(i, 3000), "ru", None) for i in range(4)]
+    for r in lid.identify(frame(spark, data)).collect():
+        assert r.kept == (r.id < 1000), r
+        assert (r.lang == langs[r.id % len(langs)] and r.probability > 0.99) if r.kept else (r.lang is None and r.probability < 0.01), r

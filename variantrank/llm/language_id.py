@@ -3,9 +3,12 @@
 Four kinds of evidence are combined as log-likelihoods: byte trigrams of the whole text (models trained on the rows that
 declare a language), the declared markup language (through a confusion table, so a careless declaration weighs little),
 the address suffix, and a prior of the host that is smoothed towards its domain and that towards the corpus. All tables
-come from grouped aggregation over all rows; a row does not vote for its own host prior.
+come from grouped aggregation over all rows; a row does not vote for its own host prior. Against all languages stands the
+class of none of them, under which all trigrams are equally likely: a text that no model explains better than that is not
+kept, has a low probability and no lang, and has no part in the tables of the other evidence. In that comparison a row's own
+text does not speak for it; foreign text that fills some two percent or more of a language's declared rows becomes part of its model.
 
-Defined results: null or empty texts (under three bytes) give no text evidence; a null or unlisted declaration and a null
+Defined results: null or empty texts (under three bytes) give no text evidence, also not of the class of none; a null or unlisted declaration and a null
 address or host give none either; with no evidence at all the corpus prior decides; ties go to the language first in
 alphabetical order; if no language is declared often enough, lang is null, probability 0 and kept false; rows with equal
 ids are judged each on its own; other columns are ignored.
@@ -13,6 +16,7 @@ ids are judged each on its own; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,13 +33,14 @@ BUCKETS = 1 << 14
 class Options:
     """max_languages: declared languages with a model at most (most frequent first), of which each needs min_rows rows
     and min_share of all; a model is BUCKETS numbers, so all models together have a fixed bound. text_weight: trigrams
-    whose mean counts as independent evidence. host_weight: rows that a parent's prior is worth. min_probability: below it a
+    whose mean counts as independent evidence. none_prior: odds of no modelled language before the text is seen. host_weight: rows that a parent's prior is worth. min_probability: below it a
     row is not kept. broadcast_hosts: hosts whose priors are broadcast at most; more are joined by a shuffle."""
 
     max_languages: int = 64
     min_rows: int = 5
     min_share: float = 0.001
     text_weight: float = 60.0
+    none_prior: float = 0.01
     host_weight: float = 20.0
     min_probability: float = 0.5
     broadcast_hosts: int = 50_000
@@ -58,7 +63,7 @@ def languages(rows: DataFrame, options: Options) -> list[str]:
 
 
 def train(rows: DataFrame, langs: list[str]) -> np.ndarray:
-    """Log-probability of each trigram bucket in each language, from all rows that declare it."""
+    """How often each trigram bucket occurs in each language, plus 0.5, from all rows that declare it."""
     place = {lang: k for k, lang in enumerate(langs)}
 
     def count(batches):
@@ -73,27 +78,41 @@ def train(rows: DataFrame, langs: list[str]) -> np.ndarray:
     sums = np.full((len(langs), BUCKETS), 0.5)
     found = counted.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()  # len(langs) * BUCKETS rows at most
     sums[found["k"], found["bucket"]] += found["n"]
-    return np.log(sums / sums.sum(axis=1, keepdims=True)).astype(np.float32)
+    return sums
 
 
-def text_evidence(rows: DataFrame, model: np.ndarray, weight: float) -> DataFrame:
-    """Replace text by ll: a log-likelihood for each language, of the whole text, worth at most weight trigrams."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def text_evidence(rows: DataFrame, langs: list[str], sums: np.ndarray, weight: float) -> DataFrame:
+    """Replace text by ll: a log-likelihood for each language, of the whole text, worth at most weight trigrams; others: the
+    same, but that of the declared language as trained without this row; and blank: the same where all trigrams are equally
+    likely, null without trigrams."""
+    totals = sums.sum(axis=1)
+    shared = rows.sparkSession.sparkContext.broadcast(np.log(sums / totals[:, None]).astype(np.float32))
     kept = [c for c in rows.columns if c != "text"]
+    place = {lang: k for k, lang in enumerate(langs)}
 
     def score(batches):
         table = shared.value
         for batch in batches:
-            out = np.zeros((batch.num_rows, len(table)))
-            for i, text in enumerate(batch.column("text").to_pylist()):
+            out, blank = np.zeros((batch.num_rows, len(table))), np.full(batch.num_rows, np.nan)
+            others = np.zeros_like(out)
+            for i, (text, told) in enumerate(zip(batch.column("text").to_pylist(), batch.column("declared").to_pylist(), strict=True)):
                 found = trigram_buckets(text)
                 if len(found):
-                    out[i] = table[:, found].mean(axis=1, dtype=np.float64) * min(weight, len(found))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, out.size + 1, len(table), dtype=np.int32)), pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], [*kept, "ll"])
+                    worth = min(weight, len(found))
+                    others[i] = out[i] = table[:, found].mean(axis=1, dtype=np.float64) * worth
+                    blank[i] = -np.log(BUCKETS) * worth
+                    k = place.get(told)
+                    if k is not None:
+                        own = np.bincount(found, minlength=BUCKETS)
+                        left = np.maximum(np.exp(table[k].astype(np.float64)) * totals[k] - own, 0.5)
+                        others[i, k] = np.log(left / left.sum()) @ own / len(found) * worth
+            lists = [
+                pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(table), dtype=np.int32)), pa.array(x.ravel())) for x in (out, others)
+            ]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *lists, pa.array(blank, from_pandas=True)], [*kept, "ll", "others", "blank"])
 
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
-    return rows.mapInArrow(score, f"{fields}, ll array<double>")
+    return rows.mapInArrow(score, f"{fields}, ll array<double>, others array<double>, blank double")
 
 
 def softmax(logs: Column) -> Column:
@@ -101,6 +120,13 @@ def softmax(logs: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, y: a + y))
 
 
+def none_of(logs: Column, none: Column) -> Column:
+    """The probability of the class of none with log-weight none against logs; 0 where none is null."""
+    most = F.array_max(logs)
+    total = F.aggregate(F.transform(logs, lambda x: F.exp(x - most)), F.lit(0.0), lambda a, y: a + y)
+    return F.coalesce(1 / (1 + F.exp(most + F.ln(total) - none)), F.lit(0.0))
+
+
 def host_of(address: Column) -> Column:
     return F.lower(F.regexp_extract(address, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
@@ -111,8 +137,10 @@ def identify(rows: DataFrame, options: Options = Options()) -> DataFrame:
     if not langs:
         return rows.select("id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("probability"), F.lit(False).alias("kept"))
     n = len(langs)
-    scored = write_stage(text_evidence(rows, train(rows, langs), options.text_weight), "text-evidence")
-    scored = scored.withColumn("q", softmax(F.col("ll")))
+    scored = write_stage(text_evidence(rows, langs, train(rows, langs), options.text_weight), "text-evidence")
+    blank = F.col("blank") + math.log(options.none_prior)
+    known = 1 - none_of(F.col("others"), blank + math.log(n))
+    scored = scored.withColumn("known", known).withColumn("q", F.transform(softmax(F.col("ll")), lambda x: x * F.col("known")))
     sums = [F.sum(F.col("q")[k]).alias(f"s{k}") for k in range(n)]
     vector = F.array(*[F.col(f"s{k}") for k in range(n)])
 
@@ -152,12 +180,14 @@ def identify(rows: DataFrame, options: Options = Options()) -> DataFrame:
     table = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in declared_log])
     line = F.when(F.col("declared").isNull(), n + 1).otherwise(F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("declared")), F.lit(0)) - 1, F.lit(n))).cast("int")
     add = lambda x, y: F.zip_with(x, y, lambda u, v: u + v)
-    logs = add(add("ll", F.transform(prior, lambda x: F.ln(x))), add(F.get(table, line), F.coalesce("of_suffix", zeros)))
-    posterior = met.select("id", logs.alias("logs")).select("id", softmax(F.col("logs")).alias("p"))
-    best = F.array_max("p")
+    met = met.withColumn("prior", F.transform(prior, lambda x: F.ln(x)))
+    logs = add(add("ll", "prior"), add(F.get(table, line), F.coalesce("of_suffix", zeros)))
+    posterior = met.select("id", none_of(add("others", "prior"), blank).alias("none"), logs.alias("logs")).select("id", "none", softmax(F.col("logs")).alias("p"))
+    most = F.array_max("p")
+    best = most * (1 - F.col("none"))
     return posterior.select(
         "id",
-        F.get(F.array(*[F.lit(x) for x in langs]), F.array_position("p", best).cast("int") - 1).alias("lang"),
+        F.when(best >= F.col("none"), F.get(F.array(*[F.lit(x) for x in langs]), F.array_position("p", most).cast("int") - 1)).alias("lang"),
         best.alias("probability"),
         (best >= options.min_probability).alias("kept"),
     )
