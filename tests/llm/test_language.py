@@ -124,3 +124,17 @@ def test_no_language_and_unmodelled_ones_are_not_kept(spark, langs):
     for r in lid.identify(frame(spark, data)).collect():
         assert r.kept == (r.id < 1000), r
         assert (r.lang == langs[r.id % len(langs)] and r.probability > 0.99) if r.kept else (r.lang is None and r.probability < 0.01), r
+
+
+def test_every_declared_language_has_a_model(spark):
+    """Over 64 languages, each with far less than a thousandth of the rows."""
+    pick, syllables = random.Random(7), {}
+    for k in range(70):
+        syllables[f"l{k:02}"] = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyzäöüéèñçßøå") for _ in range(3)) for _ in range(12)]
+    data = [(i, text("en", i % 40, 4), "en", None) for i in range(7500)]
+    for k, (lang, parts) in enumerate(syllables.items()):
+        data += [(10_000 + 6 * k + j, " ".join(pick.choice(parts) + pick.choice(parts) for _ in range(60)), lang, None) for j in range(6)]
+    rows = frame(spark, data)
+    assert lid.languages(rows, lid.Options()) == ["en", *sorted(syllables)]
+    got = {r.id: r for r in lid.identify(rows).where("id >= 10000").collect()}
+    assert all(got[i].lang == lang and got[i].kept for i, _, lang, _ in data if i >= 10_000)

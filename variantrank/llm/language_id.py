@@ -17,6 +17,7 @@ ids are judged each on its own; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,14 +32,12 @@ BUCKETS = 1 << 14
 
 @dataclass(frozen=True)
 class Options:
-    """max_languages: declared languages with a model at most (most frequent first), of which each needs min_rows rows
-    and min_share of all; a model is BUCKETS numbers, so all models together have a fixed bound. text_weight: trigrams
+    """min_rows: rows that a declared language needs for a model, whatever the size of the table; a model is BUCKETS
+    numbers, held by the driver and the executors. text_weight: trigrams
     whose mean counts as independent evidence. none_prior: odds of no modelled language before the text is seen. host_weight: rows that a parent's prior is worth. min_probability: below it a
     row is not kept. broadcast_hosts: hosts whose priors are broadcast at most; more are joined by a shuffle."""
 
-    max_languages: int = 64
     min_rows: int = 5
-    min_share: float = 0.001
     text_weight: float = 60.0
     none_prior: float = 0.01
     host_weight: float = 20.0
@@ -57,9 +56,7 @@ def trigram_buckets(text: str | None) -> np.ndarray:
 
 def languages(rows: DataFrame, options: Options) -> list[str]:
     counts = rows.where("declared is not null").groupBy("declared").count()
-    total = rows.count()
-    top = counts.orderBy(F.desc("count"), "declared").limit(options.max_languages).collect()
-    return sorted(r["declared"] for r in top if r["count"] >= max(options.min_rows, options.min_share * total))
+    return sorted(r["declared"] for r in counts.where(F.col("count") >= options.min_rows).collect())
 
 
 def train(rows: DataFrame, langs: list[str]) -> np.ndarray:
@@ -67,17 +64,18 @@ def train(rows: DataFrame, langs: list[str]) -> np.ndarray:
     place = {lang: k for k, lang in enumerate(langs)}
 
     def count(batches):
-        sums = np.zeros((len(langs), BUCKETS), np.int64)
+        sums = defaultdict(lambda: np.zeros(BUCKETS, np.int64))
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 sums[place[lang]] += np.bincount(trigram_buckets(text), minlength=BUCKETS)
-        k, bucket = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(sums[k, bucket])], ["k", "bucket", "n"])
+        for k, n in sums.items():
+            bucket = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), k, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(n[bucket])], ["k", "bucket", "n"])
 
     counted = rows.where(F.col("declared").isin(langs)).select("declared", "text").mapInArrow(count, "k int, bucket int, n long")
     sums = np.full((len(langs), BUCKETS), 0.5)
-    found = counted.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()  # len(langs) * BUCKETS rows at most
-    sums[found["k"], found["bucket"]] += found["n"]
+    found = counted.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()  # len(langs) * BUCKETS rows at most
+    sums[found["k"].to_numpy(), found["bucket"].to_numpy()] += found["n"].to_numpy()
     return sums
 
 
@@ -99,11 +97,14 @@ def text_evidence(rows: DataFrame, langs: list[str], sums: np.ndarray, weight: f
                 found = trigram_buckets(text)
                 if len(found):
                     worth = min(weight, len(found))
-                    others[i] = out[i] = table[:, found].mean(axis=1, dtype=np.float64) * worth
+                    own = np.bincount(found, minlength=BUCKETS)
+                    met = np.flatnonzero(own)
+                    for j in range(0, len(table), 64):
+                        out[i, j : j + 64] = table[j : j + 64, met] @ own[met].astype(np.float64) / len(found) * worth
+                    others[i] = out[i]
                     blank[i] = -np.log(BUCKETS) * worth
                     k = place.get(told)
                     if k is not None:
-                        own = np.bincount(found, minlength=BUCKETS)
                         left = np.maximum(np.exp(table[k].astype(np.float64)) * totals[k] - own, 0.5)
                         others[i, k] = np.log(left / left.sum()) @ own / len(found) * worth
             lists = [
@@ -144,12 +145,12 @@ def identify(rows: DataFrame, options: Options = Options()) -> DataFrame:
     sums = [F.sum(F.col("q")[k]).alias(f"s{k}") for k in range(n)]
     vector = F.array(*[F.col(f"s{k}") for k in range(n)])
 
-    # What rows declare when their text is in a language: at most (n + 1) * n numbers.
+    # What rows declare when their text is in a language: at most (n + 1) * n numbers, joined as a table.
     said = F.when(F.col("declared").isin(langs), F.col("declared")).when(F.col("declared").isNotNull(), F.lit(""))
     confusion = {r["said"]: np.array(r["v"]) for r in scored.groupBy(said.alias("said")).agg(*sums).select("said", vector.alias("v")).collect()}
     total = np.sum(list(confusion.values()), axis=0) if confusion else np.zeros(n)
     told = np.array([confusion.get(x, np.zeros(n)) for x in [*langs, ""]]) + 0.5
-    declared_log = np.vstack([np.log(told / told.sum(axis=0)), np.zeros(n)])
+    declared_log = np.log(told / told.sum(axis=0))
     world = (total + 1) / (total + 1).sum()
 
     hosts = write_stage(
@@ -177,11 +178,11 @@ def identify(rows: DataFrame, options: Options = Options()) -> DataFrame:
     met = scored.join(F.broadcast(p) if small else p, same, "left")
     others = F.zip_with("h", "q", lambda x, y: F.greatest(x - y, F.lit(0.0)))
     prior = F.coalesce(smoothed(others, F.col("rows") - 1, F.col("of_domain")), share)
-    table = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in declared_log])
-    line = F.when(F.col("declared").isNull(), n + 1).otherwise(F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("declared")), F.lit(0)) - 1, F.lit(n))).cast("int")
+    lines = [(x, v.tolist()) for x, v in zip([*langs, ""], declared_log, strict=True)]
+    met = met.withColumn("said", said).join(F.broadcast(rows.sparkSession.createDataFrame(lines, "said string, of_declared array<double>")), "said", "left")
     add = lambda x, y: F.zip_with(x, y, lambda u, v: u + v)
     met = met.withColumn("prior", F.transform(prior, lambda x: F.ln(x)))
-    logs = add(add("ll", "prior"), add(F.get(table, line), F.coalesce("of_suffix", zeros)))
+    logs = add(add("ll", "prior"), add(F.coalesce("of_declared", zeros), F.coalesce("of_suffix", zeros)))
     posterior = met.select("id", none_of(add("others", "prior"), blank).alias("none"), logs.alias("logs")).select("id", "none", softmax(F.col("logs")).alias("p"))
     most = F.array_max("p")
     best = most * (1 - F.col("none"))
