@@ -48,3 +48,15 @@ def test_odd_and_empty(spark, odd, none, odd_rows):
     got = found(odd, items)
     assert set(got) == {(5, 1)}
     assert not found(none, items) and not found(odd, benchmark(spark, []))
+
+
+def test_names_at_the_beginning_of_sentences(spark):
+    """Names that begin a text or sentence, or follow a figure, colon, quotation mark or bracket, may differ too."""
+    item = "{0} carries seven red apples towards the market. {1} takes three of these apples away again. {0} wants to know how many remain."
+    marked = "The list says: {0} buys bread on day 3 {1} pays (\"{0} owes nothing\") and later [{1} forgets the whole bill]"
+    rows = [(1, item.format("Maria", "Peter")), (2, item.format("Alice", "Bob")), (3, marked.format("Maria", "Peter"))]
+    rows += [(4, prose(1, 60))]  # noqa: F405
+    items = benchmark(spark, [(7, item.format("Alice", "Bob"), *"xxxx"), (8, marked.format("Alice", "Bob"), *"xxxx")])
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert set(got) == {(1, 7), (2, 7), (3, 8)}
+    assert got[2, 7].changed_slots == 0 and got[1, 7].changed_slots == 2 and got[3, 8].changed_slots == 2
