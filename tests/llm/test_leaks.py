@@ -60,3 +60,20 @@ def test_names_at_the_beginning_of_sentences(spark):
     got = found(spark.createDataFrame(rows, "doc_id long, text string"), items)
     assert set(got) == {(1, 7), (2, 7), (3, 8)}
     assert got[2, 7].changed_slots == 0 and got[1, 7].changed_slots == 2 and got[3, 8].changed_slots == 2
+
+
+def test_runs_of_the_same_words(spark, monkeypatch):
+    """13 words of an item as they stand, or a whole shorter one, at any place and with any literals."""
+    item, long = prose(1, 39).split(), prose(2, 100).split()  # noqa: F405
+    figures = "12 km 14 kg 15 m 17 s 19 h 21 mg 23 g 25 ml"
+    filler = [prose(10 + i, 20 + i) for i in range(14)]  # noqa: F405
+    rows = [(i, filler[i] + " " + " ".join(item[5 : 5 + n]) + " " + filler[13 - i]) for i, n in enumerate((12, 13, 13, 13, 14, 15, 16, 20))]
+    rows += [(10, filler[0] + "\n" + " ".join(long[20:73])), (11, filler[1] + " " + figures), (12, filler[2] + " WHAT IS 12 + 45?"), (13, filler[3] + " What is 12 + 46?")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = benchmark(spark, [(1, " ".join(item), *"xxxx"), (2, " ".join(long), *"xxxx"), (3, figures, *"xxxx"), (4, "What is 12 + 45?", *"xxxx")])
+    want = {(i, 1) for i in range(1, 8)} | {(10, 2), (11, 3), (12, 4)}
+    got = found(docs, items)
+    assert set(got) == want
+    assert all(got[i, 1].first_word <= 20 + i < got[i, 1].first_word + 7 for i in range(1, 8))
+    monkeypatch.setattr(templates, "MOST_BROADCAST", -1)
+    assert found(docs, items) == got

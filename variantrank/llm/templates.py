@@ -6,7 +6,7 @@ and the values in the slots must map one to one from the item to the document al
 
 Defined results: null or empty texts hold no window; documents are told apart by id, so rows with the same id count as
 one document; benchmark items with the same words are one item under their smallest id; items under MIN_WORDS words are
-not searched for, as they prove nothing; empty tables give an empty result; other columns are ignored. Rows with a null
+searched for as they stand only, those under MIN_RUN not at all, as they prove nothing; empty tables give an empty result; other columns are ignored. Rows with a null
 id take part under the null id.
 """
 
@@ -21,6 +21,8 @@ NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002"
 MARKS = r"[\p{P}\p{S}]++"
 UNITS = "km|cm|mm|m|kg|mg|g|lb|oz|mi|ft|ms|s|min|h|ml|l|usd|eur|gbp|percent|kwh|kw|mph|kmh|gb|mb|kb"
 WINDOW, MIN_WORDS, MIN_LITERALS, LEAK_FROM = 8, 5, 3, 0.5
+#: Consecutive words that prove a leak as they stand, or the whole item if shorter, which must have MIN_RUN words.
+RUN, MIN_RUN = 13, 3
 #: Windows of the benchmark that are broadcast at most: 1 million rows of a hash, a key and two short word lists.
 MOST_BROADCAST = 1_000_000
 
@@ -103,12 +105,73 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     Both are compared twice: with names as told by what precedes them, and with every capitalised word as a name, so that
     names at the beginning of sentences may differ too. A pair is reported as the first comparison finds it, else the second.
+    Pairs known only from a run of the same words (_runs) follow, with no windows and no slots.
     """
     first = write_stage(_held(docs, benchmark, id_col, text_col, item_col, item_text_col, False), "leaks")
-    second = _held(docs, benchmark, id_col, text_col, item_col, item_text_col, True)
     same = F.col("doc").eqNullSafe(F.col("_doc")) & F.col("item").eqNullSafe(F.col("_item"))
-    more = second.join(first.select(F.col("doc").alias("_doc"), F.col("item").alias("_item")), same, "left_anti")
-    return first.union(more).withColumnsRenamed({"doc": id_col, "item": item_col})
+
+    def others(more: DataFrame, known: DataFrame) -> DataFrame:
+        return more.join(known.select(F.col("doc").alias("_doc"), F.col("item").alias("_item")), same, "left_anti")
+
+    second = write_stage(others(_held(docs, benchmark, id_col, text_col, item_col, item_text_col, True), first), "leaks")
+    templated = first.union(second)
+    return templated.union(others(_runs(docs, benchmark, id_col, text_col, item_col, item_text_col), templated)).withColumnsRenamed({"doc": id_col, "item": item_col})
+
+
+def _runs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """Pairs of a document and an item that share RUN consecutive words, or all words of a shorter item, in any case.
+
+    A run of r words holds r - k + 1 windows of k words, one of which starts at a multiple of that number: only those
+    windows of a document meet all windows of the items, and what matches is extended to both sides.
+    """
+    spelt = lambda c: F.array_remove(F.split(F.lower(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), MARKS, "")), GAP), "")
+
+    def parts(k: Column, more: Column) -> list[Column]:
+        """The window of k words from at, and up to more words before it (backwards) and after it."""
+        near = F.least("at", more)
+        return [
+            F.slice("words", F.col("at") + 1, k).alias("window"),
+            F.reverse(F.slice("words", F.col("at") - near + 1, near)).alias("before"),
+            F.slice("words", F.col("at") + k + 1, more).alias("after"),
+        ]
+
+    items = benchmark.select(F.col(item_col).alias("item"), spelt(item_text_col).alias("words")).where(F.size("words") >= MIN_RUN)
+    items = items.groupBy("words").agg(F.min("item").alias("item")).withColumn("run", F.least(F.size("words"), F.lit(RUN)))
+    items = items.withColumn("k", F.least("run", F.lit(WINDOW))).withColumn("step", F.col("run") - F.col("k") + 1)
+    cut = items.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("k"))))
+    cut = cut.select("item", F.size("words").alias("size"), "run", "k", "step", *parts(F.col("k"), F.col("step") - 1))
+    known = write_stage(cut.withColumn("hash", F.xxhash64("window", "step")), "benchmark-runs")
+    forms = [(r["k"], r["step"]) for r in known.select("k", "step").distinct().orderBy("k", "step").collect()] or [(WINDOW, 1)]
+
+    def of(k: int, step: int) -> Column:
+        starts = F.when(F.size("words") >= k, F.sequence(F.lit(0), F.size("words") - k, F.lit(step))).otherwise(F.array().cast("array<int>"))
+        window = lambda i: F.xxhash64(F.slice("words", i + 1, F.lit(k)), F.lit(step))
+        return F.transform(starts, lambda i: F.struct(window(i).alias("hash"), i.alias("at"), F.lit(k).alias("k"), F.lit(step).alias("step")))
+
+    windows = docs.select(F.col(id_col).alias("doc"), spelt(text_col).alias("words"))
+    windows = windows.select("doc", "words", F.explode(F.concat(*[of(*form) for form in forms])).alias("w")).select("doc", "words", "w.*")
+    own = [x.alias(f"own_{c}") for x, c in zip(parts(F.col("k"), F.col("step") - 1), ("window", "before", "after"), strict=True)]
+    asked = known.drop("k", "step")
+    if known.count() <= MOST_BROADCAST:
+        hit = F.broadcast(asked.withColumnsRenamed({c: f"item_{c}" for c in ("window", "before", "after")}))
+        met = windows.join(hit, "hash").select("doc", "item", "size", "run", "k", "at", "item_window", "item_before", "item_after", *own)
+    else:
+        narrow = windows.select("doc", "hash", "k", "at", *own)
+        met = narrow.join(asked.withColumnsRenamed({c: f"item_{c}" for c in ("window", "before", "after")}), "hash")
+
+    def shared(a: str, b: str) -> Column:
+        """How many words both begin with."""
+        upto = F.least(F.size(a), F.size(b))
+        each = F.when(upto > 0, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
+        return F.size(F.filter(each, lambda i: F.slice(a, 1, i) == F.slice(b, 1, i)))
+
+    met = met.where("own_window = item_window").withColumn("back", shared("own_before", "item_before"))
+    whole = met.where(F.col("back") + F.col("k") + shared("own_after", "item_after") >= F.col("run"))
+    none = F.lit(0).cast("long")
+    return whole.groupBy("doc", "item", "size").agg(F.min(F.col("at") - F.col("back")).cast("long").alias("first_word")).select(
+        "doc", "item", none.alias("n_windows"), F.greatest(F.col("size") - WINDOW + 1, F.lit(1)).cast("long").alias("item_windows"),
+        none.alias("n_slots"), none.alias("changed_slots"), "first_word",
+    )
 
 
 def _held(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, every: bool) -> DataFrame:
