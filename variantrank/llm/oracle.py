@@ -131,7 +131,58 @@ done AS (SELECT conv_id, turn, role, CASE WHEN text IS NULL THEN NULL WHEN quote
 SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS position FROM done"""
 
 
+def repair_sql() -> str:
+    """structure_repair over damaged conversations: one step of the recursion takes every conversation one row further."""
+    key = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    bits = "list_reduce(range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(c, b))"
+    codes = f"list_transform(string_split({key}, ''), lambda x: ascii(x)::BIGINT)"
+    check = f"xor(list_reduce({codes}, lambda c, b: {bits}, 4294967295::BIGINT), 4294967295::BIGINT)"
+    never, n = 1 << 40, "chr(10)"
+
+    def way(state: str, cost: str, edits: str, said: str = "") -> str:
+        more = "".join(f" || {n} || {x}" for x in said.split("+") if x)
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{edits}', 'r': {state}.r{more}}}"
+
+    def least(ways: list[str]) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def to(state: str, initial: str, role: str, other: str, before: str) -> str:
+        out = [way(state, "3", "D")]
+        for s in "nsua":
+            gap, insert = ("", "") if s in before else ("I", f"'{other}:'+")
+            cost = f"cut + {0 if s in before else 2}"
+            out.append(way(s, f"{cost} + 2", gap + "R", f"{insert}'{role}:' || text"))
+            out.append(way(s, f"{cost} + CASE WHEN role[1:1] = '{initial}' THEN 0 ELSE {never} END", gap + "K", f"{insert}role || ':' || text"))
+        return f"CASE WHEN forced THEN {way(state, '3', 'D')} ELSE {least(out)} END"
+
+    system = least([way("s", "3", "D"), way("n", f"cut + CASE WHEN role[1:1] = 's' THEN 0 ELSE {never} END", "K", "role || ':' || text")])
+    zero, no = "{'c': 0::BIGINT, 'a': '', 'r': ''}", f"{{'c': {never}::BIGINT, 'a': '', 'r': ''}}"
+    end = least(["n", way("s", "4", "II", "'user:'+'assistant:'"), way("u", "2", "I", "'assistant:'"), "a"])
+    return f"""WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {check} % 20 AS f FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM keyed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n FROM damaged),
+told AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS unended,
+  lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY n) || role[1:1] AS pair FROM placed),
+lined AS MATERIALIZED (SELECT *, blank OR again AS forced, unended::INT AS cut FROM told),
+walked(conv_id, i, n, s, u, a) AS (SELECT conv_id, 0::BIGINT, {zero}, {no}, {no}, {no} FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL SELECT w.conv_id, i + 1, {way('w.n', '3', 'D')}, CASE WHEN forced THEN {way('s', '3', 'D')} ELSE {system} END,
+  {to('u', 'u', 'user', 'assistant', 'nsa')}, {to('a', 'a', 'assistant', 'user', 'u')}
+  FROM (SELECT conv_id, i, n, s, u, a FROM walked) w JOIN (SELECT conv_id, n AS at, role, text, forced, cut FROM lined) l
+  ON w.conv_id IS NOT DISTINCT FROM l.conv_id AND l.at = w.i + 1),
+done AS (SELECT conv_id, {end} AS best FROM (SELECT * FROM walked QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+  count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (unended AND NOT blank AND NOT again) AS truncated,
+  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM lined GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(substr(best.r, 2)) AS repaired_sha256
+FROM done d LEFT JOIN counts c ON d.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
 ORACLE = {
+    "op13_structure_repair": repair_sql(),
     "op2_quotation_links": links_sql(),
     "op5_template_leaks": leaks_sql(),
     "op6_quality_votes": quality_sql(

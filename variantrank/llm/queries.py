@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import harmonic, kdtree, kneser_ney, language_id, length_histogram, license_scan, quotes, setsketch, templates, weak_supervision
+from variantrank.llm import harmonic, kdtree, kneser_ney, language_id, length_histogram, license_scan, quotes, setsketch, structure_repair, templates, weak_supervision
 
 
 def vocabulary() -> str:
@@ -93,6 +93,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every damaged conversation's faults, its cheapest repair and a digest of the repaired rows."""
+    damaged = structure_repair.damage(table(spark, sf_dir, "conversations"))
+    return structure_repair.digest(structure_repair.repair(damaged))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "language_of_pages": language_of_pages,
@@ -105,4 +111,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_length_histogram": op9_length_histogram,
     "op10_license_scan": op10_license_scan,
+    "op13_structure_repair": op13_structure_repair,
 }
