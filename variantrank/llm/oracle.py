@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from variantrank.llm import quotes, templates
+from variantrank.llm import quotes, templates, warc
 from variantrank.llm import weak_supervision as ws
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -181,7 +181,18 @@ SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
 FROM done d LEFT JOIN counts c ON d.conv_id IS NOT DISTINCT FROM c.conv_id"""
 
 
+def archive_sql() -> str:
+    """What warc.read returns of archives of all pages."""
+    return f"""WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+best AS (SELECT html, count(*) AS n, max(page_id) AS largest FROM p WHERE octet_length(encode(html)) >= {warc.LEAST_REVISIT} GROUP BY html),
+named AS (SELECT p.*, b.n, b.largest, p.page_id IS NOT DISTINCT FROM b.largest AND p.url IS NOT DISTINCT FROM max(p.url) FILTER (p.page_id IS NOT DISTINCT FROM b.largest)
+  OVER (PARTITION BY p.html) AS is_best FROM p LEFT JOIN best b USING (html))
+SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN n > 1 AND NOT is_best THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN n > 1 AND NOT is_best THEN largest END AS refers_to FROM named"""
+
+
 ORACLE = {
+    "op12_warc_segments": archive_sql(),
     "op13_structure_repair": repair_sql(),
     "op2_quotation_links": links_sql(),
     "op5_template_leaks": leaks_sql(),

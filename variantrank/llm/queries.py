@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantrank.llm import harmonic, kdtree, kneser_ney, language_id, length_histogram, license_scan, quotes, setsketch, structure_repair, templates, weak_supervision
+from variantrank.llm import alignment, harmonic, kdtree, kneser_ney, language_id, length_histogram, license_scan, quotes, setsketch, structure_repair, templates, warc, weak_supervision
 
 
 def vocabulary() -> str:
@@ -93,6 +93,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by two tokenizers, aligned."""
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)[0].withColumnRenamed("id", "doc_id")
+
+
+def op12_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it comes back from WARC archives that hold all of them."""
+    path = warc.archive_dir(spark)
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every damaged conversation's faults, its cheapest repair and a digest of the repaired rows."""
     damaged = structure_repair.damage(table(spark, sf_dir, "conversations"))
@@ -111,5 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney": op8_kneser_ney,
     "op9_length_histogram": op9_length_histogram,
     "op10_license_scan": op10_license_scan,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_warc_segments": op12_warc_segments,
     "op13_structure_repair": op13_structure_repair,
 }
