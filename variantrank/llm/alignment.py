@@ -9,7 +9,7 @@ sums add up, and Table.group_by counts a document's linked id pairs. Counts of d
 each task as partial counts and are merged by Spark, which then joins them to the documents' pairs.
 
 The table of pairs grows with the vocabularies; it is broadcast up to MOST_BROADCAST rows and joined by a shuffle beyond that.
-Work goes by slices of bounded size: SLICE bytes of text, LINKS rows of links. A word of any length is cut nowhere.
+Work goes by slices of bounded size: SLICE bytes of text, ENCODED words, LINKS rows of links. A word of any length is cut nowhere.
 
 Defined results: null and empty texts have no tokens, and neither has a text that one of the tokenizers does not give back byte
 by byte (with a space before it); special tokens inside texts are plain text; rows with equal ids are aligned each by
@@ -34,10 +34,11 @@ from pyspark.sql import functions as F
 from variantrank.llm.common import write_stage
 from variantrank.llm.tokens import SPACES
 
-#: Bytes of text and rows of links that are worked on at once, words that are remembered, words hashed at once.
-SLICE, LINKS, MOST_WORDS, HASHED = 1 << 23, 1 << 22, 1 << 20, 1 << 18
+#: Bytes of text and rows of links that are worked on at once, words that are encoded at once and that are remembered, words
+#: whose groups are hashed at once.
+SLICE, LINKS, ENCODED, MOST_WORDS, HASHED = 1 << 22, 1 << 20, 1 << 13, 200_000, 1 << 18
 #: Pairs whose counts are kept in a task before they leave it, and those that are broadcast at most (17 bytes each).
-PARTIAL, MOST_BROADCAST = 1 << 21, 1 << 22
+PARTIAL, MOST_BROADCAST = 1 << 19, 1 << 22
 #: An id pair is the first id times this, and the second: both vocabularies fit 31 bits together.
 SECOND = 1 << 15
 WHITE = SPACES.encode().decode("unicode_escape")
@@ -137,7 +138,8 @@ class Aligned:
         if new:
             first = len(self.index)
             self.index.update((w, first + i) for i, w in enumerate(new))
-            self._add(new)
+            for at in range(0, len(new), ENCODED):
+                self._add(new[at : at + ENCODED])
             found = [self.index[w] for w in words]
         return np.array(found, np.int64)
 
