@@ -12,13 +12,14 @@ from variantrank.functions import genotypes as g
 from variantrank.functions.scores import BIN_WIDTH, BINS, bin_index, clamped
 from variantrank.functions.variants import has_alternate, info_keep, variant_key
 from variantrank.operators import joins
-from variantrank.operators.calls import read_depths
+from variantrank.operators.calls import attach_annotations, read_depths
+from variantrank.operators.genes import first_site, split_fusion_genes
 from variantrank.operators.indels import harmonize_contigs, has_dashes, left_trim
-from variantrank.operators.nulls import repeated_null_rows
+from variantrank.operators.nulls import null_lookup, repeated_null_rows
 from variantrank.plans.pipeline import Options, Run
 from variantrank.profiles import CADD13_V14, CADD16
 from variantrank.sinks import reports
-from variantrank.sources import contracts, tables, vcf
+from variantrank.sources import contracts, ingest, tables, vcf
 from variantrank.sources.lines import read_lines
 
 
@@ -107,32 +108,12 @@ def test_join_paths_agree_on_a_hot_key(spark, how):
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("row")
     )
     small = spark.range(-1, 300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    hot = joins.hot_keys(big, ["k"], share=0.1)
-    assert len(hot) == 1
     plain = big.join(small, "k", how)
-    salted = joins.salted_join(big, small, ["k"], how, ["row"], hot, salts=8)
-    assert salted.columns == plain.columns
-    assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
     for limit in (0, joins.MAX_BROADCAST_BYTES):
-        other = joins.lookup_join(big, small, ["k"], how, ["row"], max_bytes=limit)
+        other = joins.lookup_join(big, small, ["k"], how, max_bytes=limit)
         assert other.exceptAll(plain).isEmpty() and plain.exceptAll(other).isEmpty()
 
 
-def test_salting_cuts_the_hot_key(spark):
-    big = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id").alias("row"))
-    small = spark.createDataFrame([("hot", 1)], "k string, v int")
-    hot = joins.hot_keys(big, ["k"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = joins.salted_join(big, small, ["k"], "inner", ["row"], hot)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
-
-
 def test_run_without_any_broadcast(spark, monkeypatch):
     expected = Run(mini.cohort(spark)).ranked().drop("fam_id").collect()
     monkeypatch.setattr(joins, "data_bytes", lambda df: 1 << 40)
@@ -170,6 +151,40 @@ def test_generated_code_stays_compilable(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_narrow_null_cells(spark, tmp_path):
+    """A run on the narrow table gives the rows of a run on the null rows; a repeated null row stops the conversion."""
+    cohort = mini.cohort(spark)
+    tables.write_null_cells(cohort.nulls, str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    assert cells.count() == BINS * cohort.nulls.select("gene").distinct().count()
+    for small in (0, 1 << 40):
+        rows = Run(mini.cohort(spark, nulls=cells)).ranked()
+        assert rows.exceptAll(Run(cohort).ranked()).isEmpty() and rows.count() == 17
+        sites = spark.createDataFrame([("I", "G1", "AFR", 0.5), ("I", "NONE", "NFE", 0.5), ("I", "G1", "ALL", None)], "iid string, gene string, eth string, score_norm double")
+        one, two = (null_lookup(sites, table, "chet", max_bytes=small).select(*sites.columns, "prob") for table in (cells, cohort.nulls))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+    with pytest.raises(Exception, match="more than once"):
+        tables.write_null_cells(cohort.nulls.union(cohort.nulls.limit(1)), str(tmp_path / "twice"))
+
+
+def test_stored_calls_join_without_a_shuffle(spark, tmp_path):
+    calls, sites = mini.calls(spark), first_site(split_fusion_genes(mini.sites(spark))).drop("ord")
+    paths = str(tmp_path / "calls"), str(tmp_path / "sites")
+    try:
+        ingest.store(calls, "stored_calls", paths[0], 4)
+        ingest.store(sites, "stored_sites", paths[1], 4)
+        for name in ("stored_calls", "stored_sites"):
+            spark.sql(f"DROP TABLE {name}")
+        kept = [ingest.stored(spark, f"stored_{n}", p, 4) for n, p in zip(("calls", "sites"), paths)]
+        joined = attach_annotations(*kept, small_bytes=1 << 40)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Bucketed: true" in plan
+        assert joined.exceptAll(attach_annotations(calls, sites)).isEmpty() and joined.count() == attach_annotations(calls, sites).count()
+    finally:
+        for name in ("stored_calls", "stored_sites"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_repeated_null_rows(spark):
     nulls = mini.nulls(spark, ["G1"])
     assert repeated_null_rows(nulls).isEmpty()

@@ -1,5 +1,8 @@
 """Nothing is lost or misread without a word: writers, readers, contracts and alleles."""
 
+import gzip
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,16 +76,58 @@ def annotated(columns, value):
     return "\t".join(columns) + "\n" + "\t".join(value.get(c, "NA") for c in columns) + "\n"
 
 
-def test_headers_must_agree(spark, tmp_path):
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    """Each file is read by its own header, whatever the order of its columns and its name; empty files hold nothing."""
     columns = [n for _, n in CADD16.annotation_columns]
-    value = {columns[0]: "chr1", columns[1]: "7"}
     (tmp_path / "a").mkdir()
-    for name in ("1.txt", "2 b%.txt"):
-        (tmp_path / "a" / name).write_text(annotated(columns, value))
-    assert tables.read_annotations(spark, str(tmp_path / "a"), CADD16).count() == 2
-    (tmp_path / "a" / "3.txt").write_text(annotated(columns[::-1], value))
-    with pytest.raises(ValueError, match="header"):
+    orders = {"1.txt": columns, "2 b%+.txt": columns, "3[x].txt": columns[::-1], "4.txt": ["more", *columns[3:], *columns[:3]]}
+    for i, (name, order) in enumerate(orders.items()):
+        value = {columns[0]: "chr1", columns[1]: str(i), CADD16.score_column: f"{i}.5", "more": "x"}
+        (tmp_path / "a" / name).write_text(annotated(order, value))
+    (tmp_path / "a" / "0.txt").write_text("")
+    found = tables.read_annotations(spark, str(tmp_path / "a"), CADD16).collect()
+    assert sorted((r["start"], r["phred"], r["chr"], r["gene"]) for r in found) == [(i, i + 0.5, "chr1", None) for i in range(4)]
+    (tmp_path / "a" / "5.txt").write_text("other\tcolumns\n1\t2\n")
+    with pytest.raises(ValueError, match="lack columns"):
         tables.read_annotations(spark, str(tmp_path / "a"), CADD16)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "0.txt").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        tables.read_annotations(spark, str(tmp_path / "none"), CADD16)
+
+
+def test_pedigrees_with_headers(spark, tmp_path):
+    for name, head, person in (("a.ped", "FAM ID PAT MAT SEX STATUS ANC", "P1"), ("b.ped", "fam iid pat mat sex st eth", "P2"), ("c.ped", "", "")):
+        (tmp_path / name).write_text(f"{head}\nF1 {person} 0 0 1 2 2\n" if head else "")
+    found = tables.read_pedigree(spark, str(tmp_path), header=True)
+    assert sorted(r["iid"] for r in found.collect()) == ["P1", "P2"]
+
+
+def test_indel_scores_of_several_forms(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("## made elsewhere\n" * 9000 + "#Chrom\tPos\tRef\tAlt\tRawScore\tPHRED\n5\t9\tTA\tT\t3.3\t33\n")
+    with gzip.open(tmp_path / "b.tsv.gz", "wt") as out:
+        out.write("#Chrom\tPos\tRef\tPHRED\tAlt\tRawScore\n5\t10\tTA\t34\tT\t3.4\n")
+    found = tables.read_indel_scores(spark, str(tmp_path)).collect()
+    assert sorted((r["start"], r["raw_score"], r["phred"], r["alt"]) for r in found) == [(9, 3.3, 33.0, "T"), (10, 3.4, 34.0, "T")]
+    (tmp_path / "c.tsv").write_text("5\t9\tTA\tT\t3.3\t33\n")
+    for path in (tmp_path, tmp_path / "c.tsv"):
+        with pytest.raises(ValueError, match="no header"):
+            tables.read_indel_scores(spark, str(path))
+
+
+def test_vcfs_with_samples_of_their_own(spark, tmp_path):
+    """Names come from the heads of the files; the body is read once for the calls."""
+    fixed = "#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split()
+    for i, (name, people) in enumerate({"a b%.vcf": ["P1", "P2"], "b.vcf": ["P3"], "c.vcf": []}.items()):
+        line = ["chr1", str(100 + i), ".", "A", "G", "50", "PASS", "AC=1", *["GT", *["0/1"] * len(people)][: 1 + len(people)]]
+        text = "##fileformat=VCFv4.2\n" + "##contig=<ID=chr1>\n" * 5000 + "\t".join(fixed + people) + "\n" + "\t".join(line) + "\n"
+        (tmp_path / name).write_text(text)
+    (tmp_path / "empty.vcf").write_text("")
+    found = vcf.read_vcf(spark, str(tmp_path))
+    assert sorted((r["iid"], r["start"]) for r in found.calls.collect()) == [("P1", 100), ("P2", 100), ("P3", 102 - 1)]
+    assert sorted((r["iid"], r["sample_pos"]) for r in found.samples.collect()) == [("P1", 0), ("P2", 1), ("P3", 0)]
+    assert found.sites.count() == 3
+    assert len(re.findall(r"Relation \[value", found.calls._jdf.queryExecution().optimizedPlan().toString())) == 1
 
 
 def test_person_of_an_odd_file_name(spark, tmp_path):
@@ -128,6 +173,5 @@ def test_planning_runs_nothing_over_the_ranking(spark, monkeypatch):
     """With sites too large to broadcast, building the plan starts no job that joins."""
     monkeypatch.setattr("variantrank.plans.pipeline.data_bytes", lambda df: 1 << 40)
     run = Run(mini.cohort(spark))
-    monkeypatch.setattr(joins, "hot_keys", lambda *a, **b: pytest.fail("a sketch of derived rows"))
     monkeypatch.setattr(joins, "data_bytes", lambda df: pytest.fail("a measure of derived rows"))
     assert run.ranked().count() == 17

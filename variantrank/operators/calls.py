@@ -48,7 +48,7 @@ def rejected_people(
 
 def join_pedigree(calls: DataFrame, people: DataFrame, **join_options) -> DataFrame:
     """Calls of the given people, with their family, sex, status and ancestry."""
-    return lookup_join(calls, people, ["iid"], "inner", spread=VARIANT + ["ord"], **join_options)
+    return lookup_join(calls, people, ["iid"], "inner", **join_options)
 
 
 def first_call(calls: DataFrame, same_row: tuple = ()) -> DataFrame:
@@ -70,7 +70,7 @@ def attach_annotations(
     join. ``unique_calls`` says no person has two calls of one variant.
     """
     first = calls.drop("ord") if unique_calls else first_call(calls)
-    return lookup_join(first, sites, VARIANT, "inner", spread=["iid"], **join_options)
+    return lookup_join(first, sites, VARIANT, "inner", **join_options)
 
 
 def annotations_of_carriers(sites: DataFrame, calls: DataFrame) -> DataFrame:

@@ -36,8 +36,7 @@ def cnv_sex_adjust(cnv: DataFrame) -> DataFrame:
 
 def join_people(cnv: DataFrame, people: DataFrame, **join_options) -> DataFrame:
     """Copy-number calls of the given people, with their family, sex, status and ancestry."""
-    spread = ["chr", "start", "cnv_ord"]
-    return lookup_join(cnv, people, ["iid"], "inner", spread=spread, **join_options)
+    return lookup_join(cnv, people, ["iid"], "inner", **join_options)
 
 
 def prepare_cnv(

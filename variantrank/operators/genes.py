@@ -44,10 +44,10 @@ def flag_genes(df: DataFrame, lists: dict[str, DataFrame], **join_options) -> Da
     The lists are merged into one table of genes first, so there is one join.
     """
     listed = merged_lists(lists)
-    joined = lookup_join(df, listed, ["gene"], "left", spread=VARIANT, **join_options)
+    joined = lookup_join(df, listed, ["gene"], "left", **join_options)
     return joined.withColumns({f: F.coalesce(f, F.lit(False)) for f in lists})
 
 
 def keep_listed_genes(df: DataFrame, genes: DataFrame, **join_options) -> DataFrame:
     listed = genes.select("gene").distinct()
-    return lookup_join(df, listed, ["gene"], "left_semi", spread=VARIANT, **join_options)
+    return lookup_join(df, listed, ["gene"], "left_semi", **join_options)

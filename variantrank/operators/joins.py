@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 1 / 500
-SALTS = 256
-TRACKED_KEYS = 16384
 
 
 def _field_bytes(field: T.StructField) -> Column:
@@ -33,65 +30,18 @@ def data_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows: at most ``1/share``.
-
-    One pass over the key columns into a mergeable frequent-items sketch, with
-    no shuffle of rows. A key near the limit may be missed or added; that moves
-    work between tasks, never rows in or out of a result.
-    """
-    limit = int(1 / share)
-    counted = df.agg(
-        F.expr(
-            f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {limit}, {TRACKED_KEYS})"
-        ).alias("top"),
-        F.count("*").alias("n"),
-    ).first()
-    return [t["item"] for t in counted["top"] or [] if t["count"] > share * counted["n"]]
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str,
-    spread: list[str],
-    hot: list[int],
-    salts: int = SALTS,
-) -> DataFrame:
-    """Shuffled join in which each hot key of ``big`` is cut into ``salts`` parts.
-
-    A row's part is a hash of its own ``spread`` columns, so a re-run task puts
-    it in the same place; ``small`` repeats only the rows of the hot keys.
-    """
-    is_hot = F.xxhash64(*on).isin(hot)
-    left = big.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    right = small.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return left.join(right, on + ["_salt"], how).drop("_salt")
-
-
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
     on: list[str],
     how: str = "left",
-    spread: list[str] | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
     small_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``big`` with ``small``: broadcast if ``small`` measures at most ``max_bytes``.
 
     Beyond that it is a shuffled join whose hot keys adaptive execution splits; nothing runs
-    over ``big`` to plan it. ``spread`` names columns that tell rows of one key apart, for
-    callers that salt by hand (salted_join). ``small_bytes`` is the size of ``small`` if the
-    caller has measured it already.
+    over ``big`` to plan it. ``small_bytes`` is the size of ``small`` if the caller has measured it already.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the large side on the left: {how!r} is not supported")

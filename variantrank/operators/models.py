@@ -101,27 +101,15 @@ def pair_prob(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("prob", second)
 
 
-def _compound_rows(df: DataFrame) -> DataFrame:
-    """Every heterozygous row of the genes that have two or more.
+def _group_size() -> Column:
+    """Rows of the same person, gene and zygosity: a gene's variants, which one person has few of."""
+    return F.count("*").over(Window.partitionBy(*GROUP))
 
-    A gene with one row is recognised by that row itself, so the anti-join is
-    keyed by single rows and no large gene gathers in one place.
-    """
-    het = df.filter("zyg = 'het'")
-    lone = (
-        het.groupBy("iid", "gene")
-        .agg(F.count("*").alias("_n"), F.min("key").alias("key"))
-        .filter("_n = 1")
-        .drop("_n")
-    )
-    same = ["iid", "gene", "key"]
-    left = het.withColumn("_gene", F.coalesce("gene", F.lit("")))
-    right = lone.select("iid", "key", F.coalesce("gene", F.lit("")).alias("_gene"))
-    return (
-        left.join(right, ["iid", "_gene", "key"], "left_anti")
-        .drop("_gene")
-        .withColumn("geno", compound_geno(F.col("geno")))
-    )
+
+def _compound_rows(df: DataFrame) -> DataFrame:
+    """Every heterozygous row of the genes that have two or more."""
+    het = df.filter("zyg = 'het'").withColumn("_n", _group_size())
+    return het.filter("_n >= 2").drop("_n").withColumn("geno", compound_geno(F.col("geno")))
 
 
 def model_chet(df: DataFrame, nulls: DataFrame, report_all: bool = False) -> DataFrame:
@@ -145,25 +133,27 @@ def own_probabilities(df: DataFrame) -> DataFrame:
 
 
 def rank_models(rows: DataFrame, report_all: bool = False) -> DataFrame:
-    """All models of rows that carry ``zyg`` and their probabilities, in one ranking shuffle.
+    """All models of rows that carry ``zyg`` and their probabilities, in one pass over them and one shuffle.
 
     The worst dominant row and the worst pair of a gene come from the same two
-    heterozygous rows, so one top-2 serves every model.
+    heterozygous rows, so one top-2 serves every model. With ``report_all`` each row stands for itself and,
+    in a gene with two heterozygous rows or more, for a compound too.
     """
+    compound = compound_geno(F.col("geno")).alias("geno")
     if report_all:
-        pairs = _compound_rows(rows).withColumn("prob", F.col("prob_chet"))
-        return _labelled(rows.unionByName(pairs)).drop("zyg", "prob_chet")
-    group = Window.partitionBy(*GROUP)
-    top = (
-        _ranked(rows, 2)
-        .withColumn("_n", F.max("rank").over(group))
-        .withColumn("_second", F.max(F.when(F.col("rank") == 2, F.col("prob_chet"))).over(group))
-    )
-    single = F.when(F.col("rank") == 1, F.struct(F.col("geno"), F.col("prob")))
-    paired = F.when(
-        (F.col("zyg") == "het") & (F.col("_n") == 2),
-        F.struct(compound_geno(F.col("geno")).alias("geno"), F.col("_second").alias("prob")),
-    )
+        top = rows.withColumn("_n", _group_size())
+        single = F.struct(F.col("geno"), F.col("prob"))
+        own = F.struct(compound, F.col("prob_chet").alias("prob"))
+    else:
+        group = Window.partitionBy(*GROUP)
+        top = (
+            _ranked(rows, 2)
+            .withColumn("_n", F.max("rank").over(group))
+            .withColumn("_second", F.max(F.when(F.col("rank") == 2, F.col("prob_chet"))).over(group))
+        )
+        single = F.when(F.col("rank") == 1, F.struct(F.col("geno"), F.col("prob")))
+        own = F.struct(compound, F.col("_second").alias("prob"))
+    paired = F.when((F.col("zyg") == "het") & (F.col("_n") >= 2), own)
     roles = top.withColumn("_role", F.explode(F.array_compact(F.array(single, paired))))
     rest = [c for c in rows.columns if c not in ("geno", "zyg", "prob", "prob_chet")]
     return _labelled(roles.select(*rest, "_role.geno", "_role.prob"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from variantrank.functions.variants import has_alternate, variant_key
 from variantrank.operators.joins import lookup_join
+from variantrank.sinks.stages import kept
 
 MAX_P = 1e-3
 MIN_CASES = 2
@@ -41,36 +44,40 @@ def candidate_report(
     max_p: float = MAX_P,
     min_cases: int = MIN_CASES,
     rejected_calls: DataFrame | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Variants ranked below ``max_p`` in ``min_cases`` affected people and seen in no unaffected.
 
-    ``observed`` holds every (iid, key, gene, geno) of the cohort; the carriers among the
-    unaffected shrink to distinct (key, gene) within each task before they are shuffled.
+    ``observed`` holds every (iid, key, gene, geno) of the cohort. Only rows of a variant that the affected share are looked
+    at among the unaffected, and these shrink to distinct (key, gene) within each task before they are shuffled.
     ``rejected_calls`` are calls of people who take no part in the run (of unknown sex, say): a
     variant of which an unaffected one of them carries an alternate allele is no candidate either.
+    With a ``folder`` what the affected share, few rows, is written there once and not found again for each use.
     """
     status = pedigree.select("iid", "status")
+    unaffected = status.filter("status = 1").select("iid")
     cases = lookup_join(
         ranked.filter(F.col("prob") < max_p).select("iid", "key", "gene", "dz_model"),
         status.filter("status = 2").select("iid"),
         ["iid"],
         "left_semi",
-        spread=["key"],
     )
     shared = (
         cases.groupBy("key", "gene", "dz_model")
         .agg(F.count_distinct("iid").alias("n_cases"))
         .filter(F.col("n_cases") >= min_cases)
     )
+    if folder is not None:
+        shared = kept(shared, f"{folder}/shared-{uuid.uuid4().hex}")
+
+    def carried_by_unaffected(rows: DataFrame, on: list[str]) -> DataFrame:
+        wanted = shared.select(*on).distinct()
+        found = lookup_join(rows, wanted, on, "left_semi") if folder is not None else rows.join(wanted, on, "left_semi")
+        return lookup_join(found, unaffected, ["iid"], "left_semi").select(*on).distinct()
+
     carriers = observed.filter(~F.col("geno").isin("ref", "miss")).select("iid", "key", "gene")
-    unaffected = lookup_join(
-        carriers, status.filter("status = 1").select("iid"), ["iid"], "left_semi", spread=["key"]
-    )
-    found = shared.join(unaffected.select("key", "gene").distinct(), ["key", "gene"], "left_anti")
+    found = shared.join(carried_by_unaffected(carriers, ["key", "gene"]), ["key", "gene"], "left_anti")
     if rejected_calls is None:
         return found
-    carried = rejected_calls.filter(has_alternate(F.col("gt"))).withColumn("key", variant_key())
-    apart = lookup_join(
-        carried, status.filter("status = 1").select("iid"), ["iid"], "left_semi", spread=["key"]
-    )
-    return found.join(apart.select("key").distinct(), "key", "left_anti")
+    carried = rejected_calls.filter(has_alternate(F.col("gt"))).withColumn("key", variant_key()).select("iid", "key")
+    return found.join(carried_by_unaffected(carried, ["key"]), "key", "left_anti")

@@ -11,20 +11,27 @@ from variantrank.functions import filters
 from variantrank.functions.variants import VARIANT, variant_key
 from variantrank.operators.genes import first_site, flag_genes, split_fusion_genes
 from variantrank.profiles import Profile
+from variantrank.sources.genome import SiteKeys
 
 
-def annotate_sites(sites: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+def annotate_sites(sites: DataFrame, sources: dict[str, DataFrame], **key_options) -> DataFrame:
     """Left join each source by exact variant; its value columns are NULL when absent.
 
-    All joins share one key, so the sites are shuffled once for the whole chain.
+    Sources are cut down to the sites' keys before they are shuffled. All joins share one key, so the sites are
+    shuffled once for the whole chain.
     """
     on = ["chr", "start", "end", "ref", "alt"]
-    return reduce(lambda df, source: df.join(one_per_key(source, on), on, "left"), sources.values(), sites)
+    keys = SiteKeys(sites, on, **key_options)
+    return reduce(lambda df, source: df.join(one_per_key(keys.meeting(source), on), on, "left"), sources.values(), sites)
 
 
-def annotate_scores(sites: DataFrame, scores: DataFrame) -> DataFrame:
-    """Left join (chr, start, ref, alt, raw_score, phred); unscored sites stay, with NULL."""
-    return sites.join(one_per_key(scores.select(*VARIANT, "raw_score", "phred"), VARIANT), VARIANT, "left")
+def annotate_scores(sites: DataFrame, scores: DataFrame, **key_options) -> DataFrame:
+    """Left join (chr, start, ref, alt, raw_score, phred); unscored sites stay, with NULL.
+
+    Of the score table only rows that meet a site are shuffled (:class:`SiteKeys`).
+    """
+    met = SiteKeys(sites, VARIANT, **key_options).meeting(scores)
+    return sites.join(one_per_key(met.select(*VARIANT, "raw_score", "phred"), VARIANT), VARIANT, "left")
 
 
 def one_per_key(source: DataFrame, on: list[str]) -> DataFrame:

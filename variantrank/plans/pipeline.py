@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -31,8 +32,10 @@ from variantrank.operators.indels import (
 from variantrank.operators.joins import data_bytes, lookup_join
 from variantrank.operators.models import own_probabilities, rank_models
 from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
+from variantrank.operators.report import candidate_report, stage_audit
 from variantrank.operators.sites import flag_variants, prepare_sites
 from variantrank.profiles import CADD16, Profile
+from variantrank.sinks.stages import kept
 from variantrank.sources.contracts import require_sources
 
 
@@ -72,9 +75,13 @@ class Options:
 
 @dataclass(frozen=True)
 class Result:
+    """``audit()`` and ``candidates()`` are made when called for."""
+
     ranked: DataFrame
     dropped: DataFrame
     rejects: DataFrame
+    audit: Callable[[], DataFrame]
+    candidates: Callable[..., DataFrame]
 
 
 class Run:
@@ -166,7 +173,19 @@ class Run:
         return join_pedigree(calls, self.people, small_bytes=self.people_bytes)
 
     def candidates(self) -> DataFrame:
-        """Rows that take part in a model, with their own probabilities.
+        """Rows that take part in a model, with their own probabilities."""
+        rows = self._call_rows().withColumn("key", variant_key()).withColumn("is_cnv", F.lit(False))
+        if self.cnv is None:
+            return rows.withColumn("cnv_ord", F.lit(None).cast("int"))
+        cnv = self._clean_scored(self.cnv).withColumn("cells", own_cells())
+        cnv = own_probabilities(cnv.filter(takes_part(F.col("geno"))))
+        cnv = cnv.withColumn("described", F.struct(*self.described))
+        return rows.unionByName(
+            cnv.select(*rows.columns, "cnv_ord", "described"), allowMissingColumns=True
+        )
+
+    def _call_rows(self) -> DataFrame:
+        """The calls among the candidates.
 
         The site join comes before the search for repeated calls, because it
         throws out every call at a site that cannot be ranked.
@@ -175,9 +194,7 @@ class Run:
         # These are some of the sites, each with less than 300 bytes of cells where a measured site
         # row has over 150. An indel score adds a row per gene of its variant, few at most.
         size = 3 * self.site_bytes + (0 if self.indels is None else 10 * self.indel_bytes)
-        rows = lookup_join(
-            self._calls(), sites, VARIANT, "inner", spread=["iid", "ord"], small_bytes=size
-        )
+        rows = lookup_join(self._calls(), sites, VARIANT, "inner", small_bytes=size)
         rows = rows.withColumn("cells", own_cells()).drop("eth", "in_lookup")
         if self.options.unique_calls:
             rows = rows.drop("ord")
@@ -190,16 +207,7 @@ class Run:
         if self.profile.pass_filter:
             rows = rows.filter(passes(F.col("filter")))
         rows = own_probabilities(rows)
-        rows = rows.drop("call_drops", "sex", "status", "filter", "is_xy", "raw_score")
-        rows = rows.withColumn("key", variant_key()).withColumn("is_cnv", F.lit(False))
-        if self.cnv is None:
-            return rows.withColumn("cnv_ord", F.lit(None).cast("int"))
-        cnv = self._clean_scored(self.cnv).withColumn("cells", own_cells())
-        cnv = own_probabilities(cnv.filter(takes_part(F.col("geno"))))
-        cnv = cnv.withColumn("described", F.struct(*self.described))
-        return rows.unionByName(
-            cnv.select(*rows.columns, "cnv_ord", "described"), allowMissingColumns=True
-        )
+        return rows.drop("call_drops", "sex", "status", "filter", "is_xy", "raw_score")
 
     def _describe(self, ranked: DataFrame) -> DataFrame:
         """Join the descriptive site columns; copy-number rows bring their own."""
@@ -209,7 +217,6 @@ class Run:
             table,
             VARIANT + ["gene"],
             "left",
-            spread=["iid"],
             small_bytes=self.site_bytes,
         )
         if self.cnv is None:
@@ -217,10 +224,13 @@ class Run:
         own = {c: F.when(F.col("is_cnv"), F.col(f"_own.{c}")).otherwise(F.col(c)) for c in self.described}
         return rows.withColumns(own)
 
+    def ranked_core(self) -> DataFrame:
+        """The ranked rows without the descriptive site columns."""
+        return rank_models(self.candidates(), self.options.report_all)
+
     def ranked(self) -> DataFrame:
         columns = [c for c, _ in self.profile.ranked_columns]
-        ranked = rank_models(self.candidates(), self.options.report_all)
-        return self._describe(ranked).select("fam_id", *columns)
+        return self._describe(self.ranked_core()).select("fam_id", *columns)
 
     def raw(self) -> DataFrame:
         """Every annotated call with its class, ``drop_reason`` and ``key_kept``.
@@ -257,6 +267,17 @@ class Run:
         """Every row of every person before cleaning, copy-number rows included."""
         return merge_cnv(self.raw(), self.raw_cnv())
 
+    def audit(self) -> DataFrame:
+        """Per person: raw, clean, candidate and ranked rows; copy-number rows are counted where they are ranked."""
+        return stage_audit(self.raw(), self.ranked_core())
+
+    def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
+        """Variants of several affected and no unaffected people; unaffected ones who take no part count by their raw calls."""
+        apart = self.cohort.calls.join(self.rejects().select("iid").distinct(), "iid", "left_semi")
+        return candidate_report(
+            self.ranked_core(), self.observed(), self.cohort.pedigree, rejected_calls=apart, folder=folder, **limits
+        )
+
     def dropped(self) -> DataFrame:
         """Rows of a person whose key is in none of that person's clean rows."""
         columns = [c for c, _ in self.profile.dropped_columns]
@@ -277,7 +298,75 @@ class Run:
         return rejected_people(self.cohort.pedigree, self.cohort.calls, self.cohort.samples)
 
 
-def rank_variants(cohort: Cohort, profile: Profile = CADD16, options: Options = Options()) -> Result:
-    """Ranked variants, dropped variants and rejected people of a cohort."""
-    run = Run(cohort, profile, options)
-    return Result(run.ranked(), run.dropped(), run.rejects())
+class KeptRun(Run):
+    """A run that joins calls with sites once.
+
+    Prepared sites and the joined calls are written below ``folder`` when first needed; ranked and dropped rows, the audit
+    and the shared candidates all read them from there. A joined row holds what the models compare and the number of its
+    site, by which the descriptive columns are found again. The scores of a site, several where the indel table lists
+    it several times, are an array, so that a joined row is there once.
+    """
+
+    def __init__(self, cohort: Cohort, profile: Profile, options: Options, folder: str):
+        super().__init__(cohort, profile, options)
+        self.folder = folder
+        self.sites = kept(self.sites.withColumn("site", F.monotonically_increasing_id()), f"{folder}/sites")
+
+    def _joinable_sites(self) -> DataFrame:
+        """Narrow site rows with their scores and the cells of every ancestry."""
+        scored = self._clean_scored(self.sites)
+        entry = F.struct("raw_score", "phred", "score_norm", "rescored", "cells")
+        scores = scored.groupBy("site").agg(F.collect_list(entry).alias("scores"))
+        site_kept = (F.col("site_drops") == "") & F.col("has_score")
+        marked = mark_scored(self.sites, self.indels, self.profile)
+        marked = marked.withColumn("_any", F.max(site_kept).over(Window.partitionBy(*VARIANT)))
+        narrow = ["site", *VARIANT, "gene", "exonic_func", "is_xy", "is_splice", "site_drops", "has_score", "_any"]
+        return marked.select(*narrow, F.col("phred").alias("own_phred")).join(scores, "site", "left")
+
+    @cached_property
+    def joined(self) -> DataFrame:
+        """Every annotated call once, with its class, reasons, and for its ancestry the scores it may be ranked by."""
+        sites = kept(self._joinable_sites(), f"{self.folder}/joinable")
+        rows = attach_annotations(self._calls(), sites, self.options.unique_calls, small_bytes=data_bytes(sites))
+        rows = classify(rows, self.profile, self.options.strict_gt)
+        rows = self._with_reasons(rows).withColumn("key_kept", F.col("_any") & (F.col("call_drops") == ""))
+        part = takes_part(F.col("geno"))
+        part = part & passes(F.col("filter")) if self.profile.pass_filter else part
+        own = F.transform("scores", lambda s: s.withField("cells", own_cells(s["cells"])))
+        rows = rows.withColumn("scores", F.when(part, own)).drop("_any", "has_score", "site_drops", "call_drops", "eth")
+        return kept(rows.withColumn("is_cnv", F.lit(False)), f"{self.folder}/joined")
+
+    def _call_rows(self) -> DataFrame:
+        rows = self.joined.filter("size(scores) > 0").withColumn("_score", F.explode("scores"))
+        columns = ["fam_id", "iid", *VARIANT, "total_read", "alt_read", "gene", "is_splice", "geno"]
+        return own_probabilities(rows.select(*columns, "_score.*")).drop("raw_score")
+
+    def _plain(self) -> DataFrame:
+        return self.joined.withColumn("key", variant_key()).drop("scores")
+
+    def raw(self) -> DataFrame:
+        described = [c for c in self.described if c not in ("exonic_func", "func")]
+        table = self.sites.select("site", "func", *described, "phred")
+        rows = self._plain().drop("own_phred")
+        return lookup_join(rows, table, ["site"], "left", small_bytes=self.site_bytes).drop("site")
+
+    def observed(self) -> DataFrame:
+        return merge_cnv(self._plain().withColumnRenamed("own_phred", "phred").drop("site"), self.raw_cnv())
+
+    def audit(self) -> DataFrame:
+        return stage_audit(self._plain(), self.ranked_core())
+
+    def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
+        return super().shared_candidates(folder or self.folder, **limits)
+
+
+def rank_variants(
+    cohort: Cohort, profile: Profile = CADD16, options: Options = Options(), folder: str | None = None
+) -> Result:
+    """Ranked variants, dropped variants, rejected people, the audit and the shared candidates of a cohort.
+
+    With a ``folder`` that all executors see, calls meet sites once, and all results are read from what is kept there
+    (:class:`KeptRun`); remove the folder when they are written. Without it each result is a plan of its own.
+    """
+    run = Run(cohort, profile, options) if folder is None else KeptRun(cohort, profile, options, folder)
+    return Result(run.ranked(), run.dropped(), run.rejects(), run.audit, run.shared_candidates)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantrank.profiles import Profile
+from variantrank.sinks import stages
 
 ROWS_PER_FILE = 2_000_000
 
@@ -55,6 +58,14 @@ def _replace(named: DataFrame, path: str, by: list[str], without: DataFrame | No
         _clear(named.sparkSession, path, without.select(F.concat_ws("/", *parts).alias("folder")).distinct())
 
 
+def _computed_once(rows: DataFrame, people: DataFrame | None) -> tuple[DataFrame, Callable[[], None]]:
+    """``rows``, kept in files while they are needed twice: for the reports and to find the people without any."""
+    if people is None:
+        return rows, lambda: None
+    folder = stages.new_folder(rows.sparkSession, "report-rows")
+    return stages.kept(rows, folder), lambda: stages.remove(rows.sparkSession, folder)
+
+
 def _path_text(value: Column) -> Column:
     """A partition value as Spark writes it in a folder name."""
     codes = [*range(1, 32), *map(ord, "\"#%'*/:=?\\{[]^"), 127]
@@ -74,6 +85,7 @@ def write_tsv(
     they are, unless ``people`` (fam_id, iid: everyone of the run) names them: then they have no rows now, and go.
     """
     columns = profile.ranked_columns if kind == "ranked" else profile.dropped_columns
+    rows, done = _computed_once(rows, people)
     named = rows.select(
         report_name(kind, report_all).alias("report"),
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(n) for c, n in columns],
@@ -89,6 +101,7 @@ def write_tsv(
         without = absent.select(report_name(kind, report_all).alias("report"))
     options = {"sep": "\t", "header": True, "quote": "", "emptyValue": ""}
     _replace(named.repartition("report").sortWithinPartitions(*sort), path, ["report"], without, options, "csv")
+    done()
 
 
 def write_parquet(rows: DataFrame, path: str, people: DataFrame | None = None) -> None:
@@ -98,11 +111,13 @@ def write_parquet(rows: DataFrame, path: str, people: DataFrame | None = None) -
     With ``people`` (fam_id, iid: everyone of the run), those without rows lose theirs.
     """
     copies = {"family": F.col("fam_id"), "person": F.col("iid")}
+    rows, done = _computed_once(rows, people)
     without = None
     if people is not None:
         without = people.join(rows.select("fam_id", "iid").distinct(), ["fam_id", "iid"], "left_anti").withColumns(copies)
     named = rows.withColumns(copies).repartition("family", "person").sortWithinPartitions("family", "person")
     _replace(named, path, ["family", "person"], without, {}, "parquet")
+    done()
 
 
 def write_done(people: DataFrame, path: str) -> None:

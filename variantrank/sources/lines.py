@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,19 +23,6 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def header_of(spark: SparkSession, path) -> list[str]:
-    """Field names of the first line, which all files of the path must share; only the head of each file is read."""
-    found: dict[str, str] = {}
-    for file in spark.read.text(path).inputFiles():
-        name = re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(file))
-        found.setdefault(spark.read.text(name).first()["value"], file)
-    if len(found) > 1:
-        raise ValueError(f"files differ in their header line: {sorted(found.values())}")
-    if not found:
-        raise ValueError(f"no file in {path}")
-    return next(iter(found)).split("\t")
-
-
 def not_na(col: Column) -> Column:
     """NULL for the missing-value mark ``NA``."""
     return F.when(col != "NA", col)

@@ -11,8 +11,10 @@ from variantrank.functions.genotypes import (
     cnv_genotype,
 )
 from variantrank.functions.scores import BINS
+from variantrank.operators.nulls import cell_table
 from variantrank.profiles import Profile
-from variantrank.sources.lines import fields, header_of, not_na, read_lines, split_tabs
+from variantrank.sources.heads import read_by_header
+from variantrank.sources.lines import fields, not_na, read_lines, split_tabs
 
 # Field names of the call file and of the copy-number additions.
 CALL_FIELDS = (
@@ -53,8 +55,10 @@ def parse_pedigree(lines: DataFrame, form: str = "readme", header: str | None =
 def read_pedigree(
     spark: SparkSession, path, form: str = "readme", header: bool = False
 ) -> DataFrame:
-    first = spark.read.text(path).first()["value"] if header else None
-    return parse_pedigree(read_lines(spark, path), form, first)
+    """Pedigree lines; with ``header`` the first line of every file is left out."""
+    if not header:
+        return parse_pedigree(read_lines(spark, path), form)
+    return read_by_header(spark, path, lambda lines, first: parse_pedigree(lines, form, first))
 
 
 def parse_annotations(lines: DataFrame, header: list[str], profile: Profile) -> DataFrame:
@@ -80,7 +84,8 @@ def parse_annotations(lines: DataFrame, header: list[str], profile: Profile) ->
 
 
 def read_annotations(spark: SparkSession, path, profile: Profile) -> DataFrame:
-    return parse_annotations(read_lines(spark, path), header_of(spark, path), profile)
+    """Annotated sites; files may differ in the order and number of their columns."""
+    return read_by_header(spark, path, lambda lines, first: parse_annotations(lines, first.split("\t"), profile))
 
 
 def parse_calls(lines: DataFrame, iid=None) -> DataFrame:
@@ -154,6 +159,12 @@ def write_null_tables(nulls: DataFrame, path: str) -> None:
     )
 
 
+def write_null_cells(nulls: DataFrame, path: str) -> None:
+    """One-time conversion to a narrow row per gene and score bin (``operators.nulls.cell_table``), which a run may be given
+    as its null table."""
+    cell_table(nulls).write.mode("overwrite").parquet(path)
+
+
 def parse_indel_scores(lines: DataFrame, header: list[str]) -> DataFrame:
     """(chr, start, ref, alt, raw_score, phred) as written, comment lines dropped."""
     names = [h.strip().lower() for h in header]
@@ -178,14 +189,12 @@ def parse_indel_scores(lines: DataFrame, header: list[str]) -> DataFrame:
 
 
 def read_indel_scores(spark: SparkSession, path) -> DataFrame:
-    """Indel scores, plain or gzipped, with or without a leading ``##`` line."""
-    lines = read_lines(spark, path)
-    names = lines.filter("value like '#%' and value not like '##%'").select("value").distinct().limit(2).collect()
-    if not names:
-        raise ValueError("indel scores have no #Chrom header line")
-    if len(names) > 1:
-        raise ValueError("files of indel scores differ in their header line")
-    return parse_indel_scores(lines, names[0]["value"].split("\t"))
+    """Indel scores, plain or gzipped, with or without leading ``##`` lines; only the heads of the files are read for it."""
+
+    def parse(lines: DataFrame, header: str) -> DataFrame:
+        return parse_indel_scores(lines, header.split("\t"))
+
+    return read_by_header(spark, path, parse, lambda line: line.startswith("#") and not line.startswith("##"))
 
 
 def parse_cnv(lines: DataFrame, header: list[str], kind: str, profile: Profile) -> DataFrame:
@@ -218,4 +227,5 @@ def parse_cnv(lines: DataFrame, header: list[str], kind: str, profile: Profile)
 
 
 def read_cnv(spark: SparkSession, path, kind: str, profile: Profile) -> DataFrame:
-    return parse_cnv(read_lines(spark, path), header_of(spark, path), kind, profile)
+    """Copy-number calls; files may differ in the order and number of their annotated columns."""
+    return read_by_header(spark, path, lambda lines, first: parse_cnv(lines, first.split("\t"), kind, profile))

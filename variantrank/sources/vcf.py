@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantrank.functions.variants import (
@@ -16,6 +16,7 @@ from variantrank.functions.variants import (
     trimmed_start,
 )
 from variantrank.operators.joins import lookup_join
+from variantrank.sources.heads import header_lines
 from variantrank.sources.lines import read_lines
 
 # The leading VCF columns.
@@ -52,22 +53,26 @@ def vcf_samples(lines: DataFrame) -> DataFrame:
     )
 
 
-def _sample_fields(parts: str):
+def _sample_fields(parts: str | Column) -> Column:
     count = F.greatest(F.size(parts) - FIRST_SAMPLE, F.lit(0))
     return F.slice(parts, F.lit(FIRST_SAMPLE + 1), count)
 
 
-def unpivot_genotypes(lines: DataFrame) -> DataFrame:
+def sample_names(header: DataFrame) -> DataFrame:
+    """(file, _names): the sample names of each file from its column-name line (value, file)."""
+    return header.filter(F.col("value").startswith("#CHROM")).select("file", _sample_fields(F.split("value", "\t")).alias("_names"))
+
+
+def unpivot_genotypes(lines: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """One row per site and carrier: the sample columns turned into rows.
 
-    Non-carriers are removed inside the array, before it is exploded.
+    Non-carriers are removed inside the array, before it is exploded. ``names`` are the samples of every file
+    (:func:`sample_names`); without them ``lines`` are searched for the column-name lines first.
     """
-    split = lines.withColumn("_all", F.split("value", "\t"))
-    names = split.filter(F.col("value").startswith("#CHROM")).select(
-        "file", _sample_fields("_all").alias("_names")
-    )
-    body = split.filter(~F.col("value").startswith("#")).drop("value")
-    named = lookup_join(body, names, ["file"], "inner", spread=["ord"])
+    if names is None:
+        names = sample_names(lines)
+    body = lines.filter(~F.col("value").startswith("#")).withColumn("_all", F.split("value", "\t")).drop("value")
+    named = lookup_join(body, names, ["file"], "inner")
     genotypes = F.arrays_zip(F.col("_names").alias("iid"), _sample_fields("_all").alias("gt"))
     carriers = F.filter(genotypes, lambda g: has_alternate(g["gt"]))
     return named.select(*_site_columns("_all"), "ord", F.explode(carriers).alias("_g")).select(
@@ -109,17 +114,22 @@ def info_keep_ac(df: DataFrame) -> DataFrame:
     return df.withColumn("info", info_keep(F.col("info"), "AC"))
 
 
-def parse_vcf(lines: DataFrame, first_alt_only: bool = False) -> Vcf:
+def parse_vcf(lines: DataFrame, first_alt_only: bool = False, header: DataFrame | None = None) -> Vcf:
+    """``header`` holds the column-name line (value, file) of every file; without it ``lines`` are searched for them."""
+    header = lines if header is None else header
     return Vcf(
         vcf_to_variant(vcf_sites(lines), first_alt_only),
-        vcf_samples(lines),
-        vcf_to_variant(info_keep_ac(unpivot_genotypes(lines)), first_alt_only),
+        vcf_samples(header),
+        vcf_to_variant(info_keep_ac(unpivot_genotypes(lines, sample_names(header))), first_alt_only),
     )
 
 
 def read_vcf(spark: SparkSession, path, first_alt_only: bool = False) -> Vcf:
     """Variant sites, samples and carrier calls of plain or gzipped VCF text.
 
-    A gzipped file is one task; split large inputs by contig or unpack them.
+    The sample names come from the heads of the files, so that the calls read every file once. A gzipped file is one
+    task; split large inputs by contig or unpack them.
     """
-    return parse_vcf(read_lines(spark, path), first_alt_only)
+    found = header_lines(spark, path, lambda line: line.startswith("#CHROM"))
+    header = spark.createDataFrame([(line, file) for file, line in found.items()], "value string, file string")
+    return parse_vcf(read_lines(spark, path), first_alt_only, header)

@@ -262,6 +262,15 @@ def indels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_copy")
 
 
+def genome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score for every order key, those of urgent orders listed again with a greater one."""
+    k = F.col("o_orderkey")
+    again = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit(0), F.lit(7))).otherwise(F.array(F.lit(0)))
+    rows = table(spark, sf_dir, "orders").select(*variant_of(k), k.alias("k"), F.explode(again).alias("more"))
+    phred = _ratio((11 * F.col("k")) % 600 + F.col("more"), 10)
+    return rows.select("chr", "start", "ref", "alt", (phred / 10).alias("raw_score"), phred.alias("phred"))
+
+
 CNV_SEGMENTS = {"del": ["BUILDING", "FURNITURE"], "dup": ["MACHINERY", "FURNITURE"]}
 
 
@@ -407,6 +416,18 @@ def cnv_lines(spark: SparkSession, sf_dir: str, kind: str, profile: Profile = CA
     return _lines(rows.withColumn("value", value))
 
 
+def vcf_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of the VCF: its version and the column names, one sample per nation."""
+    names = table(spark, sf_dir, "nation").agg(F.sort_array(F.collect_set("n_nationkey")).alias("samples"))
+    listed = names.select(F.array_join(F.transform("samples", lambda n: F.concat(F.lit("N"), n.cast("string"))), "\t").alias("names"))
+    fixed = "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())
+    return listed.select(
+        F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat(F.lit(fixed + "\t"), "names"))).alias("value"),
+        F.lit("cohort").alias("file"),
+        F.lit(-1).cast("long").alias("ord"),
+    )
+
+
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A VCF with one sample per supplier nation.
 
@@ -438,11 +459,32 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("cohort").alias("file"),
         k.alias("ord"),
     )
-    listed = names.select(F.array_join(F.transform("samples", lambda n: F.concat(F.lit("N"), n.cast("string"))), "\t").alias("names"))
-    fixed = "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT".split())
-    header = listed.select(
-        F.explode(F.array(F.lit("##fileformat=VCFv4.2"), F.concat(F.lit(fixed + "\t"), "names"))).alias("value"),
-        F.lit("cohort").alias("file"),
-        F.lit(-1).cast("long").alias("ord"),
+    return vcf_header(spark, sf_dir).unionByName(body)
+
+
+CONTIGS = [f"chr{i}" for i in [*range(1, 23), "X", "Y"]]
+
+
+def write_vcf(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The VCF as text files, one per contig, each with the head."""
+    body = vcf_lines(spark, sf_dir).filter(~F.col("value").startswith("#"))
+    body = body.select("value", "ord", F.substring_index("value", "\t", 1).alias("contig"))
+    head = vcf_header(spark, sf_dir).select("value", "ord", F.explode(F.array(*map(F.lit, CONTIGS))).alias("contig"))
+    lines = head.unionByName(body).repartition("contig").sortWithinPartitions("contig", "ord", "value")
+    lines.select("value", "contig").write.partitionBy("contig").text(path)
+
+
+def nation_pedigree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of the VCF as people: nations, by region."""
+    n = F.col("n_nationkey")
+    nations = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    label = F.when(F.col("r_name") == "AFRICA", "AFR").when(F.col("r_name") == "EUROPE", "EUR").otherwise("OTH")
+    return nations.select(
+        F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("fam_id"),
+        F.concat(F.lit("N"), n.cast("string")).alias("iid"),
+        F.lit("0").alias("pat_id"),
+        F.lit("0").alias("mat_id"),
+        (1 + n % 2).cast("int").alias("sex"),
+        (1 + n % 3 % 2).cast("int").alias("status"),
+        ancestry_from_label(label).alias("eth"),
     )
-    return header.unionByName(body)

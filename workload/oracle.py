@@ -224,6 +224,17 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN coalesce({p},false) THEN i.raw_score ELSE s.raw_score END AS raw_score,
   CASE WHEN coalesce({p},false) THEN i.phred ELSE s.phred END AS phred FROM site s LEFT JOIN {t} i
   ON {p} AND s.chr=i.chr AND s.start=i.start AND s.ref=i.ref AND s.alt=i.alt"""
+    from_vcf = _full("cadd16") | {
+        "ped": """SELECT 'R'||n_regionkey AS fam_id, 'N'||n_nationkey AS iid, '0' AS pat_id, '0' AS mat_id, CAST(1+n_nationkey%2 AS INT) AS sex,
+  CAST(1+n_nationkey%3%2 AS INT) AS status, CASE r_name WHEN 'AFRICA' THEN 'AFR' WHEN 'EUROPE' THEN 'NFE' ELSE 'ALL' END AS eth
+  FROM nation JOIN region ON n_regionkey=r_regionkey""",
+        "call": f"""SELECT iid, chr, start, ref, alt, 'PASS' AS filter, gt, 0 AS l_orderkey, 0 AS l_linenumber, 0 AS l_extendedprice, 0 AS l_shipdate, 0 AS l_suppkey
+  FROM (SELECT iid, {variant}, unnest(CASE WHEN alt='G,C' THEN [1,2] ELSE [1] END) AS allele, gt FROM vcfgt)
+  WHERE list_contains(string_split(replace(split_part(gt,':',1),'|','/'),'/'), CAST(allele AS VARCHAR))""",
+        "cnv": CTES["cnv"] + " WHERE false",
+    }
+    shown = f"fam_id, iid, key, {V}, alt_read, total_read, gene, {DESCRIBED}, {CLAMPED}, geno, dz_model"
+    from_vcf_body = f"SELECT {shown}, prob FROM fsingle WHERE rk=1 UNION ALL SELECT {shown}, pair_p AS prob FROM fpairs WHERE rk<=2"
     return {
         "vcf_sites": sql("SELECT chrom, pos, '.' AS vcf_id, ref, alt, '50' AS qual, 'PASS' AS filter, 'AN=50;'||ac||';DB' AS info FROM vcf"),
         "vcf_samples": "SELECT 'N'||n_nationkey AS iid, CAST(row_number() OVER (ORDER BY n_nationkey)-1 AS INT) AS sample_pos FROM nation",
@@ -281,6 +292,8 @@ def oracle_sql() -> dict[str, str]:
         "null_cells": sql(f"SELECT {CALLED}, eth, {CLAMPED}, prob FROM priced WHERE zyg='het'"),
         "annotate_site_sources": sql("""SELECT chr, start, "end", ref, alt, af, af AS exac, esp, kg, clnsig, CASE WHEN clnsig IS NOT NULL THEN clndn END AS clndn FROM site0"""),
         "annotate_site_scores": sql(f"SELECT {V}, genes AS gene, CASE WHEN phred>=0 THEN phred/CAST(10 AS DOUBLE) END AS raw_score, CASE WHEN phred>=0 THEN phred END AS phred FROM site0"),
+        "annotate_from_genome": sql(f"""SELECT {V}, genes AS gene, x/CAST(10 AS DOUBLE) AS raw_score, x AS phred FROM
+  (SELECT s.*, {_ratio("((11*o_orderkey)%600)", 10)} AS x FROM site0 s LEFT JOIN orders ON o_orderkey=k)"""),
         "split_genes": sql(f"SELECT {A} FROM site"),
         "unpivot_genotypes": sql("SELECT iid, chrom, pos, ref, alt, gt FROM vcfgt"),
         "vcf_calls": sql(f"""SELECT iid, chr, start, "end", ref, alt, info, gt FROM (
@@ -317,6 +330,15 @@ def oracle_sql() -> dict[str, str]:
   GROUP BY key, gene, dz_model HAVING count(DISTINCT o.iid)>=2""",
             _full("cadd16"),
         ),
+        "outputs_of_one_pass": sql(
+            f"""SELECT iid, count(*) FILTER (kind=1) AS n_ranked, count(*) FILTER (kind=2) AS n_dropped FROM (
+  SELECT iid, 1 AS kind FROM fsingle WHERE rk=1 UNION ALL SELECT iid, 1 FROM fpairs WHERE rk<=2 UNION ALL
+  SELECT iid, 2 FROM (SELECT DISTINCT {full_dropped} FROM fwhy WHERE (iid, key) NOT IN (SELECT iid, key FROM fclean))) GROUP BY iid""",
+            _full("cadd13_v14"),
+        ),
+        "incremental_report": _full_ranked("cadd16"),
+        "rank_from_vcf": sql(from_vcf_body, from_vcf),
+        "join_stored_calls": sql(f"SELECT {CALLED}, gt, filter, phred FROM raw"),
         "repeated_nulls": sql("SELECT 'het' AS model, eth, gene, 2 AS count FROM nullgene CROSS JOIN (SELECT DISTINCT eth FROM weight)"),
         "rejects": sql("""SELECT iid, 'sex' AS reason FROM ped WHERE sex=0 UNION ALL SELECT DISTINCT iid, 'missing' FROM call WHERE iid NOT IN (SELECT iid FROM ped)
   UNION ALL SELECT iid, 'not_in_vcf' FROM ped WHERE sex<>0 AND iid NOT IN (SELECT 'S'||o_custkey FROM orders WHERE o_orderpriority='1-URGENT')"""),

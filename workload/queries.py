@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +14,17 @@ from variantrank.functions.genotypes import disease_model, genotype_class, table
 from variantrank.functions.scores import score_bin, score_norm
 from variantrank.functions.variants import VARIANT, has_alternate, variant_key
 from variantrank.operators import calls as call_ops
-from variantrank.operators import cleaning, cnv, indels, models, report
+from variantrank.operators import cleaning, cnv, indels, models
 from variantrank.operators.genes import first_site, flag_genes, split_fusion_genes
 from variantrank.operators.nulls import null_lookup, repeated_null_rows
 from variantrank.operators.sites import annotate_scores, annotate_sites
-from variantrank.plans.pipeline import Options, Run
+from variantrank.plans.pipeline import KeptRun, Options, Run
+from variantrank.plans.pipeline import rank_variants as rank_variants_of
 from variantrank.profiles import CADD13_V13, CADD13_V14, CADD16, PROFILES
+from variantrank.sinks.ledger import Ledger, of_people, run_pending
 from variantrank.sinks.reports import pending_people, ranked_report
-from variantrank.sources import contracts, tables, vcf
+from variantrank.sinks.stages import new_folder
+from variantrank.sources import contracts, genome, ingest, tables, vcf
 from workload import cohort as c
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -409,8 +414,11 @@ def rescore_indels_v13(spark, d):
 
 @query
 def null_cells(spark, d):
+    """By the narrow table of a row per gene and score bin."""
+    path = new_folder(spark, "null-cells")
+    tables.write_null_cells(c.nulls(spark, d), path)
     rows = models.with_zygosity(_rankable(spark, d)).filter("zyg = 'het'")
-    return null_lookup(rows, c.nulls(spark, d), "het").select(*CALLED, "eth", "phred", "prob")
+    return null_lookup(rows, spark.read.parquet(path), "het").select(*CALLED, "eth", "phred", "prob")
 
 
 @query
@@ -430,6 +438,14 @@ def annotate_site_scores(spark, d):
     return annotate_scores(sites.select(*VARIANT, "gene"), scores)
 
 
+@query
+def annotate_from_genome(spark, d):
+    """Sites scored from a laid-out table of far more positions, several of them listed twice."""
+    path = new_folder(spark, "genome-scores")
+    genome.write_source(c.genome_scores(spark, d), path)
+    return annotate_scores(c.sites(spark, d).select(*VARIANT, "gene"), genome.read_source(spark, path))
+
+
 @query
 def split_genes(spark, d):
     return split_fusion_genes(c.sites(spark, d)).select(ANNOTATED)
@@ -437,12 +453,13 @@ def split_genes(spark, d):
 
 @query
 def unpivot_genotypes(spark, d):
-    return vcf.unpivot_genotypes(c.vcf_lines(spark, d)).select("iid", "chrom", "pos", "ref", "alt", "gt")
+    names = vcf.sample_names(c.vcf_header(spark, d))
+    return vcf.unpivot_genotypes(c.vcf_lines(spark, d), names).select("iid", "chrom", "pos", "ref", "alt", "gt")
 
 
 @query
 def vcf_calls(spark, d):
-    return vcf.parse_vcf(c.vcf_lines(spark, d)).calls.select(
+    return vcf.parse_vcf(c.vcf_lines(spark, d), header=c.vcf_header(spark, d)).calls.select(
         "iid", "chr", "start", "end", "ref", "alt", "info", "gt"
     )
 
@@ -463,8 +480,7 @@ def distinct_indels(spark, d):
 
 @query
 def stage_audit(spark, d):
-    run = _run(spark, d)
-    return report.stage_audit(run.raw(), run.ranked())
+    return KeptRun(c.cohort(spark, d), CADD16, Options(), new_folder(spark, "run")).audit()
 
 
 @query
@@ -551,9 +567,53 @@ def dropped_variants_full(spark, d):
 @query
 def candidate_report(spark, d):
     """Copy-number calls included; unaffected people of unknown sex count by their raw calls."""
-    run, calls = _run(spark, d, indels=True, cnv=True), c.calls(spark, d)
-    apart = calls.join(run.rejects().select("iid").distinct(), "iid", "left_semi")
-    return report.candidate_report(run.ranked(), run.observed(), c.pedigree(spark, d), rejected_calls=apart)
+    cohort = c.cohort(spark, d, with_indels=True, with_cnv=True)
+    return KeptRun(cohort, CADD16, Options(), new_folder(spark, "run")).shared_candidates()
+
+
+@query
+def outputs_of_one_pass(spark, d):
+    """How many ranked and dropped rows everyone has, both read from one kept join."""
+    cohort = c.cohort(spark, d, with_indels=True, with_cnv=True)
+    result = rank_variants_of(cohort, CADD13_V14, Options(), new_folder(spark, "run"))
+    kinds = [rows.select("iid", F.lit(kind).alias("kind")) for kind, rows in (("ranked", result.ranked), ("dropped", result.dropped))]
+    counts = kinds[0].unionByName(kinds[1]).groupBy("iid").agg(
+        F.count_if(F.col("kind") == "ranked").alias("n_ranked"), F.count_if(F.col("kind") == "dropped").alias("n_dropped")
+    )
+    return counts
+
+
+@query
+def incremental_report(spark, d):
+    """Ranked rows after three runs: of the affected, one that was broken off before its entry, and of everybody left."""
+    cohort = c.cohort(spark, d, with_indels=True, with_cnv=True)
+    own = Ledger(spark, new_folder(spark, "reports"))
+    run_pending(of_people(cohort, cohort.pedigree.filter("status = 2")), own)
+    own.write("broken-off", "ranked", own.read("ranked"))
+    run_pending(cohort, own)
+    return own.read("ranked")
+
+
+@query
+def rank_from_vcf(spark, d):
+    """From a VCF of nations, one file per contig, to ranked rows."""
+    path = new_folder(spark, "vcf")
+    c.write_vcf(spark, d, path)
+    read = vcf.read_vcf(spark, path)
+    tables_of = c.cohort(spark, d, with_indels=True)
+    cohort = replace(tables_of, calls=read.calls, pedigree=c.nation_pedigree(spark, d), samples=read.samples)
+    return Run(cohort, CADD16).ranked()
+
+
+@query
+def join_stored_calls(spark, d):
+    """Calls and sites stored by variant, then joined without a shuffle of either."""
+    name = f"t{uuid.uuid4().hex}"
+    calls = ingest.store(c.calls(spark, d), f"{name}_calls", new_folder(spark, "calls"), 8)
+    sites = ingest.store(_split_sites(spark, d), f"{name}_sites", new_folder(spark, "sites"), 8)
+    people = call_ops.usable_people(c.pedigree(spark, d))
+    rows = call_ops.attach_annotations(call_ops.join_pedigree(calls, people), sites, small_bytes=1 << 40)
+    return rows.withColumn("key", variant_key()).select(*CALLED, "gt", "filter", "phred")
 
 
 @query
