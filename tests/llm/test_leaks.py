@@ -1,6 +1,13 @@
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pyarrow as pa
 from conftest import *  # noqa: F403
 
 from variantrank.llm import templates
+from variantrank.llm.oracle import leaks_sql
 
 ITEM = "A train leaves the station with Alice at 40 km per hour and meets Bob after 3 hours, how far is 40 km then"
 CHANGED = "A train leaves the station with Maria at 55 km per hour and meets Peter after 7 hours, how far is 55 km then"
@@ -77,3 +84,54 @@ def test_runs_of_the_same_words(spark, monkeypatch):
     assert all(got[i, 1].first_word <= 20 + i < got[i, 1].first_word + 7 for i in range(1, 8))
     monkeypatch.setattr(templates, "MOST_BROADCAST", -1)
     assert found(docs, items) == got
+
+
+def mixed(seed, n):
+    """Words, names, figures with units and marks, dense with what becomes a placeholder."""
+    pick = random.Random(seed)
+    kinds = [
+        lambda: pick.choice("red apples market toward seven remain the of bill whole train far ς Σ+Α don't".split()), lambda: pick.choice(["Alice", "Bob", "Maria", "McDonald", "UK", "Bob's"]),
+        lambda: f"{pick.randint(1, 30)} {pick.choice(['km', 'kg', 'ml'])}", lambda: f"{pick.randint(1, 99)}km", lambda: pick.choice(["3.5", "1/2", "12:30", "-", "(", "—"]),
+    ]
+    return " ".join(pick.choice(kinds)() + pick.choice(["", "", "", ".", ",", "?"]) for _ in range(n))
+
+
+def other_slots(seed, text):
+    pick = random.Random(seed)
+    names = dict(zip(["Alice", "Bob", "Maria"], pick.sample(["Peter", "Quinn", "Rosa"], 3), strict=True))
+    for old, new in names.items():
+        text = text.replace(old, new)
+    return re.sub(r"\b\d+\b", lambda m: str(int(m[0]) + 100), text) if pick.random() < 0.5 else text
+
+
+def test_equals_sql(spark, monkeypatch):
+    """The three searches against the twin query, on texts full of placeholders: whole and partial copies, other slots, repeated
+    and null ids, items with the same id or the same words."""
+    pick = random.Random(9)
+    items = [(i, mixed(i, pick.randint(2, 30))) for i in range(40)]
+    items += [(7, mixed(300, 20)), (100, items[3][1]), (101, items[4][1].upper()), (None, mixed(301, 15)), (102, None), (103, "")]
+    rows = []
+    for i in range(120):
+        words = items[pick.randrange(41)][1].split()
+        lo = pick.choice([0, 0, pick.randrange(len(words))])
+        part = " ".join(words[lo : lo + pick.choice([13, 40, len(words)])])
+        part = other_slots(i, part) if i % 3 == 0 else part
+        rows.append((pick.choice([i, i, i, 5, None]), f"{mixed(1000 + i, 12)} {part}\n{mixed(2000 + i, 9)}"))
+    rows += [(500, None), (501, ""), (502, " ".join(items[0][1].split()[::-1]))]
+    docs = spark.createDataFrame([(*r, "x", "x") for r in rows], "doc_id long, text string, item string, shift string")
+    marks = spark.createDataFrame([(*r, *"xxxx") for r in items], "item_id long, text string, n string, hash string, item string, at string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())}))
+    con.register("benchmark", pa.table({"item_id": pa.array([r[0] for r in items], pa.int64()), "text": pa.array([r[1] for r in items], pa.string())}))
+    result = con.execute(leaks_sql())
+    names = [d[0] for d in result.description]
+    want = Counter(map(str, result.fetchall()))
+    assert len(want) > 40
+    for most in (1_000_000, -1):
+        monkeypatch.setattr(templates, "MOST_BROADCAST", most)
+        assert Counter(str(tuple(r)) for r in templates.leaks(docs, marks).select(names).collect()) == want
+    # Without any anchor all windows are looked up as a whole.
+    monkeypatch.setattr(templates, "SHAPES", ((0, 5, 7),))
+    kinds = [n for n in names if n != "first_word"]
+    got = {tuple(r) for r in templates.leaks(docs, marks).select(kinds).collect() if r["n_windows"]}
+    assert got == {tuple(r[names.index(k)] for k in kinds) for r in con.execute(leaks_sql()).fetchall() if r[names.index("n_windows")]}

@@ -67,40 +67,64 @@ def _words(text: str) -> str:
     return f"list_filter(regexp_split_to_array({text}, '{SPACES}'), lambda x: x <> '')"
 
 
-def leaks_sql() -> str:
-    """templates.leaks over documents and benchmark. Two passes stand for the look-behind that RE2 has not."""
+def _template(text: str, every: bool) -> str:
+    """templates.canonical without its marks removed. Two passes stand for the look-behind that RE2 has not."""
     name, number, unit = templates.NAME, templates.NUMBER, templates.UNIT
-    text = "coalesce(text, '')"
-    for before in (r"[\p{Ll},;]", rf"[\p{{Ll}},;{name}]"):
-        text = rf"regexp_replace({text}, '({before} )\p{{Lu}}\p{{Ll}}+', '\1{name}', 'g')"
+    if every:
+        text = rf"regexp_replace({text}, '(^|[^\p{{L}}])\p{{Lu}}\p{{Ll}}+', '\1{name}', 'g')"
+    else:
+        for before in (r"[\p{Ll},;]", rf"[\p{{Ll}},;{name}]"):
+            text = rf"regexp_replace({text}, '({before} )\p{{Lu}}\p{{Ll}}+', '\1{name}', 'g')"
     text = rf"regexp_replace(lower({text}), '\p{{N}}+([.,:/]\p{{N}}+)*', '{number}', 'g')"
     for _ in range(2):
         text = rf"regexp_replace({text}, '({number} ?)({templates.UNITS})([^\p{{L}}]|$)', '\1{unit}\3', 'g')"
+    return text
+
+
+def leaks_sql() -> str:
+    """templates.leaks over documents and benchmark: both kinds of templates, then runs of the same words."""
+    text = "coalesce(text, '')"
     bare = lambda x: rf"regexp_replace({x}, '[\p{{P}}\p{{S}}]+', '', 'g')"
-    said, template = _words(bare("coalesce(text, '')")), _words(bare(text))
-    slot = f"('{name}', '{number}', '{unit}')"
+    slot = f"('{templates.NAME}', '{templates.NUMBER}', '{templates.UNIT}')"
     plain = lambda x: rf"regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}%€£°]+', '', 'g')"
     side = lambda x: f"len(list_distinct(list_transform(slots, lambda s: s.{x})))"
-    return f"""WITH docs AS MATERIALIZED (SELECT doc_id, {said} AS said, {template} AS tem FROM documents),
-items AS (SELECT min(item_id) AS item_id, said, tem, least(len(tem), {templates.WINDOW}) AS n FROM
-  (SELECT item_id, {said} AS said, {template} AS tem FROM benchmark) WHERE len(said) >= {templates.MIN_WORDS} GROUP BY said, tem),
-cut AS (SELECT item_id, n, s AS item_at, said[s+1:s+n] AS item_said, tem[s+1:s+n] AS win FROM
-  (SELECT *, unnest(range(0, len(tem) - n + 1)) AS s FROM items)),
-known AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM cut
+    words = ", ".join(
+        [f"{_words(bare(text))} AS said", f"{_words(bare(f'lower({text})'))} AS plain"]
+        + [f"{_words(bare(_template(text, every)))} AS {kind}" for kind, every in templates.KINDS.items()]
+    )
+    run = f"least(len(plain), {templates.RUN})"
+    parts = [f"d AS MATERIALIZED (SELECT doc_id, {words} FROM documents)", f"b AS MATERIALIZED (SELECT item_id, {words} FROM benchmark)"]
+    for k in templates.KINDS:
+        parts.append(f"""items_{k} AS (SELECT min(item_id) AS item_id, said, {k} AS tem, least(len({k}), {templates.WINDOW}) AS n FROM b
+  WHERE len(said) >= {templates.MIN_WORDS} GROUP BY said, {k}),
+cut_{k} AS (SELECT item_id, n, s AS item_at, said[s+1:s+n] AS item_said, tem[s+1:s+n] AS win FROM
+  (SELECT *, unnest(range(0, len(tem) - n + 1)) AS s FROM items_{k})),
+known_{k} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY item_id) AS item_windows FROM cut_{k}
   WHERE len(list_filter(win, lambda w: w NOT IN {slot} AND w <> '')) >= {templates.MIN_LITERALS}),
-wins AS (SELECT doc_id, s AS pos, n, said[s+1:s+n] AS doc_said, tem[s+1:s+n] AS win FROM
-  (SELECT *, unnest(range(0, len(tem) - n + 1)) AS s FROM docs, (SELECT DISTINCT n FROM known) WHERE len(tem) >= n)),
-met AS (SELECT doc_id, item_id, item_windows, pos, item_at, pos - item_at AS shift,
+wins_{k} AS (SELECT doc_id, s AS pos, n, said[s+1:s+n] AS doc_said, {k}[s+1:s+n] AS win FROM
+  (SELECT *, unnest(range(0, len({k}) - n + 1)) AS s FROM d, (SELECT DISTINCT n FROM known_{k}) WHERE len({k}) >= n)),
+met_{k} AS (SELECT doc_id, item_id, item_windows, pos, item_at, pos - item_at AS shift,
   list_transform(list_filter(range(1, w.n + 1), lambda k: w.win[k] IN {slot}),
     lambda k: {{'asked': {plain('item_said[k]')}, 'found': {plain('doc_said[k]')}}}) AS slots
-  FROM wins w JOIN known k ON w.n = k.n AND w.win = k.win),
-lines AS (SELECT doc_id, item_id, item_windows, shift, list(DISTINCT item_at) AS starts, min(pos) AS pos,
-  list_distinct(flatten(list(slots))) AS slots FROM met GROUP BY ALL),
-good AS (SELECT *, {side('asked')} AS asked, len(list_filter(slots, lambda s: s.asked <> s.found)) AS changed FROM lines
-  WHERE len(slots) = {side('asked')} AND len(slots) = {side('found')})
-SELECT doc_id, item_id, len(list_distinct(flatten(list(starts)))) AS n_windows, item_windows, max(asked) AS n_slots,
-  max(changed) AS changed_slots, min(pos) AS first_word FROM good GROUP BY doc_id, item_id, item_windows
-HAVING len(list_distinct(flatten(list(starts)))) >= {templates.LEAK_FROM} * item_windows"""
+  FROM wins_{k} w JOIN known_{k} k ON w.n = k.n AND w.win = k.win),
+lines_{k} AS (SELECT doc_id, item_id, item_windows, shift, list(DISTINCT item_at) AS starts, min(pos) AS pos,
+  list_distinct(flatten(list(slots))) AS slots FROM met_{k} GROUP BY ALL),
+good_{k} AS (SELECT *, {side('asked')} AS asked, len(list_filter(slots, lambda s: s.asked <> s.found)) AS changed FROM lines_{k}
+  WHERE len(slots) = {side('asked')} AND len(slots) = {side('found')}),
+held_{k} AS MATERIALIZED (SELECT doc_id, item_id, len(list_distinct(flatten(list(starts)))) AS n_windows, item_windows, max(asked) AS n_slots,
+  max(changed) AS changed_slots, min(pos) AS first_word FROM good_{k} GROUP BY doc_id, item_id, item_windows
+  HAVING len(list_distinct(flatten(list(starts)))) >= {templates.LEAK_FROM} * item_windows)""")
+    return f"""WITH {(','+chr(10)).join(parts)},
+items_run AS (SELECT min(item_id) AS item_id, plain, {run} AS n FROM b WHERE len(plain) >= {templates.MIN_RUN} GROUP BY plain),
+cut_run AS (SELECT item_id, len(plain) AS size, n, plain[s+1:s+n] AS win FROM (SELECT *, unnest(range(0, len(plain) - n + 1)) AS s FROM items_run)),
+wins_run AS (SELECT doc_id, s AS pos, n, plain[s+1:s+n] AS win FROM
+  (SELECT *, unnest(range(0, len(plain) - n + 1)) AS s FROM d, (SELECT DISTINCT n FROM cut_run) WHERE len(plain) >= n)),
+held_run AS (SELECT doc_id, item_id, 0 AS n_windows, greatest(size - {templates.WINDOW} + 1, 1) AS item_windows, 0 AS n_slots, 0 AS changed_slots,
+  min(pos) AS first_word FROM wins_run w JOIN cut_run k ON w.n = k.n AND w.win = k.win GROUP BY doc_id, item_id, size),
+first AS MATERIALIZED (SELECT * FROM held_named UNION ALL SELECT h.* FROM held_capital h WHERE NOT EXISTS (SELECT 1 FROM held_named n
+  WHERE n.doc_id IS NOT DISTINCT FROM h.doc_id AND n.item_id IS NOT DISTINCT FROM h.item_id))
+SELECT * FROM first UNION ALL SELECT h.* FROM held_run h WHERE NOT EXISTS (SELECT 1 FROM first f
+  WHERE f.doc_id IS NOT DISTINCT FROM h.doc_id AND f.item_id IS NOT DISTINCT FROM h.item_id)"""
 
 
 def links_sql() -> str:

@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so a question whose figures or names were exchanged keeps its
-template. Windows of template words are hash-joined with those of the benchmark, equal hashes are confirmed on the words,
-and the values in the slots must map one to one from the item to the document along the same alignment.
+template. Windows of template words are hash-joined with those of the benchmark, by the hash of some literal words that
+the window holds, and confirmed on all words; the values in the slots must map one to one from the item to the document
+along the same alignment.
 
 Defined results: null or empty texts hold no window; documents are told apart by id, so rows with the same id count as
 one document; benchmark items with the same words are one item under their smallest id; items under MIN_WORDS words are
@@ -23,6 +24,10 @@ UNITS = "km|cm|mm|m|kg|mg|g|lb|oz|mi|ft|ms|s|min|h|ml|l|usd|eur|gbp|percent|kwh|
 WINDOW, MIN_WORDS, MIN_LITERALS, LEAK_FROM = 8, 5, 3, 0.5
 #: Consecutive words that prove a leak as they stand, or the whole item if shorter, which must have MIN_RUN words.
 RUN, MIN_RUN = 13, 3
+#: The two kinds of templates, and whether every capitalised word is a name in them.
+KINDS = {"named": False, "capital": True}
+#: Places, from the first on, of the words of an anchor, by preference.
+SHAPES = ((0, 1, 2, 3), (0, 1, 2), (0, 1), (0, 2), (0, 3))
 #: Windows of the benchmark that are broadcast at most: 1 million rows of a hash, a key and two short word lists.
 MOST_BROADCAST = 1_000_000
 
@@ -39,11 +44,23 @@ def canonical(text: Column, every: bool = False) -> Column:
     return F.regexp_replace(measured, MARKS, "")
 
 
-def _split(df: DataFrame, key: str, text_col: str, out: str, every: bool) -> DataFrame:
-    """(out, said, template): the key, the words without punctuation and their template words, place by place."""
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, GAP), "")
+
+
+def _split(df: DataFrame, key: str, text_col: str, out: str, *more: Column) -> DataFrame:
+    """The key, the words without punctuation (said), in lower case (plain), and their template words by both kinds of
+    names, all place by place."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    words = lambda x: F.array_remove(F.split(x, GAP), "")
-    return df.select(F.col(key).alias(out), words(F.regexp_replace(text, MARKS, "")).alias("said"), words(canonical(text, every)).alias("template"))
+    return df.select(
+        F.col(key).alias(out), _words(F.regexp_replace(text, MARKS, "")).alias("said"), plain_words(text).alias("plain"),
+        *[_words(canonical(text, every)).alias(kind) for kind, every in KINDS.items()], *more,
+    )
+
+
+def plain_words(text: Column) -> Column:
+    """Lower-case words without punctuation; a template word without placeholder is the plain word of its place."""
+    return _words(F.regexp_replace(F.lower(text), MARKS, ""))
 
 
 def _windows(template: Column, size: int) -> Column:
@@ -65,27 +82,53 @@ def _all_windows(template: Column, sizes: list[int]) -> Column:
     return F.concat(*[of(size) for size in sorted(sizes) or [WINDOW]])
 
 
-def benchmark_windows(benchmark: DataFrame, key: str = "item_id", text_col: str = "text", every: bool = False) -> DataFrame:
-    """Windows of the benchmark: hash, item, item_at, item_said, item_template, item_windows."""
-    items = (
-        _split(benchmark, key, text_col, "item", every)
-        .where(F.size("said") >= MIN_WORDS)
-        .groupBy("said", "template")
-        .agg(F.min("item").alias("item"))
-        .withColumn("size", F.least(F.size("template"), F.lit(WINDOW)))
-    )
-    starts = items.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("template") - F.col("size"))))
-    cut = starts.select(
-        "item",
-        "item_at",
-        "size",
-        F.slice("said", F.col("item_at") + 1, F.col("size")).alias("item_said"),
-        F.slice("template", F.col("item_at") + 1, F.col("size")).alias("item_template"),
-    )
+def _cut(items: DataFrame, size: Column, **columns: str) -> DataFrame:
+    """(item, form, words, item_at, size, ...) of all windows of `size` words of the items, with slices of the named columns.
+
+    form tells texts with the same item id apart, words is their number of words."""
+    starts = items.withColumn("size", size).withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("plain") - F.col("size"))))
+    parts = [F.slice(c, F.col("item_at") + 1, F.col("size")).alias(n) for n, c in columns.items()]
+    return starts.select("item", F.xxhash64(*columns.values()).alias("form"), F.size("plain").alias("words"), "item_at", "size", *parts)
+
+
+def benchmark_windows(items: DataFrame, kind: str) -> DataFrame:
+    """Windows of the items (as _split gives them) by one kind of template: item, form, item_at, size, item_said,
+    item_template, item_plain, item_windows."""
+    once = items.where(F.size("said") >= MIN_WORDS).groupBy("said", kind).agg(F.min("item").alias("item"), F.first("plain").alias("plain"))
+    cut = _cut(once, F.least(F.size(kind), F.lit(WINDOW)), item_said="said", item_template=kind, item_plain="plain")
     literal = F.filter("item_template", lambda w: ~w.isin(NAME, NUMBER, UNIT, ""))
-    hashes = _hash_of("item_template")
     kept = cut.where(F.size(literal) >= MIN_LITERALS)
-    return kept.withColumn("hash", hashes).withColumn("item_windows", F.count("*").over(Window.partitionBy("item")))
+    return kept.withColumn("item_windows", F.count("*").over(Window.partitionBy("item"))).drop("words")
+
+
+def benchmark_runs(items: DataFrame) -> DataFrame:
+    """Runs of RUN words of the items, or all words of a shorter one: item, form, words (of the item), item_at, size, item_plain."""
+    once = items.where(F.size("plain") >= MIN_RUN).groupBy("plain").agg(F.min("item").alias("item"))
+    return _cut(once, F.least(F.size("plain"), F.lit(RUN)), item_plain="plain")
+
+
+def anchors(windows: DataFrame) -> DataFrame:
+    """(kind, item, form, item_at, p, shape, key): some words of every window of (kind, item, form, item_at, size, template, plain).
+
+    Only words without placeholder count, which a document that holds the window must have in the same places. Of a
+    window's choices that of the first shape is taken, then the rarest of the benchmark, then the longest.
+    """
+    word = lambda i: F.get("plain", F.lit(i))
+
+    def choice(shape: int, i: int) -> Column:
+        places = [i + x for x in SHAPES[shape]]
+        fits = F.col("size") > places[-1]
+        for x in places:
+            fits &= F.get("template", F.lit(x)) == word(x)
+        letters = sum((F.length(word(x)) for x in places[1:]), F.length(word(i)))
+        key = F.xxhash64(F.lit(shape), *map(word, places))
+        return F.when(fits, F.struct(F.lit(shape).alias("shape"), (F.col("item_at") + i).alias("p"), key.alias("key"), letters.alias("letters")))
+
+    choices = F.array_compact(F.array(*[choice(s, i) for s, x in enumerate(SHAPES) for i in range(RUN - x[-1])]))
+    each = write_stage(windows.select("kind", "item", "form", "item_at", F.inline(choices)), "benchmark-choices")
+    often = each.select("item", "form", "p", "key").distinct().groupBy("key").agg(F.count("*").alias("often"))
+    best = F.min_by(F.struct("p", "shape", "key"), F.struct("shape", "often", -F.col("letters"), "p")).alias("best")
+    return each.join(often, "key").groupBy("kind", "item", "form", "item_at").agg(best).select("kind", "item", "form", "item_at", "best.*")
 
 
 def _hash_of(template: str) -> Column:
@@ -99,107 +142,129 @@ def _hash_of(template: str) -> Column:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Pairs of a document and an item of which it holds at least LEAK_FROM of the windows, with consistent slots.
 
-    (id_col, item_col, n_windows, item_windows, n_slots, changed_slots, first_word). Windows of documents are matched
-    where they are made: nothing of a document is shuffled but its matches, counted per alignment before the shuffle. A
-    benchmark beyond MOST_BROADCAST windows is joined by a shuffle of the windows instead.
+    (id_col, item_col, n_windows, item_windows, n_slots, changed_slots, first_word). Both are compared twice: with names as told
+    by what precedes them, and with every capitalised word as a name, so that names at the beginning of sentences may
+    differ too. A pair is reported as the first comparison finds it, else the second. Pairs known only from a run of the same
+    words follow, with no windows and no slots.
 
-    Both are compared twice: with names as told by what precedes them, and with every capitalised word as a name, so that
-    names at the beginning of sentences may differ too. A pair is reported as the first comparison finds it, else the second.
-    Pairs known only from a run of the same words (_runs) follow, with no windows and no slots.
+    One pass over the documents looks up a few words that every window of the benchmark was chosen some of (anchors). Where
+    these stand, the item's windows can stand only along one alignment; templates are made of such documents alone, and
+    of them the words along the alignment are compared with all windows of the item.
     """
-    first = write_stage(_held(docs, benchmark, id_col, text_col, item_col, item_text_col, False), "leaks")
+    items = write_stage(_split(benchmark, item_col, item_text_col, "item"), "benchmark-items")
+    known = {kind: write_stage(benchmark_windows(items, kind), f"benchmark-{kind}") for kind in KINDS}
+    runs = write_stage(benchmark_runs(items), "benchmark-runs")
+    beside = write_stage(_overlaps(docs, _alignments(docs, items, known, runs, id_col, text_col), items, id_col, text_col), "overlaps")
     same = F.col("doc").eqNullSafe(F.col("_doc")) & F.col("item").eqNullSafe(F.col("_item"))
 
-    def others(more: DataFrame, known: DataFrame) -> DataFrame:
-        return more.join(known.select(F.col("doc").alias("_doc"), F.col("item").alias("_item")), same, "left_anti")
+    def others(more: DataFrame, before: DataFrame) -> DataFrame:
+        return more.join(before.select(F.col("doc").alias("_doc"), F.col("item").alias("_item")), same, "left_anti")
 
-    second = write_stage(others(_held(docs, benchmark, id_col, text_col, item_col, item_text_col, True), first), "leaks")
-    templated = first.union(second)
-    return templated.union(others(_runs(docs, benchmark, id_col, text_col, item_col, item_text_col), templated)).withColumnsRenamed({"doc": id_col, "item": item_col})
+    found = None
+    for kind in KINDS:
+        held = _held(beside, known[kind], kind)
+        found = write_stage(held if found is None else found.union(others(held, found)), "leaks")
+    return found.union(others(_runs(beside, runs), found)).withColumnsRenamed({"doc": id_col, "item": item_col})
 
 
-def _runs(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
-    """Pairs of a document and an item that share RUN consecutive words, or all words of a shorter item, in any case.
+def _alignments(docs: DataFrame, items: DataFrame, known: dict[str, DataFrame], runs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, item, shift): where an item's word 0 would stand in the document if the anchor found there belongs to it.
 
-    A run of r words holds r - k + 1 windows of k words, one of which starts at a multiple of that number: only those
-    windows of a document meet all windows of the items, and what matches is extended to both sides.
+    Nothing of a document is shuffled but these, counted where they are made. Anchors beyond MOST_BROADCAST rows meet the
+    documents' words by a shuffle instead. Windows without two plain words near each other are looked up as a whole.
     """
-    spelt = lambda c: F.array_remove(F.split(F.lower(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), MARKS, "")), GAP), "")
-
-    def parts(k: Column, more: Column) -> list[Column]:
-        """The window of k words from at, and up to more words before it (backwards) and after it."""
-        near = F.least("at", more)
-        return [
-            F.slice("words", F.col("at") + 1, k).alias("window"),
-            F.reverse(F.slice("words", F.col("at") - near + 1, near)).alias("before"),
-            F.slice("words", F.col("at") + k + 1, more).alias("after"),
-        ]
-
-    items = benchmark.select(F.col(item_col).alias("item"), spelt(item_text_col).alias("words")).where(F.size("words") >= MIN_RUN)
-    items = items.groupBy("words").agg(F.min("item").alias("item")).withColumn("run", F.least(F.size("words"), F.lit(RUN)))
-    items = items.withColumn("k", F.least("run", F.lit(WINDOW))).withColumn("step", F.col("run") - F.col("k") + 1)
-    cut = items.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("k"))))
-    cut = cut.select("item", F.size("words").alias("size"), "run", "k", "step", *parts(F.col("k"), F.col("step") - 1))
-    known = write_stage(cut.withColumn("hash", F.xxhash64("window", "step")), "benchmark-runs")
-    forms = [(r["k"], r["step"]) for r in known.select("k", "step").distinct().orderBy("k", "step").collect()] or [(WINDOW, 1)]
-
-    def of(k: int, step: int) -> Column:
-        starts = F.when(F.size("words") >= k, F.sequence(F.lit(0), F.size("words") - k, F.lit(step))).otherwise(F.array().cast("array<int>"))
-        window = lambda i: F.xxhash64(F.slice("words", i + 1, F.lit(k)), F.lit(step))
-        return F.transform(starts, lambda i: F.struct(window(i).alias("hash"), i.alias("at"), F.lit(k).alias("k"), F.lit(step).alias("step")))
-
-    windows = docs.select(F.col(id_col).alias("doc"), spelt(text_col).alias("words"))
-    windows = windows.select("doc", "words", F.explode(F.concat(*[of(*form) for form in forms])).alias("w")).select("doc", "words", "w.*")
-    own = [x.alias(f"own_{c}") for x, c in zip(parts(F.col("k"), F.col("step") - 1), ("window", "before", "after"), strict=True)]
-    asked = known.drop("k", "step")
-    if known.count() <= MOST_BROADCAST:
-        hit = F.broadcast(asked.withColumnsRenamed({c: f"item_{c}" for c in ("window", "before", "after")}))
-        met = windows.join(hit, "hash").select("doc", "item", "size", "run", "k", "at", "item_window", "item_before", "item_after", *own)
-    else:
-        narrow = windows.select("doc", "hash", "k", "at", *own)
-        met = narrow.join(asked.withColumnsRenamed({c: f"item_{c}" for c in ("window", "before", "after")}), "hash")
-
-    def shared(a: str, b: str) -> Column:
-        """How many words both begin with."""
-        upto = F.least(F.size(a), F.size(b))
-        each = F.when(upto > 0, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>"))
-        return F.size(F.filter(each, lambda i: F.slice(a, 1, i) == F.slice(b, 1, i)))
-
-    met = met.where("own_window = item_window").withColumn("back", shared("own_before", "item_before"))
-    whole = met.where(F.col("back") + F.col("k") + shared("own_after", "item_after") >= F.col("run"))
+    parts = [w.select(F.lit(kind).alias("kind"), "item", "form", "item_at", "size", F.col("item_template").alias("template"), F.col("item_plain").alias("plain")) for kind, w in known.items()]
+    parts.append(runs.select(F.lit("run").alias("kind"), "item", "form", "item_at", "size", F.col("item_plain").alias("template"), F.col("item_plain").alias("plain")))
+    windows = parts[0].union(parts[1]).union(parts[2])
+    chosen = write_stage(anchors(windows), "anchors")
+    known_keys = write_stage(chosen.select("item", "p", "shape", "key").distinct(), "anchor-keys")
+    shapes = sorted(r["shape"] for r in known_keys.select("shape").distinct().collect()) or [0]
+    words = docs.select(F.col(id_col).alias("doc"), plain_words(F.coalesce(F.col(text_col), F.lit(""))).alias("plain"))
+    placed = words.select("doc", "plain", F.posexplode("plain").alias("i", "word"))
+    after = lambda x: F.get("plain", F.col("i") + x)
+    keys = [F.xxhash64(F.lit(shape), F.col("word"), *map(after, SHAPES[shape][1:])) for shape in shapes]
+    keyed = placed.select("doc", "i", (F.explode(F.array(*keys)) if len(keys) > 1 else keys[0]).alias("key"))
+    wanted = known_keys.select("item", "p", "key")
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+    shift = (F.col("i") - F.col("p")).alias("shift")
+    met = keyed.join(wanted, "key").select("doc", "item", shift)
+    for kind, w in known.items():
+        without = chosen.where(F.col("kind") == kind).select(F.col("item").alias("_item"), F.col("form").alias("_form"), F.col("item_at").alias("_at"))
+        same = F.col("item").eqNullSafe(F.col("_item")) & (F.col("form") == F.col("_form")) & (F.col("item_at") == F.col("_at"))
+        loose = w.join(without, same, "left_anti")
+        loose = write_stage(loose.select("item", "item_at", "size", _hash_of("item_template").alias("hash")), f"loose-{kind}")
+        if not loose.isEmpty():
+            met = met.union(_whole_windows(docs, loose, kind, id_col, text_col))
+    return write_stage(met.distinct(), "alignments")
+
+
+def _whole_windows(docs: DataFrame, loose: DataFrame, kind: str, id_col: str, text_col: str) -> DataFrame:
+    """(doc, item, shift) of windows without anchor, by the hash of the whole window."""
+    sizes = [r["size"] for r in loose.select("size").distinct().collect()]
+    template = _words(canonical(F.coalesce(F.col(text_col), F.lit("")), KINDS[kind]))
+    windows = docs.select(F.col(id_col).alias("doc"), F.explode(_all_windows(template, sizes)).alias("w")).select("doc", "w.hash", "w.at")
+    wanted = loose.select("item", "item_at", "hash")
+    wanted = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+    return windows.join(wanted, "hash").select("doc", "item", (F.col("at") - F.col("item_at")).alias("shift"))
+
+
+def _overlaps(docs: DataFrame, alignments: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, item, shift, lo, and the words and template words from place lo on as far as the item reaches)."""
+    long = items.groupBy("item").agg(F.max(F.size("plain")).alias("long")).withColumnRenamed("item", "_item")
+    lines = alignments.join(F.broadcast(long) if long.count() <= MOST_BROADCAST else long, F.col("item").eqNullSafe(F.col("_item")))
+    # One row per document, so that its templates are made once and not for each of its lines.
+    lines = lines.groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("item", "shift", "long")).alias("lines"))
+    lines = write_stage(lines, "aligned")
+    lines = F.broadcast(lines) if alignments.count() <= MOST_BROADCAST else lines
+    near = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col)).join(lines, F.col(id_col).eqNullSafe(F.col("_doc")))
+    texts = _split(near, id_col, text_col, "doc", F.col("lines"))
+    columns = ("said", "plain", *KINDS)
+
+    def along(line: Column) -> Column:
+        lo = F.greatest(line["shift"], F.lit(0))
+        reach = F.greatest(F.least(F.size("plain"), line["shift"] + line["long"]) - lo, F.lit(0))
+        return F.struct(line["item"].alias("item"), line["shift"].alias("shift"), lo.alias("lo"), *[F.slice(c, lo + 1, reach).alias(c) for c in columns])
+
+    return texts.select("doc", F.inline(F.transform("lines", along)))
+
+
+def _along(beside: DataFrame, windows: DataFrame) -> DataFrame:
+    """Every overlap with every window of its item that lies in it; at is the window's place in the document."""
+    item = windows.withColumnRenamed("item", "_item")
+    item = F.broadcast(item) if windows.count() <= MOST_BROADCAST else item
+    met = beside.join(item, F.col("item").eqNullSafe(F.col("_item"))).withColumn("at", F.col("shift") + F.col("item_at"))
+    return met.where((F.col("at") >= F.col("lo")) & (F.col("at") + F.col("size") <= F.col("lo") + F.size("plain")))
+
+
+def _own(column: str) -> Column:
+    return F.slice(column, F.col("at") - F.col("lo") + 1, F.col("size"))
+
+
+def _runs(beside: DataFrame, runs: DataFrame) -> DataFrame:
+    """Pairs of a document and an item that share RUN consecutive words, or all words of a shorter item, in any case."""
+    met = _along(beside, runs).where(_own("plain") == F.col("item_plain"))
     none = F.lit(0).cast("long")
-    return whole.groupBy("doc", "item", "size").agg(F.min(F.col("at") - F.col("back")).cast("long").alias("first_word")).select(
-        "doc", "item", none.alias("n_windows"), F.greatest(F.col("size") - WINDOW + 1, F.lit(1)).cast("long").alias("item_windows"),
+    return met.groupBy("doc", "item", "words").agg(F.min("at").cast("long").alias("first_word")).select(
+        "doc", "item", none.alias("n_windows"), F.greatest(F.col("words") - WINDOW + 1, F.lit(1)).cast("long").alias("item_windows"),
         none.alias("n_slots"), none.alias("changed_slots"), "first_word",
     )
 
 
-def _held(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, every: bool) -> DataFrame:
+def _held(beside: DataFrame, known: DataFrame, kind: str) -> DataFrame:
     """leaks() by one kind of template, with columns doc and item."""
-    known = write_stage(benchmark_windows(benchmark, item_col, item_text_col, every), "benchmark-windows")
-    count, sizes = known.count(), [r["size"] for r in known.select("size").distinct().collect()]
-    texts = _split(docs, id_col, text_col, "doc", every)
-    windows = texts.select("doc", "said", "template", F.explode(_all_windows(F.col("template"), sizes)).alias("w"))
-    windows = windows.select("doc", "said", "template", "w.*")
-    own = lambda c: F.slice(c, F.col("at") + 1, F.col("n"))
-    if count <= MOST_BROADCAST:
-        met = windows.join(F.broadcast(known), "hash").select("*", own("said").alias("doc_said"), own("template").alias("doc_template"))
-    else:
-        narrow = windows.select("doc", "at", "hash", own("said").alias("doc_said"), own("template").alias("doc_template"))
-        met = narrow.join(known, "hash")
+    met = _along(beside, known).withColumn("doc_said", _own("said")).where(_own(kind) == F.col("item_template"))
     slots = F.filter(
         F.arrays_zip("item_template", "item_said", "doc_said"), lambda x: x["item_template"].isin(NAME, NUMBER, UNIT)
     )
     plain = lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}\p{N}%€£°]+", "")
     aligned = (
-        met.where("doc_template = item_template")
-        .select(
+        met.select(
             "doc",
             "item",
             "item_windows",
             "at",
             "item_at",
-            (F.col("at") - F.col("item_at")).alias("shift"),
+            "shift",
             F.transform(slots, lambda x: F.struct(plain(x["item_said"]).alias("asked"), plain(x["doc_said"]).alias("found"))).alias("slots"),
         )
         .groupBy("doc", "item", "item_windows", "shift")
