@@ -8,7 +8,7 @@ from conftest import *  # noqa: F403
 from test_dedup import brute, edited
 
 import corpus_pipeline
-from variantrank.llm import templates, weak_supervision
+from variantrank.llm import quotes, templates, weak_supervision
 from variantrank.llm.common import drop_ids
 
 pytest.importorskip("public_tokenizers")
@@ -67,7 +67,8 @@ def test_drop_ids(spark):
 
 
 def test_main_paths_run_no_python(spark, odd):
-    plans = [templates.leaks(odd, odd.selectExpr("doc_id AS item_id", "text")), weak_supervision.quality(odd)]
+    talk = odd.selectExpr("doc_id AS conv_id", "n_chars AS turn", "source AS role", "text")
+    plans = [templates.leaks(odd, odd.selectExpr("doc_id AS item_id", "text")), weak_supervision.quality(odd), quotes.link(talk)]
     for df in plans:
         plan = df._jdf.queryExecution().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct"))

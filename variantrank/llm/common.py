@@ -15,8 +15,10 @@ ROWS_PER_BLOCK = 250_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder all executors see: spark.checkpoint.dir, or a temporary one where it is unset, on a single machine only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
     if not folder:
         folder = tempfile.mkdtemp(prefix="stages-")
         spark.conf.set("spark.checkpoint.dir", folder)
