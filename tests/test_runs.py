@@ -36,7 +36,6 @@ def cohorts(spark):
     people = mini.pedigree(spark, [("F1", "P1", "0", "0", 1, 2, "ALL"), ("F2", "P2", "0", "0", 2, 1, "AFR"), ("F3", "P3", "0", "0", 0, 1, "ALL"), ("F4", "P4", "0", "0", 1, 2, "NFE")])
     dels = cnv(spark, {"iid": "P1", "gene": "G4", "geno": "het"}, {"iid": "P2", "gene": "XG1", "geno": "hom"}, {"iid": "P1", "gene": "HLA-A", "geno": "het"})
     return {
-        "plain": mini.cohort(spark),
         "scores listed twice": mini.cohort(spark, indels=twice),
         "null gene, unknown sex": mini.cohort(spark, sites=mini.sites(spark, null_gene), calls=calls.union(mini.calls(spark, odd_calls[2:])), pedigree=people),
         "repeated calls": mini.cohort(spark, calls=mini.calls(spark, odd_calls[:2])),
@@ -45,7 +44,7 @@ def cohorts(spark):
     }
 
 
-@pytest.mark.parametrize("name", ["plain", "scores listed twice", "null gene, unknown sex", "repeated calls", "copy numbers", "no indels, no calls"])
+@pytest.mark.parametrize("name", ["scores listed twice", "null gene, unknown sex", "repeated calls", "copy numbers", "no indels, no calls"])
 def test_kept_run_equals_separate_plans(spark, tmp_path, name):
     cohort = cohorts(spark)[name]
     profile, options = {
@@ -58,7 +57,9 @@ def test_kept_run_equals_separate_plans(spark, tmp_path, name):
     assert same(run.dropped(), once.dropped())
     assert same(run.audit(), once.audit())
     limits = {"max_p": 1.0, "min_cases": 1}
-    assert same(run.shared_candidates(**limits), once.shared_candidates(**limits))
+    if name in ("copy numbers", "null gene, unknown sex"):
+        want = run.shared_candidates(**limits)
+        assert same(want, once.shared_candidates(**limits)) and same(want, run.shared_candidates(str(tmp_path / "near"), **limits))
     columns = ["iid", "key", "gene", "geno", "phred", "is_cnv"]
     assert same(run.observed().select(columns), once.observed().select(columns))
 

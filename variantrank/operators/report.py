@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from variantrank.functions.variants import has_alternate, variant_key
 from variantrank.operators.joins import lookup_join
-from variantrank.sinks.stages import kept
 
 MAX_P = 1e-3
 MIN_CASES = 2
@@ -37,42 +34,37 @@ def stage_audit(raw: DataFrame, ranked: DataFrame) -> DataFrame:
     return before.join(after, "iid", "left").fillna(0, ["n_ranked"])
 
 
-def candidate_report(
-    ranked: DataFrame,
-    observed: DataFrame,
-    pedigree: DataFrame,
-    max_p: float = MAX_P,
-    min_cases: int = MIN_CASES,
-    rejected_calls: DataFrame | None = None,
-    folder: str | None = None,
-) -> DataFrame:
-    """Variants ranked below ``max_p`` in ``min_cases`` affected people and seen in no unaffected.
-
-    ``observed`` holds every (iid, key, gene, geno) of the cohort. Only rows of a variant that the affected share are looked
-    at among the unaffected, and these shrink to distinct (key, gene) within each task before they are shuffled.
-    ``rejected_calls`` are calls of people who take no part in the run (of unknown sex, say): a
-    variant of which an unaffected one of them carries an alternate allele is no candidate either.
-    With a ``folder`` what the affected share, few rows, is written there once and not found again for each use.
-    """
-    status = pedigree.select("iid", "status")
-    unaffected = status.filter("status = 1").select("iid")
+def shared_by_affected(ranked: DataFrame, pedigree: DataFrame, max_p: float = MAX_P, min_cases: int = MIN_CASES) -> DataFrame:
+    """(key, gene, dz_model, n_cases): variants ranked below ``max_p`` in ``min_cases`` affected people or more."""
     cases = lookup_join(
         ranked.filter(F.col("prob") < max_p).select("iid", "key", "gene", "dz_model"),
-        status.filter("status = 2").select("iid"),
+        pedigree.filter("status = 2").select("iid"),
         ["iid"],
         "left_semi",
     )
-    shared = (
+    return (
         cases.groupBy("key", "gene", "dz_model")
         .agg(F.count_distinct("iid").alias("n_cases"))
         .filter(F.col("n_cases") >= min_cases)
     )
-    if folder is not None:
-        shared = kept(shared, f"{folder}/shared-{uuid.uuid4().hex}")
+
+
+def unseen_in_unaffected(
+    shared: DataFrame, observed: DataFrame, pedigree: DataFrame, rejected_calls: DataFrame | None = None, measured: bool = False
+) -> DataFrame:
+    """``shared`` without the variants that an unaffected person carries.
+
+    ``observed`` holds the (iid, key, gene, geno) of the cohort, at least those of the shared keys. Only its rows of a
+    shared variant are looked at, and these shrink to distinct (key, gene) within each task before they are shuffled.
+    ``rejected_calls`` are calls of people who take no part in the run (of unknown sex, say): a
+    variant of which an unaffected one of them carries an alternate allele is no candidate either.
+    ``measured`` says that ``shared`` is read from a file, so that its size can be asked for.
+    """
+    unaffected = pedigree.filter("status = 1").select("iid")
 
     def carried_by_unaffected(rows: DataFrame, on: list[str]) -> DataFrame:
         wanted = shared.select(*on).distinct()
-        found = lookup_join(rows, wanted, on, "left_semi") if folder is not None else rows.join(wanted, on, "left_semi")
+        found = lookup_join(rows, wanted, on, "left_semi") if measured else rows.join(wanted, on, "left_semi")
         return lookup_join(found, unaffected, ["iid"], "left_semi").select(*on).distinct()
 
     carriers = observed.filter(~F.col("geno").isin("ref", "miss")).select("iid", "key", "gene")
@@ -81,3 +73,16 @@ def candidate_report(
         return found
     carried = rejected_calls.filter(has_alternate(F.col("gt"))).withColumn("key", variant_key()).select("iid", "key")
     return found.join(carried_by_unaffected(carried, ["key"]), "key", "left_anti")
+
+
+def candidate_report(
+    ranked: DataFrame,
+    observed: DataFrame,
+    pedigree: DataFrame,
+    max_p: float = MAX_P,
+    min_cases: int = MIN_CASES,
+    rejected_calls: DataFrame | None = None,
+) -> DataFrame:
+    """Variants ranked below ``max_p`` in ``min_cases`` affected people and seen in no unaffected."""
+    shared = shared_by_affected(ranked, pedigree, max_p, min_cases)
+    return unseen_in_unaffected(shared, observed, pedigree, rejected_calls)

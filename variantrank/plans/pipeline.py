@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from copy import copy
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Window
@@ -32,7 +34,7 @@ from variantrank.operators.indels import (
 from variantrank.operators.joins import data_bytes, lookup_join
 from variantrank.operators.models import own_probabilities, rank_models
 from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
-from variantrank.operators.report import candidate_report, stage_audit
+from variantrank.operators.report import shared_by_affected, stage_audit, unseen_in_unaffected
 from variantrank.operators.sites import flag_variants, prepare_sites
 from variantrank.profiles import CADD16, Profile
 from variantrank.sinks.stages import kept
@@ -272,11 +274,26 @@ class Run:
         return stage_audit(self.raw(), self.ranked_core())
 
     def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
-        """Variants of several affected and no unaffected people; unaffected ones who take no part count by their raw calls."""
-        apart = self.cohort.calls.join(self.rejects().select("iid").distinct(), "iid", "left_semi")
-        return candidate_report(
-            self.ranked_core(), self.observed(), self.cohort.pedigree, rejected_calls=apart, folder=folder, **limits
-        )
+        """Variants of several affected and no unaffected people; unaffected ones who take no part count by their raw calls.
+
+        With a ``folder`` the variants that the affected share, few rows, are written there first, and of all other calls
+        only those of these variants meet the sites.
+        """
+        pedigree, shared = self.cohort.pedigree, shared_by_affected(self.ranked_core(), self.cohort.pedigree, **limits)
+        if folder is None:
+            near = self
+        else:
+            shared = kept(shared, f"{folder}/shared-{uuid.uuid4().hex}")
+            near = self._at_keys(shared.select("key").distinct())
+        apart = near.cohort.calls.join(self.rejects().select("iid").distinct(), "iid", "left_semi")
+        return unseen_in_unaffected(shared, near.observed(), pedigree, apart, measured=folder is not None)
+
+    def _at_keys(self, keys: DataFrame) -> Run:
+        """This run with the calls of some variants only; ``keys`` (key) is read from a file."""
+        calls = lookup_join(self.cohort.calls.withColumn("key", variant_key()), keys, ["key"], "left_semi").drop("key")
+        near = copy(self)
+        near.cohort = replace(self.cohort, calls=calls)
+        return near
 
     def dropped(self) -> DataFrame:
         """Rows of a person whose key is in none of that person's clean rows."""
@@ -359,6 +376,9 @@ class KeptRun(Run):
     def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
         return super().shared_candidates(folder or self.folder, **limits)
 
+    def _at_keys(self, keys: DataFrame) -> Run:
+        return self  # its joined calls are there
+
 
 def rank_variants(
     cohort: Cohort, profile: Profile = CADD16, options: Options = Options(), folder: str | None = None

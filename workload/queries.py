@@ -567,8 +567,7 @@ def dropped_variants_full(spark, d):
 @query
 def candidate_report(spark, d):
     """Copy-number calls included; unaffected people of unknown sex count by their raw calls."""
-    cohort = c.cohort(spark, d, with_indels=True, with_cnv=True)
-    return KeptRun(cohort, CADD16, Options(), new_folder(spark, "run")).shared_candidates()
+    return _run(spark, d, indels=True, cnv=True).shared_candidates(new_folder(spark, "run"))
 
 
 @query
