@@ -130,7 +130,11 @@ SELECT * FROM first UNION ALL SELECT h.* FROM held_run h WHERE NOT EXISTS (SELEC
 def links_sql() -> str:
     """quotes.link over conversations."""
     marks = r"^([ \t]*>)+"
-    clean = r"regexp_replace(lower(said), '[^\p{L}\p{N}]+', '', 'g')"
+    words = lambda said: rf"list_filter(regexp_split_to_array(lower({said}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+    joined = lambda said: f"array_to_string({words(said)}, ' ')"
+    n = quotes.WINDOW
+    windows = f"list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i:i+{n}-1], ' '))"
+    short = f"list_filter(list_transform(said, lambda s: {words('s')}), lambda v: len(v) BETWEEN 1 AND {n - 1})"
     return f"""WITH RECURSIVE messages AS (SELECT *, row_number() OVER () AS row FROM conversations),
 raw AS (SELECT row, conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS i FROM
   (SELECT *, string_split(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(10)) AS l FROM messages)),
@@ -138,14 +142,26 @@ levels AS (SELECT *, length(regexp_replace(regexp_extract(line, '{marks}'), '[^>
   regexp_replace(line, '{marks}[ \t]?', '') AS said FROM raw),
 lines AS MATERIALIZED (SELECT * FROM (SELECT *, lead(level) OVER (PARTITION BY row ORDER BY i) AS next FROM levels)
   WHERE NOT (level = 0 AND coalesce(next, 0) > 0 AND regexp_matches(said, '{quotes.ATTRIBUTION}'))),
-units AS (SELECT conv_id, turn, level, said FROM lines UNION ALL
-  SELECT conv_id, turn, level, string_agg(said, ' ' ORDER BY i) FROM lines GROUP BY row, conv_id, turn, level),
-passages AS MATERIALIZED (SELECT DISTINCT conv_id, turn, level, {clean} AS passage FROM units WHERE length({clean}) >= {quotes.MIN_LETTERS}),
-origins AS (SELECT conv_id, passage, min(turn) AS origin FROM passages WHERE level = 0 GROUP BY ALL),
-strength AS (SELECT conv_id, turn, origin, min(level) AS level, count(*) AS n FROM passages JOIN origins USING (conv_id, passage)
-  WHERE level > 0 AND origin < turn GROUP BY ALL),
+blocks AS MATERIALIZED (SELECT row, conv_id, turn, block, level, said, {words("array_to_string(said, ' ')")} AS w FROM
+  (SELECT row, conv_id, turn, block, level, list(said ORDER BY i) AS said FROM
+    (SELECT *, sum(new) OVER (PARTITION BY row ORDER BY i) - 1 AS block FROM
+      (SELECT *, CASE WHEN level IS DISTINCT FROM lag(level) OVER (PARTITION BY row ORDER BY i) THEN 1 ELSE 0 END AS new FROM lines)) GROUP BY ALL)),
+pieces AS (SELECT *, list_distinct({windows} || list_transform({short}, lambda v: array_to_string(v, ' '))
+  || CASE WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE [] END) AS pieces, array_to_string(w, ' ') AS all_of_it FROM blocks WHERE level > 0 AND len(w) > 0),
+quoted AS MATERIALIZED (SELECT DISTINCT conv_id, turn, block, level, len(pieces) AS total, passage,
+    list_contains(pieces, passage) AS piece, passage = all_of_it AS whole FROM
+  (SELECT *, unnest(list_distinct(list_append(pieces, all_of_it))) AS passage FROM pieces)),
+own_units AS (SELECT conv_id, turn, unnest({windows} || [array_to_string(w, ' ')]) AS passage FROM blocks WHERE level = 0
+  UNION ALL SELECT conv_id, turn, {joined("said")} FROM lines WHERE level = 0
+  UNION ALL SELECT conv_id, turn, {joined("s")} FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(said, '[.!?]+')) AS s FROM lines WHERE level = 0)
+  UNION ALL SELECT conv_id, turn, {joined("s")} FROM (SELECT conv_id, turn, string_agg(said, chr(10) ORDER BY i) AS s FROM lines WHERE level = 0 GROUP BY row, conv_id, turn)),
+origins AS (SELECT conv_id, passage, min(turn) AS origin FROM own_units WHERE passage <> '' GROUP BY ALL),
+held AS (SELECT conv_id, turn, block, level, total, origin, count(*) FILTER (piece) AS n, bool_or(whole) AS whole
+  FROM quoted JOIN origins USING (conv_id, passage) WHERE origin < turn GROUP BY ALL),
+strength AS (SELECT conv_id, turn, origin, min(level) AS level, bool_or(whole) AS whole, sum(n) AS n FROM held
+  WHERE whole OR 2 * n >= total OR n >= {quotes.LEAST} GROUP BY ALL),
 links AS MATERIALIZED (SELECT conv_id, turn, origin AS parent FROM
-  (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, origin DESC) AS rank FROM strength) WHERE rank = 1),
+  (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, whole DESC, n DESC, origin DESC) AS rank FROM strength) WHERE rank = 1),
 climb AS (SELECT conv_id, turn, parent AS root FROM links UNION ALL
   SELECT c.conv_id, c.turn, l.parent FROM climb c JOIN links l ON c.conv_id = l.conv_id AND c.root = l.turn),
 roots AS (SELECT conv_id, turn, min(root) AS root FROM climb GROUP BY ALL),
