@@ -279,7 +279,8 @@ class Run:
         With a ``folder`` the variants that the affected share, few rows, are written there first, and of all other calls
         only those of these variants meet the sites.
         """
-        pedigree, shared = self.cohort.pedigree, shared_by_affected(self.ranked_core(), self.cohort.pedigree, **limits)
+        pedigree = self.cohort.pedigree
+        shared = shared_by_affected(self._affected().ranked_core(), pedigree, **limits)
         if folder is None:
             near = self
         else:
@@ -288,6 +289,13 @@ class Run:
         apart = near.cohort.calls.join(self.rejects().select("iid").distinct(), "iid", "left_semi")
         return unseen_in_unaffected(shared, near.observed(), pedigree, apart, measured=folder is not None)
 
+    def _affected(self) -> Run:
+        """This run with the affected people only: everyone is ranked apart from the others."""
+        ill = copy(self)
+        ill.people = self.people.filter("status = 2")
+        ill.cnv = ill._cnv()
+        return ill
+
     def _at_keys(self, keys: DataFrame) -> Run:
         """This run with the calls of some variants only; ``keys`` (key) is read from a file."""
         calls = lookup_join(self.cohort.calls.withColumn("key", variant_key()), keys, ["key"], "left_semi").drop("key")
@@ -376,9 +384,19 @@ class KeptRun(Run):
     def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
         return super().shared_candidates(folder or self.folder, **limits)
 
-    def _at_keys(self, keys: DataFrame) -> Run:
+    def _affected(self) -> Run:
+        """This run with the affected people only: everyone is ranked apart from the others."""
+        ill = copy(self)
+        ill.people = self.people.filter("status = 2")
+        ill.cnv = ill._cnv()
+        return ill
+
+    def _affected(self) -> Run:
         return self  # its joined calls are there
 
+    def _at_keys(self, keys: DataFrame) -> Run:
+        return self
+
 
 def rank_variants(
     cohort: Cohort, profile: Profile = CADD16, options: Options = Options(), folder: str | None = None
