@@ -84,3 +84,8 @@ def test_odd_and_empty(odd, none, odd_rows):
     assert sum(r.doc_id == 105 and r.kept for r in got) == 2
     assert all(r.component_id is None and r.kept for r in got if r.doc_id is None)
     assert setsketch.near_duplicates(none).count() == 0
+
+
+def test_too_low_a_threshold_is_refused():
+    with pytest.raises(ValueError, match="bands"):
+        setsketch.bands_for(60)

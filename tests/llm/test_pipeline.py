@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from conftest import *  # noqa: F403
+from pyspark.sql import functions as F
 from test_dedup import brute, edited
 
 import corpus_pipeline
@@ -66,6 +67,20 @@ def test_drop_ids(spark):
         assert [r[1] for r in drop_ids(docs, rejected, most_broadcast=most).collect()] == ["c"]
 
 
+def test_rows_are_judged_one_by_one(spark, corpus):
+    """A rejected row takes no other row of its id, or without an id, along; of a repeated row one stays."""
+    good, other, third = (prose(700 + i, 120) for i in range(3))  # noqa: F405
+    rows = [(1, good, "en", "s1"), (1, "junk " * 200, "en", "s1"), (None, other, "en", "s1"), (None, None, "en", "s1"), (2, third, "en", "s1"), (2, third, "en", "s1")]
+    docs = documents(spark, rows).withColumns({"_told": F.lit(1), "_id": F.lit(2)})  # noqa: F405
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality_rules"](spark, docs, corpus[0])
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, None, 2, 2])
+    one = stages["near_duplicates"](spark, kept, corpus[0])
+    assert one.columns == docs.columns
+    assert Counter((r.doc_id, r.text, r.source) for r in one.collect()) == Counter([(1, good, "s1"), (None, other, "s1"), (2, third, "s1")])
+
+
 def test_main_paths_run_no_python(spark, odd):
     talk = odd.selectExpr("doc_id AS conv_id", "n_chars AS turn", "source AS role", "text")
     plans = [templates.leaks(odd, odd.selectExpr("doc_id AS item_id", "text")), weak_supervision.quality(odd), quotes.link(talk)]

@@ -35,12 +35,35 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """name, with as many underscores behind it as it takes to be none of columns."""
+    while name in columns:
+        name += "_"
+    return name
+
+
+def _ids(rows: DataFrame, id_col: str, name: str, most_broadcast: int) -> DataFrame:
+    """The distinct ids of rows, written, as a column name that is broadcast up to most_broadcast ids."""
+    ids = write_stage(rows.select(F.col(id_col).alias(name)).distinct(), "ids")
+    return F.broadcast(ids) if ids.count() <= most_broadcast else ids
+
+
 def drop_ids(docs: DataFrame, rejected: DataFrame, id_col: str = "doc_id", most_broadcast: int = 1 << 20) -> DataFrame:
     """docs without the rows whose id (or null) is in rejected; up to most_broadcast ids are broadcast, more are joined by
     a shuffle. Rows with one id go or stay together."""
-    gone = write_stage(rejected.select(F.col(id_col).alias("_gone")).distinct(), "rejected")
-    gone = F.broadcast(gone) if gone.count() <= most_broadcast else gone
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    name = unused("_id", docs.columns)
+    return docs.join(_ids(rejected, id_col, name, most_broadcast), F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+
+
+def one_of_repeated(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 1 << 20) -> DataFrame:
+    """docs with one row, the least by its other columns, of those that share id and text. repeated: ids that several rows
+    have; only these rows are shuffled."""
+    name, rest = unused("_id", docs.columns), unused("_rest", docs.columns)
+    ids = _ids(repeated, id_col, name, most_broadcast)
+    same, others = F.col(id_col).eqNullSafe(F.col(name)), [c for c in docs.columns if c not in (id_col, text_col)]
+    least = F.min(F.struct(F.lit(0).alias(rest), *others)).alias(rest)
+    one = docs.join(ids, same, "left_semi").groupBy(id_col, text_col).agg(least)
+    return docs.join(ids, same, "left_anti").union(one.select(*[F.col(rest)[c].alias(c) if c in others else F.col(c) for c in docs.columns]))
 
 
 def words_of(text: Column) -> Column:

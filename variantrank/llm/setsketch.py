@@ -78,7 +78,10 @@ def shingles(text: str | None, size: int, known: dict[bytes, int]) -> np.ndarray
 
 def bands_for(percent: int) -> int:
     """How many bands miss a pair at the threshold with a probability of MISS at most."""
-    return min(MOST_BANDS, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS)))
+    n = math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+    if n > MOST_BANDS:
+        raise ValueError(f"{percent} % takes {n} bands to find all pairs; there are {MOST_BANDS}")
+    return n
 
 
 def registers(sets: list[np.ndarray], m: int) -> np.ndarray:
