@@ -21,7 +21,8 @@ from variantrank.llm.queries import vocabulary
 
 def _told(docs: DataFrame, judged: list[str], judge) -> DataFrame:
     """docs without the rows that judge rejects. It sees the columns it judges by and, as doc_id, a 128-bit hash of these."""
-    told = F.md5(F.concat(*[F.concat(F.coalesce(F.length(c), F.lit(-1)).cast("string"), F.lit(" "), F.coalesce(F.col(c), F.lit(""))) for c in judged]))
+    values = [x for c in judged for x in (F.col(c).isNull(), F.col(c))]
+    told = F.concat(F.hex(F.xxhash64(*values)), F.lit(" "), F.hex(F.xxhash64(F.lit(1), *values)))  # texts are not copied
     rejected = judge(docs.select(told.alias("doc_id"), *judged)).select("doc_id")
     name = unused("_told", docs.columns)
     return drop_ids(docs.withColumn(name, told), rejected.withColumnRenamed("doc_id", name), name, most_broadcast=1 << 19).drop(name)
