@@ -170,3 +170,16 @@ def test_shared_folder(spark):
     assert one != two
     folder = spark.conf.get("spark.checkpoint.dir", None)
     assert folder is None or one.startswith(f"{folder}/x-")
+
+
+def test_only_carriers_meet_the_sites(spark, monkeypatch):
+    """Repeated calls are found before the sites are met, at which arrive the calls that can take part, without text or place."""
+    met = []
+    monkeypatch.setattr(pipeline, "lookup_join", lambda big, small, on, *a, f=pipeline.lookup_join, **b: met.append((big, on)) or f(big, small, on, *a, **b))
+    again = [("P1", "chr9", 10, "A", "G", "PASS", "0/0", -1), ("P2", "chr9", 20, "A", "G", "PASS", "0/1", 98), ("P2", "chr9", 20, "A", "G", "PASS", "0/0", 99)]
+    rows = Run(mini.cohort(spark, calls=mini.calls(spark).union(mini.calls(spark, again)), indels=None))._call_rows()
+    (calls,) = [big for big, on in met if list(on) == ["chr", "start", "ref", "alt"]]
+    assert not {"gt", "filter", "ord", "status"} & set(calls.columns)
+    assert {r["geno"] for r in calls.select("geno").collect()} == {"het", "hom"}
+    g4 = sorted((r["iid"], r["start"]) for r in rows.filter("gene = 'G4'").collect())
+    assert g4 == [("P1", 20), ("P2", 20)]

@@ -107,7 +107,12 @@ def call_drops(profile: Profile) -> Column:
     return F.concat_ws(",", *reasons)
 
 
+def read_genotypes(df: DataFrame, strict_gt: bool = False) -> DataFrame:
+    """Read depths and the genotype class that the call alone gives."""
+    return read_depths(df).withColumn("geno", genotype_class(F.col("gt"), strict_gt))
+
+
 def classify(df: DataFrame, profile: Profile, strict_gt: bool = False) -> DataFrame:
     """Read depths, sex-adjusted genotype class and call-level drop reasons; ``gt`` goes."""
-    df = read_depths(df).withColumn("geno", genotype_class(F.col("gt"), strict_gt))
+    df = read_genotypes(df, strict_gt)
     return sex_adjust(df).withColumn("call_drops", call_drops(profile)).drop("gt")

@@ -12,7 +12,7 @@ from variantrank.functions.genotypes import (
     takes_part,
     zygosity,
 )
-from variantrank.functions.variants import VARIANT
+from variantrank.functions.variants import VARIANT, variant_key
 from variantrank.operators.nulls import MODELS, null_lookup
 
 
@@ -27,7 +27,7 @@ def severity() -> list[Column]:
         F.col("rescored").asc(),
         F.col("is_splice").desc(),
         F.col("is_cnv").asc(),
-        F.when(~F.col("rescored"), F.col("key")).asc(),
+        F.when(~F.col("rescored"), variant_key()).asc(),
         *[F.col(c).asc() for c in VARIANT],
         F.col("cnv_ord").asc(),
     ]

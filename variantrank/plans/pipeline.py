@@ -19,7 +19,9 @@ from variantrank.operators.calls import (
     classify,
     first_call,
     join_pedigree,
+    read_genotypes,
     rejected_people,
+    sex_adjust,
     usable_people,
 )
 from variantrank.operators.cleaning import joined_reasons
@@ -31,7 +33,7 @@ from variantrank.operators.indels import (
     prepare_indels,
     rescore_indels,
 )
-from variantrank.operators.joins import data_bytes, lookup_join
+from variantrank.operators.joins import MAX_BROADCAST_BYTES, data_bytes, lookup_join
 from variantrank.operators.models import own_probabilities, rank_models
 from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
 from variantrank.operators.report import shared_by_affected, stage_audit, unseen_in_unaffected
@@ -39,6 +41,7 @@ from variantrank.operators.sites import flag_variants, prepare_sites
 from variantrank.profiles import CADD16, Profile
 from variantrank.sinks.stages import kept
 from variantrank.sources.contracts import require_sources
+from variantrank.sources.genome import SiteKeys
 
 
 @dataclass(frozen=True)
@@ -176,7 +179,11 @@ class Run:
 
     def candidates(self) -> DataFrame:
         """Rows that take part in a model, with their own probabilities."""
-        rows = self._call_rows().withColumn("key", variant_key()).withColumn("is_cnv", F.lit(False))
+        return self._candidates().withColumn("key", variant_key())
+
+    def _candidates(self) -> DataFrame:
+        """The candidates without their key, which is made of other columns once the rows are ranked."""
+        rows = self._call_rows().withColumn("is_cnv", F.lit(False))
         if self.cnv is None:
             return rows.withColumn("cnv_ord", F.lit(None).cast("int"))
         cnv = self._clean_scored(self.cnv).withColumn("cells", own_cells())
@@ -189,27 +196,39 @@ class Run:
     def _call_rows(self) -> DataFrame:
         """The calls among the candidates.
 
-        The site join comes before the search for repeated calls, because it
-        throws out every call at a site that cannot be ranked.
+        Calls at no site that can be ranked are left out where they are read. The search for repeated calls comes next: it needs no
+        shuffle if the people were joined by one, and leaves only the carriers' calls to meet the sites.
         """
         sites = self.scored_sites()
+        if self.indels is not None:  # scores beyond the range can be equal once they are limited to it
+            sites = sites.dropDuplicates([*VARIANT, "gene", "raw_score", "phred"])
+        rows = self._first_carriers(SiteKeys(self.sites.filter("site_drops = ''"), VARIANT).meeting(self._place_columns()))
         # These are some of the sites, each with less than 300 bytes of cells where a measured site
         # row has over 150. An indel score adds a row per gene of its variant, few at most.
         size = 3 * self.site_bytes + (0 if self.indels is None else 10 * self.indel_bytes)
-        rows = lookup_join(self._calls(), sites, VARIANT, "inner", small_bytes=size)
-        rows = rows.withColumn("cells", own_cells()).drop("eth", "in_lookup")
-        if self.options.unique_calls:
-            rows = rows.drop("ord")
-        else:
-            same_row = ("gene",) if self.indels is None else ("gene", "raw_score", "phred")
-            rows = first_call(rows, same_row)
-        rows = classify(rows, self.profile, self.options.strict_gt)
-        # A row without a genotype class takes no part, so only FILTER is left to test.
-        rows = rows.filter(takes_part(F.col("geno")))
+        rows = lookup_join(rows, sites, VARIANT, "inner", small_bytes=size)
+        rows = sex_adjust(rows.withColumn("cells", own_cells()).drop("eth", "in_lookup"))
+        rows = own_probabilities(rows.filter(takes_part(F.col("geno"))))
+        return rows.drop("sex", "is_xy", "raw_score")
+
+    def _place_columns(self) -> DataFrame:
+        return self.cohort.calls.select("iid", *VARIANT, "filter", "gt", "ord")
+
+    def _first_carriers(self, calls: DataFrame) -> DataFrame:
+        """First calls of usable people, of which those remain that can take part at some site.
+
+        A row without a genotype class takes no part, so only FILTER is left to test. Until repeated calls are found, calls that
+        take no part are but their place in the source.
+        """
+        rows = read_genotypes(calls, self.options.strict_gt)
+        part = takes_part(F.col("geno"))
         if self.profile.pass_filter:
-            rows = rows.filter(passes(F.col("filter")))
-        rows = own_probabilities(rows)
-        return rows.drop("call_drops", "sex", "status", "filter", "is_xy", "raw_score")
+            part = part & passes(F.col("filter"))
+        own = [F.when(F.col("_part"), F.col(c)).alias(c) for c in ("geno", "alt_read", "total_read")]
+        rows = rows.withColumn("_part", part).select("iid", *VARIANT, "ord", *own)
+        rows = join_pedigree(rows, self.people.drop("status"), small_bytes=self.people_bytes)
+        rows = rows.drop("ord") if self.options.unique_calls else first_call(rows)
+        return rows.filter("geno is not null")
 
     def _describe(self, ranked: DataFrame) -> DataFrame:
         """Join the descriptive site columns; copy-number rows bring their own."""
@@ -228,11 +247,16 @@ class Run:
 
     def ranked_core(self) -> DataFrame:
         """The ranked rows without the descriptive site columns."""
-        return rank_models(self.candidates(), self.options.report_all)
+        return self._ranked_places().withColumn("key", variant_key())
+
+    def _ranked_places(self) -> DataFrame:
+        """The ranked rows without their key, of which the parts are there."""
+        return rank_models(self._candidates(), self.options.report_all)
 
     def ranked(self) -> DataFrame:
         columns = [c for c, _ in self.profile.ranked_columns]
-        return self._describe(self.ranked_core()).select("fam_id", *columns)
+        rows = self._describe(self._ranked_places()).withColumn("key", variant_key())
+        return rows.select("fam_id", *columns)
 
     def raw(self) -> DataFrame:
         """Every annotated call with its class, ``drop_reason`` and ``key_kept``.
