@@ -183,3 +183,16 @@ def test_only_carriers_meet_the_sites(spark, monkeypatch):
     assert {r["geno"] for r in calls.select("geno").collect()} == {"het", "hom"}
     g4 = sorted((r["iid"], r["start"]) for r in rows.filter("gene = 'G4'").collect())
     assert g4 == [("P1", 20), ("P2", 20)]
+
+
+def test_candidates_read_the_calls_once(spark, tmp_path, monkeypatch):
+    """With a folder the calls are stored once; with many people, calls of the unaffected are left out before they are ranked."""
+    mini.calls(spark).write.parquet(str(tmp_path / "calls"))
+    run = Run(mini.cohort(spark, calls=spark.read.parquet(str(tmp_path / "calls")), indels=None))
+    monkeypatch.setattr(pipeline, "MAX_BROADCAST_BYTES", 0)
+    assert {r["iid"] for r in run._affected().cohort.calls.select("iid").collect()} == {r["iid"] for r in run.people.filter("status = 2").collect()}
+    limits = {"max_p": 1.0, "min_cases": 1}
+    rows = run.shared_candidates(str(tmp_path / "near"), **limits)
+    folders = {f.split("/")[-2] for f in rows.inputFiles()}
+    assert "calls" not in folders and any(f.startswith("calls-") for f in folders)
+    assert same(rows, run.shared_candidates(**limits))

@@ -300,23 +300,35 @@ class Run:
     def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
         """Variants of several affected and no unaffected people; unaffected ones who take no part count by their raw calls.
 
-        With a ``folder`` the variants that the affected share, few rows, are written there first, and of all other calls
-        only those of these variants meet the sites.
+        With a ``folder`` the calls, which are read several times, are written there once. So are the variants that the affected
+        share, few rows, and of all other calls only those of these variants meet the sites.
         """
         pedigree = self.cohort.pedigree
-        shared = shared_by_affected(self._affected().ranked_core(), pedigree, **limits)
+        run = self if folder is None else self._with_kept_calls(f"{folder}/calls-{uuid.uuid4().hex}")
+        shared = shared_by_affected(run._affected().ranked_core(), pedigree, **limits)
         if folder is None:
-            near = self
+            near = run
         else:
             shared = kept(shared, f"{folder}/shared-{uuid.uuid4().hex}")
-            near = self._at_keys(shared.select("key").distinct())
-        apart = near.cohort.calls.join(self.rejects().select("iid").distinct(), "iid", "left_semi")
+            near = run._at_keys(shared.select("key").distinct())
+        apart = near.cohort.calls.join(run.rejects().select("iid").distinct(), "iid", "left_semi")
         return unseen_in_unaffected(shared, near.observed(), pedigree, apart, measured=folder is not None)
 
+    def _with_kept_calls(self, path: str) -> Run:
+        """This run with its calls read from a file below ``path``."""
+        run = copy(self)
+        run.cohort = replace(self.cohort, calls=kept(self._place_columns(), path))
+        return run
+
     def _affected(self) -> Run:
-        """This run with the affected people only: everyone is ranked apart from the others."""
+        """This run with the affected people only: everyone is ranked apart from the others.
+
+        With too many people to broadcast, the calls of others are left out before any shuffle.
+        """
         ill = copy(self)
         ill.people = self.people.filter("status = 2")
+        if self.people_bytes > MAX_BROADCAST_BYTES:
+            ill.cohort = replace(self.cohort, calls=SiteKeys(ill.people, ["iid"]).meeting(self.cohort.calls))
         ill.cnv = ill._cnv()
         return ill
 
@@ -408,12 +420,8 @@ class KeptRun(Run):
     def shared_candidates(self, folder: str | None = None, **limits) -> DataFrame:
         return super().shared_candidates(folder or self.folder, **limits)
 
-    def _affected(self) -> Run:
-        """This run with the affected people only: everyone is ranked apart from the others."""
-        ill = copy(self)
-        ill.people = self.people.filter("status = 2")
-        ill.cnv = ill._cnv()
-        return ill
+    def _with_kept_calls(self, path: str) -> Run:
+        return self
 
     def _affected(self) -> Run:
         return self  # its joined calls are there
