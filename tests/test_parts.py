@@ -185,6 +185,10 @@ def test_stored_calls_join_without_a_shuffle(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def test_buckets_grow_with_the_calls():
+    assert [ingest.buckets_for(n) for n in (0, 5_000_000, 36_000_000, 216_000_001)] == [8, 8, 36, 217]
+
+
 def test_repeated_null_rows(spark):
     nulls = mini.nulls(spark, ["G1"])
     assert repeated_null_rows(nulls).isEmpty()

@@ -608,8 +608,9 @@ def rank_from_vcf(spark, d):
 def join_stored_calls(spark, d):
     """Calls and sites stored by variant, then joined without a shuffle of either."""
     name = f"t{uuid.uuid4().hex}"
-    calls = ingest.store(c.calls(spark, d), f"{name}_calls", new_folder(spark, "calls"), 8)
-    sites = ingest.store(_split_sites(spark, d), f"{name}_sites", new_folder(spark, "sites"), 8)
+    buckets = ingest.buckets_for(c.table(spark, d, "lineitem").count())  # one call per order line
+    calls = ingest.store(c.calls(spark, d), f"{name}_calls", new_folder(spark, "calls"), buckets)
+    sites = ingest.store(_split_sites(spark, d), f"{name}_sites", new_folder(spark, "sites"), buckets)
     people = call_ops.usable_people(c.pedigree(spark, d))
     rows = call_ops.attach_annotations(call_ops.join_pedigree(calls, people), sites, small_bytes=1 << 40)
     return rows.withColumn("key", variant_key()).select(*CALLED, "gt", "filter", "phred")
