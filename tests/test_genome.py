@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from variantrank.operators.sites import annotate_scores, annotate_sites
 from variantrank.sources import genome
+from workload import cohort
 
 ON = ["chr", "start", "ref", "alt"]
 
@@ -88,3 +89,23 @@ def test_sources_of_several_columns(spark):
         found = annotate_sites(here, {"af": af, "label": label}, max_bytes=size)
         assert sorted((r["af"], r["clnsig"]) for r in found.dropna(subset=["af"]).collect()) == [
             (3.0, "Benign"), (4.0, "Benign"), (300.0, None), (301.0, None)]
+
+
+def test_vcf_files_stay_small(spark, tmp_path, monkeypatch):
+    """A contig is written to several files by range of sites, each with the head, and no site is lost."""
+    rows = {
+        "part": (range(1, 81), "long", ["id as p_partkey"]),
+        "supplier": (range(1, 3), "long", ["id as s_suppkey", "cast(id as int) as s_nationkey"]),
+        "nation": (range(1, 3), "long", ["cast(id as int) as n_nationkey"]),
+        "lineitem": (range(1, 81), "long", ["id as l_partkey", "1 + id % 2 as l_suppkey", "1 as l_linenumber", "'F' as l_linestatus", "'A' as l_returnflag", "5.0 as l_quantity", "0.0 as l_discount"]),
+    }
+    for name, (ids, kind, columns) in rows.items():
+        spark.createDataFrame([(i,) for i in ids], f"id {kind}").selectExpr(*columns).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(cohort, "SITES_PER_FILE", 10, raising=False)
+    cohort.write_vcf(spark, str(tmp_path), str(tmp_path / "vcf"))
+    bodies = []
+    for file in (tmp_path / "vcf").rglob("part-*.txt"):
+        lines = file.read_text().splitlines()
+        assert lines[0].startswith("##fileformat") and lines[1].startswith("#CHROM")
+        bodies.append(lines[2:])
+    assert sum(map(len, bodies)) == 80 and max(map(len, bodies)) <= 10

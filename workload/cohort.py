@@ -463,15 +463,20 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CONTIGS = [f"chr{i}" for i in [*range(1, 23), "X", "Y"]]
+#: Site numbers of one text file of a contig.
+SITES_PER_FILE = 1 << 17
 
 
 def write_vcf(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The VCF as text files, one per contig, each with the head."""
+    """The VCF as text files, one per contig and range of sites, each with the head."""
+    part = F.coalesce(F.floor(F.col("ord") / SITES_PER_FILE), F.lit(0)).cast("long").alias("part")
     body = vcf_lines(spark, sf_dir).filter(~F.col("value").startswith("#"))
-    body = body.select("value", "ord", F.substring_index("value", "\t", 1).alias("contig"))
-    head = vcf_header(spark, sf_dir).select("value", "ord", F.explode(F.array(*map(F.lit, CONTIGS))).alias("contig"))
-    lines = head.unionByName(body).repartition("contig").sortWithinPartitions("contig", "ord", "value")
-    lines.select("value", "contig").write.partitionBy("contig").text(path)
+    body = body.select("value", "ord", F.substring_index("value", "\t", 1).alias("contig"), part)
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ord")).select(part).distinct()
+    files = parts.union(spark.range(1)).distinct().select("part", F.explode(F.array(*map(F.lit, CONTIGS))).alias("contig"))
+    head = vcf_header(spark, sf_dir).select("value", "ord").crossJoin(files).select(*body.columns)
+    lines = head.unionByName(body).repartition("contig", "part").sortWithinPartitions("contig", "part", "ord", "value")
+    lines.select("value", "contig", "part").write.partitionBy("contig", "part").text(path)
 
 
 def nation_pedigree(spark: SparkSession, sf_dir: str) -> DataFrame:
