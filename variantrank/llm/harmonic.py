@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantrank.llm.common import write_stage
+from variantrank.llm.common import TEXTS_PER_BATCH, write_stage
 from variantrank.llm.tokens import encoder
 
 CAPACITY, SLACK, LEAST_CUT, FAN_IN = 1024, 8, 16, 64
@@ -145,7 +145,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, id_col: str
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = _schema(rows, with_ids)
-    pieces = write_stage(_first_level(rows, vocabulary, capacity, with_ids), "pieces")
+    pieces = write_stage(_first_level(rows, vocabulary, capacity, with_ids), "pieces", TEXTS_PER_BATCH)
     packed, rest, level = pieces.where("sequence_id is not null"), pieces.where("sequence_id is null"), 1
     tasks = pieces.agg(F.max("task")).first()[0]
     while tasks is not None:

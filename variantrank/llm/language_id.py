@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantrank.llm.common import write_stage
+from variantrank.llm.common import TEXTS_PER_BATCH, arrow_rows, write_stage
 
 BUCKETS = 1 << 14
 
@@ -66,15 +66,16 @@ def train(rows: DataFrame, langs: list[str]) -> np.ndarray:
     def count(batches):
         sums = defaultdict(lambda: np.zeros(BUCKETS, np.int64))
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[place[lang]] += np.bincount(trigram_buckets(text), minlength=BUCKETS)
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[place[lang]] += np.bincount(trigram_buckets(text.as_py()), minlength=BUCKETS)
         for k, n in sums.items():
             bucket = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bucket), k, np.int32)), pa.array(bucket.astype(np.int32)), pa.array(n[bucket])], ["k", "bucket", "n"])
 
     counted = rows.where(F.col("declared").isin(langs)).select("declared", "text").mapInArrow(count, "k int, bucket int, n long")
     sums = np.full((len(langs), BUCKETS), 0.5)
-    found = counted.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()  # len(langs) * BUCKETS rows at most
+    with arrow_rows(rows.sparkSession, TEXTS_PER_BATCH):
+        found = counted.groupBy("k", "bucket").agg(F.sum("n").alias("n")).toArrow()  # len(langs) * BUCKETS rows at most
     sums[found["k"].to_numpy(), found["bucket"].to_numpy()] += found["n"].to_numpy()
     return sums
 
@@ -93,8 +94,8 @@ def text_evidence(rows: DataFrame, langs: list[str], sums: np.ndarray, weight: f
         for batch in batches:
             out, blank = np.zeros((batch.num_rows, len(table))), np.full(batch.num_rows, np.nan)
             others = np.zeros_like(out)
-            for i, (text, told) in enumerate(zip(batch.column("text").to_pylist(), batch.column("declared").to_pylist(), strict=True)):
-                found = trigram_buckets(text)
+            for i, (text, told) in enumerate(zip(batch.column("text"), batch.column("declared").to_pylist(), strict=True)):
+                found = trigram_buckets(text.as_py())
                 if len(found):
                     worth = min(weight, len(found))
                     own = np.bincount(found, minlength=BUCKETS)
@@ -138,7 +139,7 @@ def identify(rows: DataFrame, options: Options = Options()) -> DataFrame:
     if not langs:
         return rows.select("id", F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("probability"), F.lit(False).alias("kept"))
     n = len(langs)
-    scored = write_stage(text_evidence(rows, langs, train(rows, langs), options.text_weight), "text-evidence")
+    scored = write_stage(text_evidence(rows, langs, train(rows, langs), options.text_weight), "text-evidence", TEXTS_PER_BATCH)
     blank = F.col("blank") + math.log(options.none_prior)
     known = 1 - none_of(F.col("others"), blank + math.log(n))
     scored = scored.withColumn("known", known).withColumn("q", F.transform(softmax(F.col("ll")), lambda x: x * F.col("known")))

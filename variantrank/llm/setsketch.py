@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantrank.llm.common import components, write_stage
+from variantrank.llm.common import TEXTS_PER_BATCH, components, write_stage
 
 #: Registers per band, and the chance to miss a pair that is as similar as the threshold.
 ROWS, MISS = 7, 2e-7
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     m = ROWS * bands_for(percent)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    known = write_stage(_sets(rows, size, m, False), "sketches")
+    known = write_stage(_sets(rows, size, m, False), "sketches", TEXTS_PER_BATCH)
     nodes = write_stage(known.where("n > 0 and id is not null").groupBy("node", "n").agg(F.min("id").alias("id")), "nodes")
     single = known.join(nodes.select("node", "id"), ["node", "id"], "left_semi")
     keys = single.select("node", F.explode("keys").alias("key"))
