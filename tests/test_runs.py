@@ -196,3 +196,28 @@ def test_candidates_read_the_calls_once(spark, tmp_path, monkeypatch):
     folders = {f.split("/")[-2] for f in rows.inputFiles()}
     assert "calls" not in folders and any(f.startswith("calls-") for f in folders)
     assert same(rows, run.shared_candidates(**limits))
+
+
+# What the outputs of one join cost.
+
+
+def steps(df):
+    """The lines of the physical plan, from the last step to the first."""
+    return df._jdf.queryExecution().executedPlan().toString().split("\n")
+
+
+def test_calls_are_sorted_once_for_the_first_of_each(spark, monkeypatch):
+    """Calls go by person before first calls are looked for, and no step sorts them on the other side of that shuffle."""
+    cohort = mini.cohort(spark)
+    plan = steps(Run(cohort).raw())
+    shuffle = [i for i, line in enumerate(plan) if "Exchange hashpartitioning(iid" in line and "REPARTITION_BY_COL" in line]
+    assert len(shuffle) == 1 and shuffle[0] > max(i for i, line in enumerate(plan) if "WindowGroupLimit [iid" in line)
+    assert "REPARTITION_BY_COL" not in "".join(steps(Run(cohort, options=Options(unique_calls=True)).raw()))
+    monkeypatch.setattr(Run, "people_bytes", 1 << 40)  # the join of the people shuffles by person then
+    assert "REPARTITION_BY_COL" not in "".join(steps(Run(cohort).raw()))
+
+
+def test_joined_calls_hold_what_results_read(spark, tmp_path):
+    run = KeptRun(mini.cohort(spark), CADD16, Options(), str(tmp_path))
+    assert len(run.joined.columns) == 16 and not {"sex", "status", "exonic_func", "is_xy", "is_cnv", "filter"} & set(run.joined.columns)
+    assert run.joined.schema["scores"].dataType.elementType.names == ["phred", "score_norm", "rescored", "prob", "prob_chet"]

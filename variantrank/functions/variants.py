@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VARIANT = ["chr", "start", "ref", "alt"]
+#: The same columns in the order to sort by: positions differ far more often than contigs, and compare as numbers.
+BY_POSITION = ["start", "chr", "ref", "alt"]
 
 
 def variant_key(chrom="chr", start="start", ref="ref", alt="alt") -> Column:

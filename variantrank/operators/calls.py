@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from variantrank.functions import filters
 from variantrank.functions.genotypes import genotype_class, item_of, sex_adjusted
-from variantrank.functions.variants import VARIANT
+from variantrank.functions.variants import BY_POSITION, VARIANT
 from variantrank.operators.joins import lookup_join
 from variantrank.profiles import Profile
 
@@ -56,7 +56,7 @@ def first_call(calls: DataFrame, same_row: tuple = ()) -> DataFrame:
 
     Each task cuts its own groups to one row before the shuffle.
     """
-    order = Window.partitionBy("iid", *VARIANT, *same_row).orderBy("ord")
+    order = Window.partitionBy("iid", *BY_POSITION, *same_row).orderBy("ord")
     return calls.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "ord")
 
 
@@ -70,7 +70,8 @@ def attach_annotations(
     join. ``unique_calls`` says no person has two calls of one variant.
     """
     first = calls.drop("ord") if unique_calls else first_call(calls)
-    return lookup_join(first, sites, VARIANT, "inner", **join_options)
+    rows = lookup_join(first, sites, BY_POSITION, "inner", **join_options)
+    return rows.select(*VARIANT, *[c for c in rows.columns if c not in VARIANT])
 
 
 def annotations_of_carriers(sites: DataFrame, calls: DataFrame) -> DataFrame:

@@ -120,16 +120,17 @@ def model_chet(df: DataFrame, nulls: DataFrame, report_all: bool = False) -> Dat
     return _labelled(pairs).drop("zyg", "rank")
 
 
+def probabilities(cells: Column | str, zyg: Column) -> dict[str, Column]:
+    """``prob`` and ``prob_chet`` of a row of this zygosity, out of the cells of its ancestry."""
+    places = {m: MODELS.index(m) for m in ("het", "hom", "hem")}
+    chet = F.get(cells, F.lit(MODELS.index("chet")))
+    return {"prob": F.get(cells, mapped(zyg, places)), "prob_chet": F.when(zyg == "het", chet)}
+
+
 def own_probabilities(df: DataFrame) -> DataFrame:
     """``zyg``, and the row's ``prob`` and ``prob_chet`` out of its ``cells``."""
-    places = {m: MODELS.index(m) for m in ("het", "hom", "hem")}
-    chet = F.get("cells", F.lit(MODELS.index("chet")))
-    return (
-        df.withColumn("zyg", zygosity(F.col("geno")))
-        .withColumn("prob", F.get("cells", mapped(F.col("zyg"), places)))
-        .withColumn("prob_chet", F.when(F.col("zyg") == "het", chet))
-        .drop("cells")
-    )
+    rows = df.withColumn("zyg", zygosity(F.col("geno")))
+    return rows.withColumns(probabilities("cells", F.col("zyg"))).drop("cells")
 
 
 def rank_models(rows: DataFrame, report_all: bool = False) -> DataFrame:
@@ -154,6 +155,7 @@ def rank_models(rows: DataFrame, report_all: bool = False) -> DataFrame:
         single = F.when(F.col("rank") == 1, F.struct(F.col("geno"), F.col("prob")))
         own = F.struct(compound, F.col("_second").alias("prob"))
     paired = F.when((F.col("zyg") == "het") & (F.col("_n") >= 2), own)
-    roles = top.withColumn("_role", F.explode(F.array_compact(F.array(single, paired))))
+    # A filter behind the explosion, where array_compact() would keep the whole step out of generated code.
+    roles = top.withColumn("_role", F.explode(F.array(single, paired))).filter("_role is not null")
     rest = [c for c in rows.columns if c not in ("geno", "zyg", "prob", "prob_chet")]
     return _labelled(roles.select(*rest, "_role.geno", "_role.prob"))

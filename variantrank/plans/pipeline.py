@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from variantrank.functions.filters import passes
-from variantrank.functions.genotypes import takes_part
+from variantrank.functions.genotypes import takes_part, zygosity
 from variantrank.functions.variants import VARIANT, variant_key
 from variantrank.operators.calls import (
     attach_annotations,
@@ -34,7 +34,7 @@ from variantrank.operators.indels import (
     rescore_indels,
 )
 from variantrank.operators.joins import MAX_BROADCAST_BYTES, data_bytes, lookup_join
-from variantrank.operators.models import own_probabilities, rank_models
+from variantrank.operators.models import own_probabilities, probabilities, rank_models
 from variantrank.operators.nulls import attach_nulls, own_cells, table_bytes
 from variantrank.operators.report import shared_by_affected, stage_audit, unseen_in_unaffected
 from variantrank.operators.sites import flag_variants, prepare_sites
@@ -174,8 +174,15 @@ class Run:
         return self._clean_scored(self.sites).drop(*self.described, "end", "key", "site_drops")
 
     def _calls(self) -> DataFrame:
-        calls = self.cohort.calls.select("iid", *VARIANT, "filter", "gt", "ord")
-        return join_pedigree(calls, self.people, small_bytes=self.people_bytes)
+        """Calls of usable people, by person as soon as repeated calls are looked for.
+
+        A shuffled join of the people leaves them so; behind a broadcast one shuffle by person serves the search, which then
+        sorts the calls once, and leaves each person's rows together for whatever counts or ranks them next.
+        """
+        rows = join_pedigree(self._place_columns(), self.people, small_bytes=self.people_bytes)
+        if self.options.unique_calls or self.people_bytes > MAX_BROADCAST_BYTES:
+            return rows
+        return rows.repartition("iid")
 
     def candidates(self) -> DataFrame:
         """Rows that take part in a model, with their own probabilities."""
@@ -376,38 +383,46 @@ class KeptRun(Run):
     def _joinable_sites(self) -> DataFrame:
         """Narrow site rows with their scores and the cells of every ancestry."""
         scored = self._clean_scored(self.sites)
-        entry = F.struct("raw_score", "phred", "score_norm", "rescored", "cells")
+        entry = F.struct("phred", "score_norm", "rescored", "cells")
         scores = scored.groupBy("site").agg(F.collect_list(entry).alias("scores"))
         site_kept = (F.col("site_drops") == "") & F.col("has_score")
         marked = mark_scored(self.sites, self.indels, self.profile)
         marked = marked.withColumn("_any", F.max(site_kept).over(Window.partitionBy(*VARIANT)))
-        narrow = ["site", *VARIANT, "gene", "exonic_func", "is_xy", "is_splice", "site_drops", "has_score", "_any"]
+        narrow = ["site", *VARIANT, "gene", "is_xy", "is_splice", "site_drops", "has_score", "_any"]
         return marked.select(*narrow, F.col("phred").alias("own_phred")).join(scores, "site", "left")
 
     @cached_property
     def joined(self) -> DataFrame:
-        """Every annotated call once, with its class, reasons, and for its ancestry the scores it may be ranked by."""
+        """Every annotated call once, with its class, reasons, and the scores it may be ranked by with their probabilities.
+
+        Only what some result reads is written; all else is with the site.
+        """
         sites = kept(self._joinable_sites(), f"{self.folder}/joinable")
         rows = attach_annotations(self._calls(), sites, self.options.unique_calls, small_bytes=data_bytes(sites))
         rows = classify(rows, self.profile, self.options.strict_gt)
         rows = self._with_reasons(rows).withColumn("key_kept", F.col("_any") & (F.col("call_drops") == ""))
         part = takes_part(F.col("geno"))
         part = part & passes(F.col("filter")) if self.profile.pass_filter else part
-        own = F.transform("scores", lambda s: s.withField("cells", own_cells(s["cells"])))
-        rows = rows.withColumn("scores", F.when(part, own)).drop("_any", "has_score", "site_drops", "call_drops", "eth")
-        return kept(rows.withColumn("is_cnv", F.lit(False)), f"{self.folder}/joined")
+        rows = rows.withColumn("_zyg", zygosity(F.col("geno")))
+
+        def own(score):
+            values = {c: score[c] for c in ("phred", "score_norm", "rescored")} | probabilities(own_cells(score["cells"]), F.col("_zyg"))
+            return F.struct(*[value.alias(name) for name, value in values.items()])
+
+        rows = rows.withColumn("scores", F.when(part, F.transform("scores", own)))
+        columns = ["fam_id", "iid", *VARIANT, "site", "gene", "is_splice", "own_phred", "geno", "alt_read", "total_read"]
+        return kept(rows.select(*columns, "drop_reason", "key_kept", "scores"), f"{self.folder}/joined")
 
     def _call_rows(self) -> DataFrame:
         rows = self.joined.filter("size(scores) > 0").withColumn("_score", F.explode("scores"))
         columns = ["fam_id", "iid", *VARIANT, "total_read", "alt_read", "gene", "is_splice", "geno"]
-        return own_probabilities(rows.select(*columns, "_score.*")).drop("raw_score")
+        return rows.select(*columns, "_score.*").withColumn("zyg", zygosity(F.col("geno")))
 
     def _plain(self) -> DataFrame:
-        return self.joined.withColumn("key", variant_key()).drop("scores")
+        return self.joined.withColumns({"key": variant_key(), "is_cnv": F.lit(False)}).drop("scores")
 
     def raw(self) -> DataFrame:
-        described = [c for c in self.described if c not in ("exonic_func", "func")]
-        table = self.sites.select("site", "func", *described, "phred")
+        table = self.sites.select("site", *self.described, "phred")
         rows = self._plain().drop("own_phred")
         return lookup_join(rows, table, ["site"], "left", small_bytes=self.site_bytes).drop("site")
 
