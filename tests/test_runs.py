@@ -221,3 +221,16 @@ def test_joined_calls_hold_what_results_read(spark, tmp_path):
     run = KeptRun(mini.cohort(spark), CADD16, Options(), str(tmp_path))
     assert len(run.joined.columns) == 16 and not {"sex", "status", "exonic_func", "is_xy", "is_cnv", "filter"} & set(run.joined.columns)
     assert run.joined.schema["scores"].dataType.elementType.names == ["phred", "score_norm", "rescored", "prob", "prob_chet"]
+
+
+def test_copy_numbers_do_not_shuffle_calls(spark, tmp_path):
+    """Calls meet the few copy-number rows that lie at a site by broadcast; those at a site still count."""
+    site = dict(zip(("chr", "start", "ref", "alt"), mini.SITES["a"][:4]))
+    rows = [{"iid": "P1", "gene": "G4", "geno": "het"}, {"iid": "P1", "gene": "HLA-A", "geno": "het"}]
+    rows += [{"iid": p, "gene": g, "geno": "het", **site} for p in ("P1", "P2") for g in ("G4", "HLA-A")]
+    run = KeptRun(mini.cohort(spark, cnv_dels=cnv(spark, *rows), indels=None), CADD16, Options(), str(tmp_path))
+    plan = steps(run.dropped())
+    calls = next(i for i, line in enumerate(plan) if "FileScan parquet [fam_id" in line)
+    assert not any("Exchange" in line for line in plan[:calls])
+    assert any(re.search(r"BroadcastHashJoin \[iid\S* key.*LeftSemi", line) for line in plan)
+    assert same(run.dropped(), Run(run.cohort).dropped())

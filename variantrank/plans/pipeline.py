@@ -356,11 +356,18 @@ class Run:
         key = ["iid", "key"]
         kept_cnv = cnv.filter(F.col("drop_reason") == "").select(*key).distinct()
         lost_cnv = cnv.join(kept_cnv, key, "left_anti").select(*lost.columns).distinct()
-        # Only calls that share a key with a lost copy-number row can matter to it.
-        # These keys are derived, so nothing measures them: adaptive execution chooses and splits the joins.
-        kept_calls = raw.filter("key_kept").select(*key).join(lost_cnv.select(*key).distinct(), key, "left_semi")
+        # Calls and copy-number rows meet only at keys of sites, which few copy-number rows have, if any: these few are
+        # measured, so that calls are not shuffled for them. Only calls that share a key with a lost copy-number row matter to it.
+        at_sites = self.sites.select("key").distinct()
+        size = data_bytes(self.cnv.select(*key).join(at_sites, "key", "left_semi"))
+        met_kept, met_lost = (rows.select(*key).distinct().join(at_sites, "key", "left_semi") for rows in (kept_cnv, lost_cnv))
+        kept_calls = lookup_join(self._kept_keys(), met_lost, key, "left_semi", small_bytes=size)
         lost_cnv = lost_cnv.join(kept_calls.distinct(), key, "left_anti")
-        return lost.join(kept_cnv, key, "left_anti").unionByName(lost_cnv)
+        return lookup_join(lost, met_kept, key, "left_anti", small_bytes=size).unionByName(lost_cnv)
+
+    def _kept_keys(self) -> DataFrame:
+        """(iid, key) of the calls with some surviving row."""
+        return self.raw().filter("key_kept").select("iid", "key")
 
     def rejects(self) -> DataFrame:
         return rejected_people(self.cohort.pedigree, self.cohort.calls, self.cohort.samples)
@@ -421,6 +428,9 @@ class KeptRun(Run):
     def _plain(self) -> DataFrame:
         return self.joined.withColumns({"key": variant_key(), "is_cnv": F.lit(False)}).drop("scores")
 
+    def _kept_keys(self) -> DataFrame:
+        return self._plain().filter("key_kept").select("iid", "key")
+
     def raw(self) -> DataFrame:
         table = self.sites.select("site", *self.described, "phred")
         rows = self._plain().drop("own_phred")
