@@ -54,7 +54,7 @@ def join_pedigree(calls: DataFrame, people: DataFrame, **join_options) -> DataFr
 def first_call(calls: DataFrame, same_row: tuple = ()) -> DataFrame:
     """First call, in source order, of each person and variant (and ``same_row`` columns).
 
-    Each task cuts its own groups to one row before the shuffle.
+    Each task cuts its own groups to one row before the shuffle, unless the calls already lie by person.
     """
     order = Window.partitionBy("iid", *BY_POSITION, *same_row).orderBy("ord")
     return calls.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n", "ord")
