@@ -1,9 +1,10 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
 The model is fitted on all trusted documents but a held-out share, chosen by a hash of the id. Counts, continuation counts,
-discounts and back-off weights are aggregations and equi-joins on word hashes. Each document's n-grams then meet the tables
-of probabilities, longest first, again by joins on the hashes. A table is broadcast as long as it has at most MOST_BROADCAST
-rows; a larger one is sharded by the n-gram and joined by shuffle.
+discounts and back-off weights are aggregations and equi-joins on word hashes. A word's log-probability is a sum over the one, two
+and three words that end with it, so each document's n-grams meet the tables by inner joins on their 64-bit hashes and only sums
+per text are kept. A table is broadcast as long as it has at most MOST_BROADCAST rows; a larger one is sharded by the n-gram and
+joined by shuffle, in PARTS parts. No text and no row per word of a document is written, and shuffle files go with their job.
 
 A document is kept if its mean surprise per word is not above the quantile, among all trusted documents of its language
 that the model has not seen, plus an allowance that shrinks with the root of its length.
@@ -18,13 +19,16 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantrank.llm.common import GAP, let, write_stage
+from variantrank.llm.common import GAP, lean_disk, write_stage
 
 MOST_BROADCAST = 2_000_000
+#: Larger tables of n-grams are made, and meet the documents, in so many parts: shuffled rows of one part are on disk at a time.
+PARTS = 8
 
 
 @dataclass(frozen=True)
@@ -46,18 +50,14 @@ def hashes_of(text: Column) -> Column:
     return F.concat(F.array(F.lit(1).cast("long"), F.lit(1).cast("long")), F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def _grams(hashes: Column) -> Column:
-    """For every word the hashes of the two before it (u, v) and its own (w)."""
-    return let(
-        hashes,
-        lambda h: F.when(
-            F.size(h) > 2,
-            F.transform(
-                F.sequence(F.lit(2), F.size(h) - 1),
-                lambda i: F.struct(F.get(h, i - 2).alias("u"), F.get(h, i - 1).alias("v"), F.get(h, i).alias("w")),
-            ),
-        ),
-    )
+def _runs(rows: DataFrame, n: int, *others: str) -> DataFrame:
+    """Every run of n hashes in the column hashes, as w0, w1, ..., with the one after it (next, null at the end) and the columns
+    others. Runs of one begin with the second mark. A text without words has none."""
+    start, h = 2 if n == 1 else 1, F.col("hashes")
+    names = [*(f"w{k}" for k in range(n)), "next"]
+    many = F.size(h) - (start + n - 2)
+    runs = F.arrays_zip(*[F.slice(h, F.lit(start + k), many).alias(c) for k, c in enumerate(names)])
+    return rows.select(*others, F.explode(F.when(F.size(h) > 2, runs)).alias("g")).select(*others, *[F.col("g").getField(c).alias(c) for c in names])
 
 
 def held_out(n_trusted: int, options: Options) -> Column:
@@ -76,87 +76,107 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 @dataclass(frozen=True)
 class Model:
-    """Written tables: trigrams (u, v, w, lp), bigrams (v, w, lp), contexts of two words (u, v, bo) and words (w, lp, bo),
-    with lp the log-probability of the last word after the others and bo the log back-off weight."""
+    """Tables (key, here, next) of one, two and three words: what a word adds to the log-probability if it ends the run (here), and
+    what it adds to that of the word after the run (next).
+
+    The log-probability of a word is unseen, plus here of its runs of one to three words, plus next of the runs of one and two words
+    before it, as far as they are in the tables: a longer run's here makes up for the back-off that the shorter ones count."""
 
-    trigrams: DataFrame
-    bigrams: DataFrame
-    contexts: DataFrame
     words: DataFrame
+    pairs: DataFrame
+    triples: DataFrame
 
 
-def _discounted(counts: DataFrame, context: list[str], d: list[float], name: str) -> tuple[DataFrame, DataFrame]:
-    """Counts with their discounted share of the context (own) and its weight for the order below (left); and the contexts.
+def _side(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
 
-    The contexts are written first, so that the join has shuffles of its own and a very common context can be split."""
-    off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    totals = counts.groupBy(*context).agg(F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("left"))
-    totals = write_stage(totals, name)
-    return counts.join(totals, context).withColumn("own", (F.col("c") - off) / F.col("total")).drop("c", "total"), totals
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.union, parts)
 
 
 def fit(chosen: DataFrame) -> tuple[Model, float]:
     """The model of the documents in chosen (column hashes), and the log-probability of an unseen word."""
-    grams = chosen.select(F.explode(_grams(F.col("hashes"))).alias("g")).select("g.*")
+    grams = _runs(chosen, 3).toDF("u", "v", "w", "next")
     c3 = write_stage(grams.groupBy("u", "v", "w").agg(F.count("*").alias("c")), "trigrams")
     c2 = write_stage(c3.groupBy("v", "w").agg(F.count("*").alias("c")), "bigrams")
     c1 = write_stage(c2.groupBy("w").agg(F.count("*").alias("c")), "unigrams")
     seen = c1.agg(F.count("*").alias("n"), F.sum("c").alias("c")).first()
-    d = _discounts(c1)
-    off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    left = (c1.agg(F.sum(off)).first()[0] or 0.0) / max(seen["c"] or 0, 1)
+
+    def discount(d: list[float]) -> Column:
+        return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+
+    off1, off2, off3 = (discount(_discounts(c)) for c in (c1, c2, c3))
+    left = (c1.agg(F.sum(off1)).first()[0] or 0.0) / max(seen["c"] or 0, 1)
     floor = left / (seen["n"] + 1)
-    p1 = c1.select("w", ((F.col("c") - off) / F.lit(float(seen["c"] or 1)) + floor).alias("p1"))
-    s2, left2 = _discounted(c2, ["v"], _discounts(c2), "contexts-1")
-    p2 = write_stage(s2.join(p1, "w").select("v", "w", (F.col("own") + F.col("left") * F.col("p1")).alias("p2")), "kneser-ney-2")
-    s3, left3 = _discounted(c3, ["u", "v"], _discounts(c3), "contexts-2")
-    p3 = s3.join(p2, ["v", "w"]).select("u", "v", "w", F.ln(F.col("own") + F.col("left") * F.col("p2")).alias("lp"))
+    unseen = math.log(floor) if floor else 0.0
+    p1 = c1.select("w", ((F.col("c") - off1) / F.lit(float(seen["c"] or 1)) + floor).alias("p1"))
+    contexts = write_stage(c2.groupBy("v").agg(F.sum("c").alias("total"), F.sum(off2).alias("off")), "contexts")
+    back = F.ln(F.col("off") / F.col("total"))
     # The mark of the beginning is a context and no word, so it has no probability.
-    words = p1.join(left2.withColumnRenamed("v", "w"), "w", "full").select("w", F.ln("p1").alias("lp"), F.ln("left").alias("bo"))
+    words = p1.join(contexts.withColumnRenamed("v", "w"), "w", "full").select(
+        F.col("w").alias("key"), F.coalesce(F.ln("p1") - unseen, F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")
+    )
+
+    # A trigram's bigram and context share its middle word, so that each part needs the pairs of that word's class only.
+    parts = 1 if c3.count() <= MOST_BROADCAST else PARTS
+    kind = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("byte")
+    key = [F.xxhash64("v", "w").alias("key"), kind("v").alias("first"), kind("w").alias("last")]
+    lower = F.col("off") / F.col("total") * F.col("p1")
+    p2 = c2.join(_side(contexts), "v").join(_side(p1), "w").select(*key, lower.alias("lower"), ((F.col("c") - off2) / F.col("total") + lower).alias("p2"))
+    before = c3.groupBy(F.xxhash64("u", "v").alias("key"), kind("u").alias("first"), kind("v").alias("last"))
+    before = before.agg(F.sum("c").alias("total"), F.sum(off3).alias("off"))
+    pairs = write_stage(p2.join(before, ["key", "first", "last"], "full"), "pairs")
+
+    def triples(part: int) -> DataFrame:
+        own = c3.where(kind("v") == part).select(
+            F.xxhash64("u", "v").alias("a"), F.xxhash64("v", "w").alias("b"), F.xxhash64("u", "v", "w").alias("key"), (F.col("c") - off3).alias("own")
+        )
+        joined = own.join(pairs.where(F.col("last") == part).where("off is not null").select(F.col("key").alias("a"), "off"), "a")
+        joined = joined.select("b", "key", (F.col("own") / F.col("off")).alias("more"))
+        joined = joined.join(pairs.where(F.col("first") == part).where("p2 is not null").select(F.col("key").alias("b"), "p2"), "b")
+        return joined.select("key", F.log1p(F.col("more") / F.col("p2")).alias("here"), F.lit(0.0).alias("next"))
+
     model = Model(
-        write_stage(p3, "kneser-ney-3"),
-        p2.select("v", "w", F.ln("p2").alias("lp")),
-        left3.select("u", "v", F.ln("left").alias("bo")),
-        write_stage(words, "kneser-ney-1"),
+        write_stage(words, "model-1"),
+        pairs.select("key", F.coalesce(F.ln("p2") - F.ln("lower"), F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")),
+        _union([write_stage(triples(part), "model-3") for part in range(parts)]),
     )
-    return model, math.log(floor) if floor else 0.0
+    return model, unseen
 
 
 def surprise(rows: DataFrame, model: Model, unseen: float) -> DataFrame:
-    """(row, id, lang, n_words, nats): the words' summed negative log-probability for every row of (row, id, lang, text).
-
-    Only words whose trigram is not in the model go on to the contexts and bigrams, and of these only words whose bigram is
-    not in it either go on to the single words."""
-
-    def side(table: DataFrame) -> DataFrame:
-        return F.broadcast(table) if table.count() <= MOST_BROADCAST else table
-
-    grams = rows.select("row", F.explode(_grams(hashes_of(F.col("text")))).alias("g")).select("row", "g.*")
-    missing = lambda c: F.when(F.col("lp").isNull(), F.col(c)).alias(c)
-    by3 = write_stage(grams.join(side(model.trigrams), ["u", "v", "w"], "left").select("row", "lp", missing("u"), missing("v"), missing("w")), "by-trigram")
-    rest = by3.where("lp is null").drop("lp")
-    by2 = write_stage(rest.join(side(model.bigrams), ["v", "w"], "left").select("row", "lp", missing("v"), missing("w")), "by-bigram")
-    single = by2.where("lp is null").select(
-        "row", F.explode(F.array(F.struct(F.col("v").alias("w"), F.lit(True).alias("before")), F.struct("w", F.lit(False).alias("before")))).alias("g")
-    )
-    by1 = single.select("row", "g.*").join(side(model.words), "w", "left")
-    found = [
-        by3.where("lp is not null").select("row", "lp"),
-        rest.join(side(model.contexts), ["u", "v"]).select("row", "bo"),
-        by2.where("lp is not null").select("row", "lp"),
-        by1.select("row", F.when(F.col("before"), F.coalesce("bo", F.lit(0.0))).otherwise(F.coalesce("lp", F.lit(unseen)))),
-    ]
-    sums = found[0].union(found[1]).union(found[2]).union(found[3]).groupBy("row").agg((-F.sum("lp")).alias("nats"))
-    counted = rows.select("row", "id", "lang", (F.size(hashes_of(F.col("text"))) - 2).cast("long").alias("n_words"))
-    return counted.join(sums, "row", "left")
+    """rows (row, text and other columns) without text, with n_words and nats, the words' summed negative log-probability.
+
+    Rows with equal row must have equal text. Every run of one, two and three words meets its table by one inner join and adds to its
+    row's sum; a table that is too large to broadcast meets the rows part by part, so that few shuffled runs are on disk at a time."""
+    sums = []
+    for n, table in ((1, model.words), (2, model.pairs), (3, model.triples)):
+        side = _side(table)
+        parts = 1 if side is not table else PARTS
+        for part in range(parts):
+            some = rows.where(F.pmod(F.xxhash64("row"), F.lit(parts)) == part).select("row", hashes_of(F.col("text")).alias("hashes"))
+            key = F.xxhash64(*[f"w{k}" for k in range(n)]) if n > 1 else F.col("w0")
+            keyed = _runs(some, n, "row").select("row", key.alias("key"), F.col("next").isNotNull().alias("more"))
+            found = keyed.join(side, "key").groupBy("row")
+            sums.append(write_stage(found.agg(F.sum(F.col("here") + F.when(F.col("more"), F.col("next")).otherwise(0.0)).alias("sum")), f"sums-{n}"))
+    copies = rows.where("text is not null").groupBy("row").agg(F.count("*").alias("copies"))
+    each = _union(sums).groupBy("row").agg(F.sum("sum").alias("sum")).join(copies, "row").select("row", (F.col("sum") / F.col("copies")).alias("each"))
+    counted = rows.withColumn("n_words", (F.size(hashes_of(F.col("text"))) - 2).cast("long")).drop("text")
+    nats = F.when(F.col("n_words") > 0, -F.coalesce("each", F.lit(0.0)) - F.col("n_words") * unseen)
+    return counted.join(_side(write_stage(each, "sums")), "row", "left").withColumn("nats", nats).drop("each")
 
 
 def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", options: Options = Options()) -> DataFrame:
     """One row per document: id, lang, n_words, log_perplexity (nats per word), threshold, kept. trusted_ids: column id."""
+    with lean_disk(docs.sparkSession):
+        return _judged(docs, trusted_ids, id_col, text_col, lang_col, options)
+
+
+def _judged(docs: DataFrame, trusted_ids: DataFrame, id_col: str, text_col: str, lang_col: str, options: Options) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    numbered = write_stage(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
     trust = write_stage(trusted_ids.select("id").where("id is not null").distinct(), "trusted-ids")
-    hashed = numbered.join(trust, "id", "left_semi").select("row", "id", "text", hashes_of(F.col("text")).alias("hashes")).where(F.size("hashes") > 2)
+    hashed = rows.join(_side(trust), "id", "left_semi").select("id", "text", hashes_of(F.col("text")).alias("hashes")).where(F.size("hashes") > 2)
     aside = held_out(trust.count(), options)
     chosen = hashed.where(~aside)
     if chosen.isEmpty():  # so few are trusted that all of them are held out
@@ -167,9 +187,11 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_
             F.col("id").alias(id_col), "lang", some.cast("long").alias("n_words"), F.lit(None).cast("double").alias("log_perplexity"),
             F.lit(None).cast("double").alias("threshold"), (some > 0).alias("kept"),
         )
-    scored = write_stage(surprise(numbered, *fit(chosen)), "surprise").withColumn("log_perplexity", F.col("nats") / F.col("n_words"))
+    # Copies of a text have one perplexity, so a row goes by its text's hash and no text is written.
+    hashed_rows = rows.select(F.xxhash64("text").alias("row"), "id", "lang", "text", aside.alias("aside"))
+    scored = write_stage(surprise(hashed_rows, *fit(chosen)), "surprise").withColumn("log_perplexity", F.col("nats") / F.col("n_words"))
     scored = scored.withColumn("excess", F.col("log_perplexity") - options.allowance / F.sqrt("n_words"))
-    unseen = scored.join(write_stage(hashed.where(aside).select("row"), "held-out"), "row", "left_semi")
+    unseen = scored.where("aside and n_words > 0").join(_side(trust), "id", "left_semi")
     # Thousandths of a nat, so that the quantile needs one row per value and language.
     steps = unseen.groupBy("lang", F.round(F.col("excess") * 1000).cast("long").alias("step")).agg(F.count("*").alias("n"))
 
