@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from variantrank.llm.common import GAP, lean_disk, write_stage
 
 MOST_BROADCAST = 2_000_000
-#: Larger tables of n-grams are made, and meet the documents, in so many parts: shuffled rows of one part are on disk at a time.
-PARTS = 8
+#: Larger tables of n-grams are made, and meet the documents' n-grams, in so many parts by the class of a word: shuffled rows of one
+#: part are on disk at a time.
+PARTS = 4
 
 
 @dataclass(frozen=True)
@@ -76,15 +77,21 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 @dataclass(frozen=True)
 class Model:
-    """Tables (key, here, next) of one, two and three words: what a word adds to the log-probability if it ends the run (here), and
+    """Tables (key, kind, here, next) of one, two and three words: what a word adds to the log-probability if it ends the run (here), and
     what it adds to that of the word after the run (next).
 
     The log-probability of a word is unseen, plus here of its runs of one to three words, plus next of the runs of one and two words
-    before it, as far as they are in the tables: a longer run's here makes up for the back-off that the shorter ones count."""
+    before it, as far as they are in the tables: a longer run's here makes up for the back-off that the shorter ones count. kind is the
+    class, of parts, of the first word, of three words that of the middle one."""
 
     words: DataFrame
     pairs: DataFrame
     triples: DataFrame
+    parts: int
+
+
+def _kind(word: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(parts)).cast("byte")
 
 
 def _side(table: DataFrame) -> DataFrame:
@@ -113,14 +120,14 @@ def fit(chosen: DataFrame) -> tuple[Model, float]:
     p1 = c1.select("w", ((F.col("c") - off1) / F.lit(float(seen["c"] or 1)) + floor).alias("p1"))
     contexts = write_stage(c2.groupBy("v").agg(F.sum("c").alias("total"), F.sum(off2).alias("off")), "contexts")
     back = F.ln(F.col("off") / F.col("total"))
+    parts = 1 if c3.count() <= MOST_BROADCAST else PARTS
     # The mark of the beginning is a context and no word, so it has no probability.
     words = p1.join(contexts.withColumnRenamed("v", "w"), "w", "full").select(
-        F.col("w").alias("key"), F.coalesce(F.ln("p1") - unseen, F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")
+        F.col("w").alias("key"), _kind("w", parts).alias("kind"), F.coalesce(F.ln("p1") - unseen, F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")
     )
 
     # A trigram's bigram and context share its middle word, so that each part needs the pairs of that word's class only.
-    parts = 1 if c3.count() <= MOST_BROADCAST else PARTS
-    kind = lambda c: F.pmod(F.xxhash64(c), F.lit(parts)).cast("byte")
+    kind = lambda c: _kind(c, parts)
     key = [F.xxhash64("v", "w").alias("key"), kind("v").alias("first"), kind("w").alias("last")]
     lower = F.col("off") / F.col("total") * F.col("p1")
     p2 = c2.join(_side(contexts), "v").join(_side(p1), "w").select(*key, lower.alias("lower"), ((F.col("c") - off2) / F.col("total") + lower).alias("p2"))
@@ -135,12 +142,13 @@ def fit(chosen: DataFrame) -> tuple[Model, float]:
         joined = own.join(pairs.where(F.col("last") == part).where("off is not null").select(F.col("key").alias("a"), "off"), "a")
         joined = joined.select("b", "key", (F.col("own") / F.col("off")).alias("more"))
         joined = joined.join(pairs.where(F.col("first") == part).where("p2 is not null").select(F.col("key").alias("b"), "p2"), "b")
-        return joined.select("key", F.log1p(F.col("more") / F.col("p2")).alias("here"), F.lit(0.0).alias("next"))
+        return joined.select("key", F.lit(part).cast("byte").alias("kind"), F.log1p(F.col("more") / F.col("p2")).alias("here"), F.lit(0.0).alias("next"))
 
     model = Model(
         write_stage(words, "model-1"),
-        pairs.select("key", F.coalesce(F.ln("p2") - F.ln("lower"), F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")),
+        pairs.select("key", F.col("first").alias("kind"), F.coalesce(F.ln("p2") - F.ln("lower"), F.lit(0.0)).alias("here"), F.coalesce(back, F.lit(0.0)).alias("next")),
         _union([write_stage(triples(part), "model-3") for part in range(parts)]),
+        parts,
     )
     return model, unseen
 
@@ -149,16 +157,16 @@ def surprise(rows: DataFrame, model: Model, unseen: float) -> DataFrame:
     """rows (row, text and other columns) without text, with n_words and nats, the words' summed negative log-probability.
 
     Rows with equal row must have equal text. Every run of one, two and three words meets its table by one inner join and adds to its
-    row's sum; a table that is too large to broadcast meets the rows part by part, so that few shuffled runs are on disk at a time."""
+    row's sum; a table that is too large to broadcast meets the runs class by class, so that few of either are shuffled at a time."""
     sums = []
     for n, table in ((1, model.words), (2, model.pairs), (3, model.triples)):
-        side = _side(table)
-        parts = 1 if side is not table else PARTS
-        for part in range(parts):
-            some = rows.where(F.pmod(F.xxhash64("row"), F.lit(parts)) == part).select("row", hashes_of(F.col("text")).alias("hashes"))
+        small = table.count() <= MOST_BROADCAST
+        runs = _runs(rows.select("row", hashes_of(F.col("text")).alias("hashes")), n, "row")
+        for part in range(1 if small else model.parts):
             key = F.xxhash64(*[f"w{k}" for k in range(n)]) if n > 1 else F.col("w0")
-            keyed = _runs(some, n, "row").select("row", key.alias("key"), F.col("next").isNotNull().alias("more"))
-            found = keyed.join(side, "key").groupBy("row")
+            some = runs if small else runs.where(_kind(f"w{max(0, n - 2)}", model.parts) == part)
+            keyed = some.select("row", key.alias("key"), F.col("next").isNotNull().alias("more"))
+            found = keyed.join(F.broadcast(table) if small else table.where(F.col("kind") == part), "key").groupBy("row")
             sums.append(write_stage(found.agg(F.sum(F.col("here") + F.when(F.col("more"), F.col("next")).otherwise(0.0)).alias("sum")), f"sums-{n}"))
     copies = rows.where("text is not null").groupBy("row").agg(F.count("*").alias("copies"))
     each = _union(sums).groupBy("row").agg(F.sum("sum").alias("sum")).join(copies, "row").select("row", (F.col("sum") / F.col("copies")).alias("each"))
