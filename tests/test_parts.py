@@ -114,6 +114,21 @@ def test_join_paths_agree_on_a_hot_key(spark, how):
         assert other.exceptAll(plain).isEmpty() and plain.exceptAll(other).isEmpty()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_files_that_look_small_are_measured(spark, tmp_path, how):
+    """Spark would broadcast these ids, whose file is small; a table that measures too much is never broadcast."""
+    wide = spark.range(2000).select(F.concat(F.lit("S"), "id").alias("k"), *[F.lit("").alias(f"c{i}") for i in range(9)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    ids = spark.read.parquet(str(tmp_path / "wide")).groupBy("k").agg(F.max("c0").alias("v"))
+    big = spark.range(5000).select(F.concat(F.lit("S"), F.col("id") % 3000).alias("k"), "id")
+    plain = big.join(ids, "k", how)
+    assert "BroadcastHashJoin" in plain._jdf.queryExecution().executedPlan().toString()
+    joined = joins.lookup_join(big, ids, ["k"], how, max_bytes=1000)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
 def test_run_without_any_broadcast(spark, monkeypatch):
     expected = Run(mini.cohort(spark)).ranked().drop("fam_id").collect()
     monkeypatch.setattr(joins, "data_bytes", lambda df: 1 << 40)

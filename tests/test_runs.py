@@ -150,6 +150,20 @@ def test_later_run_counts_and_people_without_rows(spark, tmp_path):
     assert [p.name for p in (tmp_path / "tsv").glob("report=*")] == ["report=F1_P1_PSAP.txt"]
 
 
+def test_runs_broadcast_nothing_that_measures_much(spark, tmp_path, monkeypatch):
+    """Ids of people and keys of sites are read from files that look small to Spark; beyond the limit none is broadcast."""
+    cohort, own = cohorts(spark)["copy numbers"], Ledger(spark, str(tmp_path / "reports"))
+    run_pending(ledger.of_people(cohort, cohort.pedigree.filter("iid = 'P1'")), own)
+    for module in ("operators.joins", "plans.pipeline"):
+        monkeypatch.setattr(f"variantrank.{module}.data_bytes", lambda df: 1 << 40)
+    left = own.pending(cohort.pedigree)
+    run = KeptRun(ledger.of_people(cohort, stages.kept(left, str(tmp_path / "left"))), CADD16, Options(), str(tmp_path / "run"))
+    for rows in (left, own.read("ranked"), run.cnv, run.dropped()):
+        ids = [line for line in steps(rows) if re.search(r"Broadcast\w*Join \[(iid|key|fam_id)", line)]
+        assert not ids
+    assert {r["iid"] for r in left.collect()} == {"P2", "P3", "P4"}
+
+
 def test_writers_rank_once(spark, tmp_path, monkeypatch):
     """With people= the rows are computed once, and what they need besides is read from files."""
     counted = spark.sparkContext.accumulator(0)

@@ -359,10 +359,14 @@ class Run:
         # Calls and copy-number rows meet only at keys of sites, which few copy-number rows have, if any: these few are
         # measured, so that calls are not shuffled for them. Only calls that share a key with a lost copy-number row matter to it.
         at_sites = self.sites.select("key").distinct()
-        size = data_bytes(self.cnv.select(*key).join(at_sites, "key", "left_semi"))
-        met_kept, met_lost = (rows.select(*key).distinct().join(at_sites, "key", "left_semi") for rows in (kept_cnv, lost_cnv))
+
+        def at_a_site(rows: DataFrame) -> DataFrame:
+            return lookup_join(rows, at_sites, ["key"], "left_semi", small_bytes=self.site_bytes)
+
+        size = data_bytes(at_a_site(self.cnv.select(*key)))
+        met_kept, met_lost = (at_a_site(rows.select(*key).distinct()) for rows in (kept_cnv, lost_cnv))
         kept_calls = lookup_join(self._kept_keys(), met_lost, key, "left_semi", small_bytes=size)
-        lost_cnv = lost_cnv.join(kept_calls.distinct(), key, "left_anti")
+        lost_cnv = lookup_join(lost_cnv, kept_calls.distinct(), key, "left_anti", small_bytes=size)
         return lookup_join(lost, met_kept, key, "left_anti", small_bytes=size).unionByName(lost_cnv)
 
     def _kept_keys(self) -> DataFrame:

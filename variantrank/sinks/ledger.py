@@ -53,7 +53,7 @@ class Ledger:
 
     def pending(self, pedigree: DataFrame) -> DataFrame:
         """Pedigree lines of people whom no run has finished."""
-        return pedigree.join(self.valid().select("iid"), "iid", "left_anti")
+        return lookup_join(pedigree, self.valid().select("iid"), ["iid"], "left_anti")
 
     def write(self, run: str, kind: str, rows: DataFrame) -> None:
         """The rows of one kind, under the id of a run that is not in the manifest yet."""

@@ -180,7 +180,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return customers.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("F"), F.col("c_nationkey").cast("string")).alias("fam_id"),
         F.concat(F.lit("S"), c.cast("string")).alias("iid"),
         F.lit("0").alias("pat_id"),
